@@ -111,7 +111,7 @@ def melt(wide: DataFrame, ids: Sequence[str], name: str, value: str) -> DataFram
 
 def contingency(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
     values = list(values) if values is not None else distinct_values(df, column)
-    return df.groupBy(row).pivot(column, values).agg(F.count("*")).na.fill(0)
+    return df.groupBy(row).pivot(column, values).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def row_shares(df: DataFrame, row: str, column: str) -> DataFrame:

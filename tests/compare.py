@@ -93,7 +93,7 @@ def main(argv: list[str]) -> int:
     folder, wanted = argv[0], argv[1:]
     spark, con, bad = session(), duck(folder), 0
     for name, q in REGISTRY.items():
-        if wanted and not any(re.match(f"{w}(_|$)", name) or name.startswith(w) and w.endswith("_") for w in wanted):
+        if wanted and not any(re.match(f"{w}(_|$)", name) or name.startswith(w) for w in wanted):
             continue
         began = time.time()
         try:
