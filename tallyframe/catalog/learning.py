@@ -88,7 +88,7 @@ def ml7_cross_validation(t):
     """No SQL twin: figures of fitted models."""
     _, df = _encoded(t, ["is_loss", *KEY])
     models = {"Logistic Regression": learning.fit_logistic, "Random Forest": FOREST}
-    return learning.cross_validate(df, "is_loss", KEY, models, folds=3)
+    return learning.with_best(learning.cross_validate(df, "is_loss", KEY, models, folds=3))
 
 
 _SCORED = f"""{RETAIL_LINES}, s AS (SELECT l_quantity AS score, is_loss FROM retail_lines)"""

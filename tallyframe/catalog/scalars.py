@@ -68,7 +68,7 @@ def s7_reference_date(t):
         "reference_date", reference)
 
 
-@query("""SELECT o_orderstatus, strftime(min(o_orderdate), '%Y-%m-%d') || ' – ' || strftime(max(o_orderdate), '%Y-%m-%d') AS range FROM orders GROUP BY 1""")
+@query("""SELECT o_orderstatus, strftime(min(o_orderdate), '%Y-%m-%d') || ' to ' || strftime(max(o_orderdate), '%Y-%m-%d') AS range FROM orders GROUP BY 1""")
 def s8_date_range_text(t):
     return t.orders.groupBy("o_orderstatus").agg(dates.date_range_text(F.col("o_orderdate")).alias("range"))
 

@@ -48,7 +48,7 @@ def week_ending_sunday(moment: Column) -> Column:
 
 
 def date_range_text(moment: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    """Aggregate: 'first – last' as text."""
+    """Aggregate: 'first to last' as text."""
     return F.concat(
-        F.date_format(F.min(moment), pattern), F.lit(" – "), F.date_format(F.max(moment), pattern)
+        F.date_format(F.min(moment), pattern), F.lit(" to "), F.date_format(F.max(moment), pattern)
     )

@@ -53,19 +53,20 @@ def clipped_counts(df: DataFrame, key: str, low: int, high: int) -> DataFrame:
     )
 
 
-def box_stats(df: DataFrame, value: str, group: str) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: str | Sequence[str]) -> DataFrame:
     """Quartiles, whisker ends within 1.5 IQR, and the number of outliers per group."""
-    quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group])
-    counts = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_c"))
-    fenced = join_null_safe(counts, quartiles, [group])
+    by = [by] if isinstance(by, str) else list(by)
+    quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
+    fenced = join_null_safe(counts, quartiles, by)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    ends = fenced.groupBy(group).agg(
+    ends = fenced.groupBy(*by).agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
         F.sum(F.when(inside, F.lit(0)).otherwise(F.col("_c"))).alias("outliers"),
     )
-    return join_null_safe(quartiles, ends, [group])
+    return join_null_safe(quartiles, ends, by)
 
 
 def density_curve(

@@ -210,8 +210,10 @@ def cross_validate(
     )
 
 
-def best_model(report: DataFrame) -> DataFrame:
-    return report.orderBy(F.desc("cv_auroc_mean"), "model_name").limit(1)
+def with_best(report: DataFrame) -> DataFrame:
+    """Mark the model with the highest mean AUROC."""
+    best = report.orderBy(F.desc("cv_auroc_mean"), "model_name").limit(1).select("model_name").scalar()
+    return report.withColumn("is_best", F.col("model_name") == best)
 
 
 def feature_importance(df: DataFrame, model: Model, names: Sequence[str], k: int = 20) -> DataFrame:
