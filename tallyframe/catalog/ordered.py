@@ -88,7 +88,7 @@ def w8_quantile_labels(t):
           r AS (SELECT *, sum(n) OVER (ORDER BY l_extendedprice) AS u FROM c)
           SELECT l_extendedprice, n, CAST(u - n + 1 AS BIGINT) AS first_rank, CAST(u AS BIGINT) AS last_rank, (u - n + 1 + u) / 2 AS avg_rank FROM r""")
 def w9_average_ranks(t):
-    return ordering.value_ranks(t.lineitem, "l_extendedprice")
+    return ordering.value_ranks(t.lineitem, "l_extendedprice").drop("group_size")
 
 
 def _resample_sql(kind: str, label: str, step: str) -> str:

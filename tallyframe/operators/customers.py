@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import bin_from_rank
 from ..functions.dates import days_between
+from ..session import materialise
 from .ordering import quantile_labels, row_ranks
 
 
@@ -21,9 +22,9 @@ def segment_of(r: Column, f: Column, m: Column) -> Column:
 
 def rank_quartile(df: DataFrame, value: str, key: str, name: str) -> DataFrame:
     """Quartile 1..4 of the rank by (value, key)."""
-    total = df.select(F.count("*")).scalar()
-    ranked = row_ranks(df, [value, key], name="_rank")
-    return ranked.withColumn(name, bin_from_rank(F.col("_rank"), total)).drop("_rank")
+    ranked = row_ranks(df, [value, key], name="_rank", totals=True)
+    quartile = bin_from_rank(F.col("_rank"), F.col("_rank_total"))
+    return ranked.withColumn(name, quartile).drop("_rank", "_rank_total")
 
 
 def recency_frequency_spend(
@@ -41,7 +42,8 @@ def recency_frequency_spend(
 
 
 def rfm_scores(df: DataFrame, customer: str, order_key: str, moment: str, spend: str) -> DataFrame:
-    base = recency_frequency_spend(df, customer, order_key, moment, spend)
+    # one row per customer, written once: the three scores each read it
+    base = materialise(recency_frequency_spend(df, customer, order_key, moment, spend))
     scored = quantile_labels(base, "recency", [4, 3, 2, 1], "r_score")
     scored = rank_quartile(scored, "frequency", customer, "f_score")
     scored = rank_quartile(scored, "monetary", customer, "m_score")

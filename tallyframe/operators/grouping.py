@@ -38,10 +38,12 @@ def share_of_total(df: DataFrame, measure: str, name: str = "share_pct") -> Data
 
 
 def rate_by(df: DataFrame, by: Sequence[str], outcome: Column) -> DataFrame:
-    """Mean of a 0/1 outcome per group, next to the overall rate."""
-    overall = df.agg(F.avg(outcome)).scalar()
-    rates = summarise(df, by, {"n": F.count(outcome), "rate": F.avg(outcome)}, keep_null_keys=False)
-    return rates.withColumn("overall_rate", overall)
+    """Mean of a 0/1 outcome per group, next to the overall rate (rows without a key count in it)."""
+    groups = df.groupBy(*by).agg(F.count(outcome).alias("n"), F.sum(outcome).alias("_hits"))
+    overall = groups.agg(F.sum("_hits") / F.sum("n")).scalar()
+    for key in by:
+        groups = groups.where(F.col(key).isNotNull())
+    return groups.select(*by, "n", (F.col("_hits") / F.col("n")).alias("rate")).withColumn("overall_rate", overall)
 
 
 def rate_by_flags(df: DataFrame, flags: Sequence[str], outcome: str) -> DataFrame:
@@ -78,7 +80,7 @@ def profit_table(
         F.count(profit).alias("count"), F.avg(profit).alias("mean_profit"),
         F.avg(margin).alias("mean_profit_margin"), (F.avg(loss_flag) * 100).alias("pct_loss"),
     )
-    middle = exact_quantiles(df, profit, {"median_profit": 0.5}, by).drop("n")
+    middle = exact_quantiles(df, profit, {"median_profit": 0.5}, by).drop("n", "distinct")
     return join_null_safe(basic, middle, list(by), "left").select(
         *by, "count", "mean_profit", "median_profit", "mean_profit_margin",
         F.round("pct_loss", 2).alias("pct_loss"),
@@ -188,26 +190,53 @@ def pareto(df: DataFrame, key: str, measure: str) -> DataFrame:
     return ran.withColumn("cumulative_pct", F.try_divide(F.col("cumulative"), total) * 100)
 
 
+def by_each_key(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
+    """The same additive measures for several groupings in one pass: ``grouping, key, <measures>``.
+
+    Keys go through as text; null keys are left out. ``measures`` are expressions on the row's
+    own columns.
+    """
+    used = [c for c in df.columns if c not in keys]
+    cells = [F.struct(F.lit(k).alias("grouping"), F.col(k).cast("string").alias("key")) for k in keys]
+    long = df.select(*used, F.inline(F.array(*cells))).where("key is not null")
+    return long.groupBy("grouping", "key").agg(*[m.alias(n) for n, m in measures.items()])
+
+
+def top_key(measure: str, key: str = "key") -> Column:
+    """Aggregate: the key with the highest measure, the smallest key on a tie."""
+    return F.min_by(key, F.struct(-F.col(measure), F.col(key)))
+
+
 def kpis(
     df: DataFrame, revenue: str, order_key: str, customer: str, pending: Column,
     leaders: Mapping[str, str],
 ) -> DataFrame:
-    """One row of headline figures; ``leaders`` maps an output name to the key column to rank."""
-    spark_one = df.agg(
+    """One row of headline figures; ``leaders`` maps an output name to the key column to rank.
+
+    Three passes: totals, the median, and all leaders with the customers' order counts together.
+    """
+    totals = df.agg(
         F.round(F.sum(revenue), 2).alias("total_revenue"), F.count("*").alias("order_count"),
         F.round(F.avg(revenue), 2).alias("avg_order_value"),
         F.count_if(pending).alias("pending_count"),
         F.round(F.sum(F.when(pending, F.col(revenue))), 2).alias("pending_revenue"),
     )
     middle = exact_quantiles(df, revenue, {"m": 0.5}).select(F.round("m", 2)).scalar()
-    out = spark_one.withColumn("median_order_value", middle)
-    for name, key in leaders.items():
-        sums = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(revenue).alias("_m"))
-        out = out.withColumn(name, leader(sums, key, "_m").select(key).scalar())
-    per_customer = df.where(F.col(customer).isNotNull()).groupBy(customer).agg(F.count(order_key).alias("k"))
-    split = per_customer.agg(F.struct(
-        F.count_if(F.col("k") > 1).alias("repeat"), F.count_if(F.col("k") == 1).alias("once")
-    ).alias("s")).scalar()
-    return out.withColumn("repeat_customer_count", split["repeat"]).withColumn(
-        "one_time_customer_count", split["once"]
-    )
+    keys = list(dict.fromkeys([*leaders.values(), customer]))
+    slim = df.select(*keys, F.col(revenue).alias("_m"), F.col(order_key).alias("_o"))
+    groups = by_each_key(slim, keys, {"revenue": F.sum("_m"), "orders": F.count("_o")})
+    # one row per key of any grouping comes in; per grouping only the best key is kept
+    picks = [
+        F.min_by(F.when(F.col("grouping") == key, F.col("key")), F.when(
+            F.col("grouping") == key, F.struct(-F.col("revenue"), F.col("key")))).alias(name)
+        for name, key in leaders.items()
+    ]
+    mine = F.col("grouping") == customer
+    facts = groups.agg(F.struct(
+        *picks, F.count_if(mine & (F.col("orders") > 1)).alias("repeat"),
+        F.count_if(mine & (F.col("orders") == 1)).alias("once"),
+    ).alias("f")).scalar()
+    return totals.withColumn("median_order_value", middle).withColumns({
+        **{name: facts[name] for name in leaders},
+        "repeat_customer_count": facts["repeat"], "one_time_customer_count": facts["once"],
+    })

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import safe_ratio
 from ..functions.tails import chi_square_p, fisher_p, normal_p, student_p
-from .ordering import running_totals
+from .ordering import ranked_counts
 from .profile import number_cells
 
 
@@ -19,17 +19,8 @@ def _ranked_groups(df: DataFrame, targets: Sequence[str], group: str) -> tuple[D
     cells = number_cells(df.where(F.col(group).isNotNull()), targets, [group]).where("number is not null")
     cells = cells.groupBy("column", group, "number").agg(F.count("*").alias("c"))
     values = cells.groupBy("column", "number").agg(F.sum("c").alias("c"))
-    ranks = value_ranks_of_counts(values)
-    return ranks, cells
-
-
-def value_ranks_of_counts(values: DataFrame) -> DataFrame:
-    """Average ranks from (column, number, c), as ``value_ranks`` gives from raw rows."""
-    ran = running_totals(values, ["number"], {"last_rank": F.col("c")}, ["column"])
-    return ran.select(
-        "column", "number", F.col("c").alias("ties"),
-        (F.col("last_rank") - (F.col("c") - 1) / 2).alias("avg_rank"),
-    )
+    ranks = ranked_counts(values, "number", "c", ["column"])
+    return ranks.select("column", "number", F.col("n").alias("ties"), "avg_rank"), cells
 
 
 def _tie_sums(ranks: DataFrame) -> DataFrame:

@@ -124,8 +124,8 @@ def scored(model: Model, df: DataFrame, label: str) -> DataFrame:
 def auroc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Area under the ROC curve by the rank formula, ties at their average rank; exact."""
     cells = df.groupBy(score).agg(F.count("*").alias("c"), F.sum(label).alias("p"))
-    ran = running_totals(cells, [score], {"upto": F.col("c")})
-    rank = F.col("upto") - (F.col("c") - 1) / 2
+    ran = running_totals(cells, [score], {"_upto": F.col("c")})
+    rank = F.col("_upto") - (F.col("c") - 1) / 2
     sums = ran.agg(
         F.sum(F.col("p") * rank).alias("r"), F.sum("p").cast("double").alias("pos"),
         F.sum(F.col("c") - F.col("p")).cast("double").alias("neg"),
@@ -141,14 +141,11 @@ def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:
     """One point per distinct score, highest first: threshold, false and true positive rate."""
     cells = df.groupBy(F.col(score).alias("threshold")).agg(F.count("*").alias("c"), F.sum(label).alias("p"))
     ran = running_totals(
-        cells, [F.desc("threshold")], {"tp": F.col("p"), "fp": F.col("c") - F.col("p")}
+        cells, [F.desc("threshold")], {"tp": F.col("p"), "fp": F.col("c") - F.col("p")}, totals=True
     )
-    t = cells.agg(
-        F.struct(F.sum("p").alias("pos"), F.sum(F.col("c") - F.col("p")).alias("neg")).alias("t")
-    ).scalar()
     return ran.select(
-        "threshold", safe_ratio(F.col("fp").cast("double"), t["neg"]).alias("fpr"),
-        safe_ratio(F.col("tp").cast("double"), t["pos"]).alias("tpr"),
+        "threshold", safe_ratio(F.col("fp").cast("double"), F.col("fp_total")).alias("fpr"),
+        safe_ratio(F.col("tp").cast("double"), F.col("tp_total")).alias("tpr"),
     )
 
 

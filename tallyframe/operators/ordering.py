@@ -15,12 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.bins import bin_from_edges
 from ..session import materialise
 
-_FROM_START = (Window.unboundedPreceding, Window.currentRow)
-
-
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
-    return [left[k].eqNullSafe(right[k]) for k in keys]
-
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join where null keys meet; the right copy of the keys is dropped."""
@@ -36,85 +30,97 @@ def running_totals(
     order_by: Sequence[str | Column],
     measures: Mapping[str, Column],
     by: Sequence[str] = (),
+    totals: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums, per ``by`` group or over the whole table.
 
-    ``order_by`` should name every row apart within its group: ties are then never split
-    differently between runs, and a hot value cannot fill one slice.
+    With ``totals`` each row also gets the sum of its whole group as ``<name>_total``.
+    Rows that tie in ``order_by`` are told apart by the partition they come from, so a group of
+    very many copies is spread over slices as well.
     """
     by = list(by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     names = list(measures)
-    staged = df.select("*", *[measures[n].alias(f"_in_{n}") for n in names])
+    staged = df.select(
+        "*", *[measures[n].alias(f"_in_{n}") for n in names], F.spark_partition_id().alias("_origin")
+    )
     sliced = materialise(
-        staged.repartitionByRange(*[F.col(c) for c in by], *order).withColumn(
-            "_slice", F.spark_partition_id()
-        )
+        staged.repartitionByRange(*[F.col(c) for c in by], *order, "_origin")
+        .drop("_origin").withColumn("_slice", F.spark_partition_id())
     )
-    inside = Window.partitionBy("_slice", *by).orderBy(*order).rowsBetween(*_FROM_START)
+    group = Window.partitionBy("_slice", *by)
+    inside = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ran = sliced.select("*", *[F.sum(f"_in_{n}").over(inside).alias(f"_run_{n}") for n in names])
+    if totals:
+        ran = ran.select("*", *[F.sum(f"_in_{n}").over(group).alias(f"_all_{n}") for n in names])
 
     per_slice = sliced.groupBy("_slice", *by).agg(*[F.sum(f"_in_{n}").alias(f"_sum_{n}") for n in names])
+    whole = Window.partitionBy(*by)
     if by:
         # a slice boundary cuts at most one group, so at most two rows per slice are left here
-        per_slice = per_slice.withColumn("_spans", F.count("*").over(Window.partitionBy(*by))).where("_spans > 1")
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.select(
-        "_slice", *by, *[F.sum(f"_sum_{n}").over(before).alias(f"_off_{n}") for n in names]
-    )
-    joined = join_null_safe(ran, F.broadcast(offsets), ["_slice", *by], "left")
-    return joined.select(
-        *df.columns,
-        *[(F.col(f"_run_{n}") + F.coalesce(F.col(f"_off_{n}"), F.lit(0))).alias(n) for n in names],
-    )
+        per_slice = per_slice.withColumn("_spans", F.count("*").over(whole)).where("_spans > 1")
+    before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    parts = [F.sum(f"_sum_{n}").over(before).alias(f"_off_{n}") for n in names]
+    if totals:
+        parts += [F.sum(f"_sum_{n}").over(whole).alias(f"_whole_{n}") for n in names]
+    joined = join_null_safe(ran, F.broadcast(per_slice.select("_slice", *by, *parts)), ["_slice", *by], "left")
+    out = [(F.col(f"_run_{n}") + F.coalesce(F.col(f"_off_{n}"), F.lit(0))).alias(n) for n in names]
+    if totals:
+        out += [F.coalesce(f"_whole_{n}", f"_all_{n}").alias(f"{n}_total") for n in names]
+    return joined.select(*df.columns, *out)
 
 
 def row_ranks(
-    df: DataFrame, order_by: Sequence[str | Column], by: Sequence[str] = (), name: str = "rank"
+    df: DataFrame, order_by: Sequence[str | Column], by: Sequence[str] = (), name: str = "rank",
+    totals: bool = False,
 ) -> DataFrame:
-    """Row number 1..n in the given order."""
-    return running_totals(df, order_by, {name: F.lit(1).cast("bigint")}, by)
+    """Row number 1..n in the given order; with ``totals`` also n as ``<name>_total``."""
+    return running_totals(df, order_by, {name: F.lit(1).cast("bigint")}, by, totals)
 
 
-def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct value: how often it occurs and its first, last and average rank."""
+def ranked_counts(counts: DataFrame, value: str, count: str, by: Sequence[str] = ()) -> DataFrame:
+    """First, last and average rank of each value, and the group size, from values with their counts."""
     by = list(by)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
-    ranked = running_totals(counts, [value], {"last_rank": F.col("n")}, by)
-    first = F.col("last_rank") - F.col("n") + 1
-    return ranked.select(
-        *by, value, "n", first.alias("first_rank"), "last_rank",
-        ((first + F.col("last_rank")) / 2).alias("avg_rank"),
+    ran = running_totals(counts, [value], {"last_rank": F.col(count)}, by, totals=True)
+    first = F.col("last_rank") - F.col(count) + 1
+    return ran.select(
+        *by, value, F.col(count).alias("n"), first.alias("first_rank"), "last_rank",
+        ((first + F.col("last_rank")) / 2).alias("avg_rank"), F.col("last_rank_total").alias("group_size"),
     )
 
 
+def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct value: how often it occurs and its first, last and average rank.
+
+    Values are counted first, so a value that fills a third of the table is one row.
+    """
+    kept = df.where(F.col(value).isNotNull())
+    return ranked_counts(kept.groupBy(*by, value).agg(F.count("*").alias("n")), value, "n", by)
+
+
 def exact_quantiles(
     df: DataFrame, value: str, quantiles: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group: ``by..., n, <one column per name>``.
+    """Exact, linearly interpolated quantiles per group.
 
-    Values are counted first, so repeated values shrink to one row and no group is held in memory.
+    Gives ``by..., n, distinct, <one column per name>``. No group is held in memory: the one or two
+    values at a quantile's position are picked by their rank.
     """
     by = list(by)
     ranked = value_ranks(df, value, by)
-    sizes = ranked.groupBy(*by).agg(F.max("last_rank").alias("_total"))
-    if by:
-        ranked = join_null_safe(ranked, sizes, by)
-    else:
-        ranked = ranked.withColumn("_total", sizes.scalar())
     picks = []
     for i, p in enumerate(quantiles.values()):
-        spot = (F.col("_total") - 1) * F.lit(float(p))
+        spot = (F.col("group_size") - 1) * F.lit(float(p))
         for side, at in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
             here = (F.col("first_rank") <= at + 1) & (F.col("last_rank") >= at + 1)
             picks.append(F.max(F.when(here, F.col(value).cast("double"))).alias(f"_{side}{i}"))
-    found = ranked.groupBy(*by).agg(F.max("_total").alias("n"), *picks)
+    found = ranked.groupBy(*by).agg(F.max("group_size").alias("n"), F.count("*").alias("distinct"), *picks)
     out = []
     for i, (name, p) in enumerate(quantiles.items()):
         spot = (F.col("n") - 1) * F.lit(float(p))
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         out.append((low + (spot - F.floor(spot)) * (high - low)).alias(name))
-    return found.select(*by, "n", *out)
+    return found.select(*by, "n", "distinct", *out)
 
 
 def quantile_labels(df: DataFrame, value: str, labels: list, name: str) -> DataFrame:

@@ -11,17 +11,9 @@ from .ordering import exact_quantiles
 from .quality import numeric_columns
 
 
-def _cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per cell: column name, value as text, value as number (numeric columns only)."""
-    numeric = set(numeric_columns(df))
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(c).cast("string").alias("text"),
-            (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number"),
-        )
-        for c in columns
-    ]
+def _text_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per cell: column name and value as text."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text")) for c in columns]
     return df.select(F.inline(F.array(*cells)))
 
 
@@ -56,25 +48,33 @@ def column_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact distinct non-null values per column; repeated values collapse before the shuffle."""
     return (
-        _cells(df, columns).where("text is not null").select("column", "text").distinct()
+        _text_cells(df, columns).where("text is not null").distinct()
         .groupBy("column").agg(F.count("*").alias("unique_count"))
     )
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """dtype, counts, null share, distinct, min/max/mean/std and quartiles for each column."""
+    """dtype, counts, null share, distinct, min/max/mean/std and quartiles for each column.
+
+    Three passes at most: moments, quartiles with the distinct numbers, and distinct texts.
+    """
     columns = list(columns or df.columns)
     numeric = [c for c in columns if c in set(numeric_columns(df))]
-    out = column_moments(df, columns).join(distinct_counts(df, columns), "column", "left")
+    texts = [c for c in columns if c not in numeric]
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    out = column_moments(df, columns)
+    found = []
     if numeric:
-        quartiles = exact_quantiles(
-            number_cells(df, numeric), "number", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"]
-        ).drop("n")
-        out = out.join(quartiles, "column", "left")
-    else:
-        out = out.select("*", *[F.lit(None).cast("double").alias(p) for p in ("p25", "p50", "p75")])
+        exact = exact_quantiles(number_cells(df, numeric), "number", quartiles, ["column"])
+        found.append(exact.drop("n").withColumnRenamed("distinct", "unique_count"))
+    if texts:
+        found.append(distinct_counts(df, texts))
+    details = found[0] if len(found) == 1 else found[0].unionByName(found[1], allowMissingColumns=True)
+    for p in quartiles:
+        if p not in details.columns:
+            details = details.withColumn(p, F.lit(None).cast("double"))
     share = F.try_divide(F.col("null_count"), F.col("total_count")) * 100
-    return out.select(
+    return out.join(details, "column", "left").select(
         "position", "column", "dtype", "total_count", "null_count",
         F.round(share, 2).alias("null_pct"),
         F.coalesce("unique_count", F.lit(0).cast("bigint")).alias("unique_count"),
@@ -107,7 +107,7 @@ def analysis_columns(df: DataFrame) -> list[str]:
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """mean, median, deviation, min and max per column."""
-    middle = exact_quantiles(number_cells(df, columns), "number", {"median": 0.5}, ["column"]).drop("n")
+    middle = exact_quantiles(number_cells(df, columns), "number", {"median": 0.5}, ["column"]).select("column", "median")
     return (
         column_moments(df, columns).select("column", "mean", "std", "min", "max")
         .join(middle, "column", "left")

@@ -99,14 +99,12 @@ def flag_repeats(
     """True on every row but the first per key (null keys meet); whole rows by default.
 
     Two steps, so that one key with very many rows never meets in one task: each salt keeps its
-    first row, then the at most ``salts`` firsts of a key are compared. ``order_by`` must tell
-    the rows of a key apart; without it the rows are taken as copies, and any one may stay.
+    first row, then the at most ``salts`` firsts of a key are compared. ``order_by`` tells the rows
+    of a key apart; rows that tie in it are taken as copies, and any one of them may stay.
     """
     keys = list(keys or df.columns)
     order = [F.col(c) for c in order_by]
-    salt = F.pmod(F.xxhash64(*order), F.lit(salts)) if order else F.pmod(
-        F.spark_partition_id(), F.lit(salts)
-    ).cast("bigint")
+    salt = F.pmod(F.xxhash64(*order, F.spark_partition_id()), F.lit(salts))
     rank = [*order, F.col("_salt")]
     salted = df.withColumn("_salt", salt)
     within = Window.partitionBy(*keys, "_salt").orderBy(*rank)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import exact_quantiles, join_null_safe, running_totals
+from .ordering import exact_quantiles, join_null_safe, row_ranks
 
 
 def top(df: DataFrame, measure: str, key: str, k: int, lowest: bool = False) -> DataFrame:
@@ -23,12 +23,9 @@ def top_and_bottom(df: DataFrame, measure: str, key: str, k: int) -> DataFrame:
 
 def ranking_with_ends(df: DataFrame, measure: str, key: str, k: int = 3) -> DataFrame:
     """Full ranking from lowest to highest with the k lowest and k highest marked."""
-    ranked = running_totals(df, [measure, key], {"position": F.lit(1).cast("bigint")})
-    n = df.select(F.count("*")).scalar()
-    return ranked.withColumn(
-        "mark",
-        F.when(F.col("position") <= k, "lowest").when(F.col("position") > n - k, "highest"),
-    )
+    ranked = row_ranks(df, [measure, key], name="position", totals=True)
+    mark = F.when(F.col("position") <= k, "lowest").when(F.col("position") > F.col("position_total") - k, "highest")
+    return ranked.withColumn("mark", mark).drop("position_total")
 
 
 def only_top_keys(df: DataFrame, key: str, k: int) -> DataFrame:
@@ -47,7 +44,7 @@ def in_order(groups: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 def by_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """Groups ordered by their median."""
-    return exact_quantiles(df, value, {"median": 0.5}, [group]).orderBy("median", group)
+    return exact_quantiles(df, value, {"median": 0.5}, [group]).drop("distinct").orderBy("median", group)
 
 
 def hash_sample(df: DataFrame, key: Sequence[str], k: int, seed: int = 42) -> DataFrame:

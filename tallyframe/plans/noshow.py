@@ -28,15 +28,13 @@ AGE_LABELS = ["0-10", "11-20", "21-30", "31-40", "41-50", "51-60", "61-70", "71-
 LEAD_EDGES = [-1, 0, 7, 30, 90, 10000]
 LEAD_LABELS = ["same-day", "1-7d", "8-30d", "31-90d", "90d+"]
 CONDITIONS = ["Scholarship", "Hipertension", "Diabetes", "Alcoholism", "handcap_binary", "SMS_received"]
-SCHEMA_TEXT = {"PatientId", "Gender", "ScheduledDay", "AppointmentDay", "Neighbourhood", "No-show"}
+TEXT_COLUMNS = {"PatientId", "Gender", "ScheduledDay", "AppointmentDay", "Neighbourhood", "No-show"}
+SCHEMA = ", ".join(f"`{c}` {'string' if c in TEXT_COLUMNS else 'bigint'}" for c in COLUMNS)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Patient ids stay text (they overflow a double); times stay text until parsed as UTC."""
-    raw = read_csv(spark, path, expected=COLUMNS)
-    return raw.select(*[
-        F.col(c).cast("string" if c in SCHEMA_TEXT else "bigint").alias(c) for c in raw.columns
-    ])
+    return read_csv(spark, path, SCHEMA, expected=COLUMNS)
 
 
 def parse(df: DataFrame) -> DataFrame:

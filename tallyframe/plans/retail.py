@@ -31,13 +31,20 @@ NUMERIC = ["Sales", "Quantity", "Discount", "days_to_ship", "order_month", "orde
 Z_LIMIT = 3.0
 
 
+def _ddl(columns: list[str], kinds: dict[str, str]) -> str:
+    return ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in columns)
+
+
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
-    raw = read_csv(spark, path, encoding="ISO-8859-1", expected=SALES_COLUMNS)
-    return raw.withColumns({c: F.col(c).cast("string") for c in ("Order Date", "Ship Date")})
+    kinds = {"Row ID": "bigint", "Postal Code": "bigint", "Quantity": "bigint", "Sales": "double",
+             "Discount": "double", "Profit": "double"}
+    return read_csv(spark, path, _ddl(SALES_COLUMNS, kinds), "ISO-8859-1", SALES_COLUMNS)
 
 
 def read_web(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, encoding="ISO-8859-1", expected=WEB_COLUMNS)
+    kinds = {c: "double" for c in WEB_COLUMNS if c != "Traffic Source"}
+    kinds.update({"Page Views": "bigint", "Previous Visits": "bigint"})
+    return read_csv(spark, path, _ddl(WEB_COLUMNS, kinds), "ISO-8859-1", WEB_COLUMNS)
 
 
 def clean_sales(df: DataFrame, source: str = "kaggle.csv") -> Split:

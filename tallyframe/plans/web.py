@@ -18,11 +18,15 @@ COLUMNS = [
 ]
 NUMERIC = [c for c in COLUMNS if c != "Traffic Source"]
 SOURCES = ["Organic", "Social", "Paid", "Direct", "Referral"]
+SCHEMA = (
+    "`Page Views` bigint, `Session Duration` double, `Bounce Rate` double, `Traffic Source` string, "
+    "`Time on Page` double, `Previous Visits` bigint, `Conversion Rate` double"
+)
 TARGETS = ["Session Duration", "Bounce Rate", "Conversion Rate", "Page Views", "Time on Page"]
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, expected=COLUMNS)
+    return read_csv(spark, path, SCHEMA, expected=COLUMNS)
 
 
 def audit(df: DataFrame) -> DataFrame:

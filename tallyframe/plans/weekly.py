@@ -14,10 +14,11 @@ from ..sources.readers import read_csv
 
 # fixed values: the column contract
 COLUMNS = ["date", "region", "product", "units_sold", "revenue", "cost"]
+SCHEMA = "date string, region string, product string, units_sold bigint, revenue double, cost double"
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, expected=COLUMNS).withColumn("date", F.col("date").cast("string"))
+    return read_csv(spark, path, SCHEMA, expected=COLUMNS)
 
 
 def rules(repeat: str) -> list[Rule]:

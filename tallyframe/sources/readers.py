@@ -38,10 +38,11 @@ def read_csv(
     expected: Sequence[str] = (), multiline: bool = False, date_format: str | None = None,
     timestamp_format: str | None = None,
 ) -> DataFrame:
-    """CSV with a header. With a schema nothing is inferred; without one the types are inferred.
+    """CSV with a header.
 
-    Only the named columns of the schema are required; a file with the columns in another order
-    is still read by name.
+    With a schema no pass over the data is needed: only the header is read, its names get the
+    schema's types in whatever order they come, and other columns pass as text. Without one the
+    types are inferred.
     """
     require_path(spark, path)
     reader = (
@@ -53,10 +54,12 @@ def read_csv(
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
     if schema is None:
-        df = reader.option("inferSchema", True).csv(path)
-    else:
-        df = reader.schema(schema).option("enforceSchema", False).csv(path)
-    return require_columns(df, expected)
+        return require_columns(reader.option("inferSchema", True).csv(path), expected)
+    header = require_columns(reader.csv(path), expected)
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kinds = {f.name: f.dataType for f in declared.fields}
+    typed = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header.columns])
+    return reader.schema(typed).option("enforceSchema", False).csv(path)
 
 
 def read_csv_any_encoding(spark: SparkSession, path: str, expected: Sequence[str] = ()) -> DataFrame:

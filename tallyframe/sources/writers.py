@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ordering import running_totals
+from ..operators.ordering import row_ranks
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, encoding: str = "UTF-8") -> str:
@@ -39,16 +39,21 @@ def write_json(df: DataFrame, path: str) -> str:
 def sessions_as_messages(
     turns: DataFrame, session: str, order: str, role: str, text: str, page: int = 10_000
 ) -> DataFrame:
-    """session -> ordered messages, as pages of ``page`` messages.
+    """session -> ordered messages, as pages of at most ``page`` messages.
 
-    A session of usual length is one row with page 0. A very long one goes on in further rows, so
-    that no task ever holds a whole unbounded session.
+    A session of usual length is grouped at once and is page 0. Only sessions longer than a page are
+    numbered in order and go on in further rows, so that no task holds an unbounded session.
     """
-    numbered = running_totals(
-        turns.select(session, order, role, text), [order, role, text],
-        {"_nth": F.lit(1).cast("bigint")}, by=[session],
-    ).withColumn("page", F.floor((F.col("_nth") - 1) / page).cast("int"))
+    slim = turns.select(session, order, role, text)
+    counts = slim.groupBy(F.col(session).alias("_s")).agg(F.count("*").alias("_k"))
+    long, same = counts.where(F.col("_k") > page), F.col(session).eqNullSafe(F.col("_s"))
+    usual = slim.join(long, same, "left_anti").withColumn("page", F.lit(0))
+    numbered = row_ranks(slim.join(long, same, "left_semi"), [order, role, text], [session], "_nth")
+    paged = numbered.withColumn("page", F.floor((F.col("_nth") - 1) / page).cast("int")).drop("_nth")
     message = F.struct(F.col(order), F.col(role).alias("type"), F.col(text).alias("content"))
-    return numbered.groupBy(session, "page").agg(
-        F.min(order).alias("start"), F.array_sort(F.collect_list(message)).alias("messages")
-    )
+    nested = [
+        part.groupBy(session, "page").agg(
+            F.min(order).alias("start"), F.array_sort(F.collect_list(message)).alias("messages"))
+        for part in (usual, paged)
+    ]
+    return nested[0].unionByName(nested[1])
