@@ -372,8 +372,9 @@ GAINS = """gains AS (SELECT p_type AS category, l_discount, l_extendedprice * (0
   span AS (SELECT min(l_discount) AS a, max(l_discount) AS b FROM gains),
   binned AS (SELECT *, 1 + """ + " + ".join(
     f"CASE WHEN l_discount > a + (b - a) / 10 * {k} THEN 1 ELSE 0 END" for k in range(1, 10)) + """ AS bin FROM gains, span),
-  labelled AS (SELECT *, '(' || CAST(round(CASE WHEN bin = 1 THEN a - (b - a) * 0.001 ELSE a + (b - a) / 10 * (bin - 1) END, 3) AS VARCHAR)
-     || ', ' || CAST(round(a + (b - a) / 10 * bin, 3) AS VARCHAR) || ']' AS label FROM binned)"""
+  bounds AS (SELECT *, CASE WHEN bin = 1 THEN a - (b - a) * 0.001 ELSE a + (b - a) / 10 * (bin - 1) END AS lo, a + (b - a) / 10 * bin AS hi FROM binned),
+  labelled AS (SELECT *, '(' || CAST(round_even(lo, CAST(2 - floor(log10(abs(lo))) AS INTEGER)) AS VARCHAR)
+     || ', ' || CAST(round_even(hi, CAST(2 - floor(log10(abs(hi))) AS INTEGER)) AS VARCHAR) || ']' AS label FROM bounds)"""
 
 
 @query(f"""WITH {GAINS}, m AS (SELECT category, bin, label, avg(gain) AS mean FROM labelled GROUP BY 1, 2, 3),

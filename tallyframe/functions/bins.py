@@ -33,18 +33,24 @@ def equal_width_edges(bin_number: Column, low: Column, high: Column, bins: int)
     return left, low + step * bin_number
 
 
+def _edge_text(edge: Column, digits: int) -> Column:
+    """``digits`` decimals, or as many significant digits below one, without trailing zeros."""
+    small = (F.abs(edge) < 1) & (edge != 0)
+    places = F.when(small, digits - 1 - F.floor(F.log10(F.abs(edge)))).otherwise(F.lit(digits))
+    scale = F.pow(F.lit(10.0), places)
+    text = (F.rint(edge * scale) / scale).cast("decimal(38,18)").cast("string")
+    return F.regexp_replace(F.regexp_replace(text, "0+$", ""), r"\.$", ".0")
+
+
 def interval_label(left: Column, right: Column, digits: int = 3) -> Column:
-    return F.concat(
-        F.lit("("), F.round(left, digits).cast("string"), F.lit(", "),
-        F.round(right, digits).cast("string"), F.lit("]"),
-    )
+    """``(0.24, 0.32]``"""
+    return F.concat(F.lit("("), _edge_text(left, digits), F.lit(", "), _edge_text(right, digits), F.lit("]"))
 
 
 def histogram_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """1-based left-closed bin with the last bin closed on both sides."""
-    width = high - low
-    raw = F.floor(F.try_divide(value - low, width) * bins) + 1
-    return F.when(value.isNotNull(), F.coalesce(F.least(F.lit(bins), raw), F.lit(1)).cast("int"))
+    """1-based left-closed bin with the last bin closed on both sides; ``high`` must exceed ``low``."""
+    raw = F.floor(F.try_divide(value - low, high - low) * bins) + 1
+    return F.when(value.isNotNull(), F.least(F.lit(bins), raw).cast("int"))
 
 
 def bin_from_rank(rank: Column, total: Column, bins: int = 4) -> Column:

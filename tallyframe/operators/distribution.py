@@ -11,13 +11,16 @@ from ..functions.bins import equal_width_bin, equal_width_edges, histogram_bin,
 from .ordering import exact_quantiles, join_null_safe
 
 
-def _span(df: DataFrame, value: str) -> Column:
-    return df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("s")).scalar()
+def _span(df: DataFrame, value: str, widen_by: Column) -> Column:
+    """Lowest and highest value as one scalar, moved apart when they are the same."""
+    low, high = F.min(value).cast("double"), F.max(value).cast("double")
+    pad = F.when(low == high, widen_by).otherwise(F.lit(0.0))
+    return df.agg(F.struct((low - pad).alias("low"), (high + pad).alias("high")).alias("s")).scalar()
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """Counts per equal-width bin over the global range."""
-    span = _span(df, value)
+    """Counts per equal-width bin over the global range (a single value gets a range of one)."""
+    span = _span(df, value, F.lit(0.5))
     kept = df.where(F.col(value).isNotNull())
     number = histogram_bin(F.col(value), span["low"], span["high"], bins)
     counts = kept.groupBy(*by, number.alias("bin")).agg(F.count("*").alias("n"))
@@ -32,8 +35,11 @@ def density_histogram(df: DataFrame, value: str, group: str, bins: int) -> DataF
     """Each group over its own range, normalised to area one."""
     kept = df.where(F.col(value).isNotNull())
     spans = kept.groupBy(group).agg(
-        F.min(value).alias("_low"), F.max(value).alias("_high"), F.count("*").alias("_n")
+        F.min(value).cast("double").alias("_low"), F.max(value).cast("double").alias("_high"),
+        F.count("*").alias("_n"),
     )
+    pad = F.when(F.col("_low") == F.col("_high"), 0.5).otherwise(0.0)
+    spans = spans.select(group, "_n", (F.col("_low") - pad).alias("_low"), (F.col("_high") + pad).alias("_high"))
     counts = kept.groupBy(group, value).agg(F.count("*").alias("_c"))
     binned = join_null_safe(counts, spans, [group]).withColumn(
         "bin", histogram_bin(F.col(value), F.col("_low"), F.col("_high"), bins)
@@ -112,7 +118,7 @@ def mean_by_equal_bins(
     df: DataFrame, value: str, measure: str, bins: int = 10, by: Sequence[str] = ()
 ) -> DataFrame:
     """Mean of a measure per right-closed equal-width bin, with the bin's edges."""
-    span = _span(df, value)
+    span = _span(df, value, F.greatest(F.abs(F.min(value)) * 0.001, F.lit(0.001)))
     number = equal_width_bin(F.col(value), span["low"], span["high"], bins)
     left, right = equal_width_edges(F.col("bin"), span["low"], span["high"], bins)
     return (
