@@ -23,7 +23,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     span = _span(df, value, F.lit(0.5))
     kept = df.where(F.col(value).isNotNull())
     number = histogram_bin(F.col(value), span["low"], span["high"], bins)
-    counts = kept.groupBy(*by, number.alias("bin")).agg(F.count("*").alias("n"))
+    counts = kept.select(*by, number.alias("bin")).groupBy(*by, "bin").agg(F.count("*").alias("n"))
     step = (span["high"] - span["low"]) / bins
     return counts.select(
         *by, "bin", (span["low"] + step * (F.col("bin") - 1)).alias("left_edge"),
@@ -80,7 +80,8 @@ def density_curve(
 ) -> DataFrame:
     """Gaussian kernel density on a grid per group, Scott bandwidth, reaching past both ends.
 
-    Values are counted first; the grid is a set of aggregate columns, so no row is multiplied.
+    Values are counted first; the grid is a set of aggregate columns, so no row is multiplied. A group
+    without spread has no bandwidth and gets a null density.
     """
     by = list(by)
     kept = df.where(F.col(value).isNotNull())
@@ -100,14 +101,14 @@ def density_curve(
         placed = counts.select("*", *[s[c].alias(c) for c in shape])
     sums = []
     for k in range(points):
-        z = (F.col("_start") + F.col("_step") * k - F.col(value)) / F.col("_h")
+        z = F.try_divide(F.col("_start") + F.col("_step") * k - F.col(value), F.col("_h"))
         sums.append(F.sum(F.col("_c") * F.exp(z * z * -0.5)).alias(f"d{k}"))
     wide = placed.groupBy(*by, *shape).agg(*sums)
     norm = F.col("_n") * F.col("_h") * F.sqrt(F.lit(2.0) * F.pi())
     cells = F.array(*[
         F.struct(
             F.lit(k).alias("point"), (F.col("_start") + F.col("_step") * k).alias("x"),
-            (F.col(f"d{k}") / norm).alias("density"),
+            F.try_divide(F.col(f"d{k}"), norm).alias("density"),
         )
         for k in range(points)
     ])
@@ -122,8 +123,8 @@ def mean_by_equal_bins(
     number = equal_width_bin(F.col(value), span["low"], span["high"], bins)
     left, right = equal_width_edges(F.col("bin"), span["low"], span["high"], bins)
     return (
-        df.where(F.col(value).isNotNull()).groupBy(*by, number.alias("bin"))
-        .agg(F.count("*").alias("n"), F.avg(measure).alias("mean"))
+        df.where(F.col(value).isNotNull()).select(*by, number.alias("bin"), F.col(measure).alias("_m"))
+        .groupBy(*by, "bin").agg(F.count("*").alias("n"), F.avg("_m").alias("mean"))
         .select(*by, "bin", left.alias("left_edge"), right.alias("right_edge"), "n", "mean")
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import safe_ratio
@@ -137,10 +137,15 @@ def fisher(df: DataFrame, row: str, column: str) -> DataFrame:
     return counts.withColumn("odds_ratio", odds).withColumn("p_value", fisher_p("n00", "n01", "n10", "n11"))
 
 
+def correlation(x: str, y: str) -> Column:
+    """Aggregate: Pearson r over the rows where both are known; null, not an error, for a constant."""
+    return safe_ratio(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x)))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All pairs, long form, from one aggregate."""
     pairs = list(combinations(range(len(columns)), 2))
-    row = df.agg(*[F.corr(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs])
+    row = df.agg(*[correlation(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs])
     cells = []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):
@@ -160,14 +165,15 @@ def pearson_with_target(df: DataFrame, target: str, features: Sequence[str], alp
     """r, t and two-sided p of each feature against the target."""
     row = df.agg(*[
         F.struct(
-            F.lit(f).alias("feature"), F.corr(target, f).alias("r"),
+            F.lit(f).alias("feature"), correlation(target, f).alias("r"),
             F.count_if(F.col(target).isNotNull() & F.col(f).isNotNull()).alias("n"),
         ).alias(f"s{i}")
         for i, f in enumerate(features)
     ])
     table = row.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(features))])))
     r = F.col("r")
-    t = r * F.sqrt(safe_ratio(F.col("n") - 2, 1 - r * r))
+    exact = F.signum(r) * F.lit(float("inf"))
+    t = F.when(1 - r * r > 0, r * F.sqrt(safe_ratio(F.col("n") - 2, 1 - r * r))).when(r.isNotNull(), exact)
     return table.withColumn("t_stat", t).withColumn(
         "p_value", student_p("t_stat", (F.col("n") - 2).cast("double"))
     ).withColumn("significant", F.col("p_value") < alpha)
@@ -175,7 +181,7 @@ def pearson_with_target(df: DataFrame, target: str, features: Sequence[str], alp
 
 def rank_features(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
     """Features by the size of their correlation with the target."""
-    row = df.agg(*[F.corr(target, f).alias(f"r{i}") for i, f in enumerate(features)])
+    row = df.agg(*[correlation(target, f).alias(f"r{i}") for i, f in enumerate(features)])
     table = row.select(F.inline(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f"r{i}").alias("r")) for i, f in enumerate(features)
     ])))
@@ -183,10 +189,9 @@ def rank_features(df: DataFrame, target: str, features: Sequence[str]) -> DataFr
 
 
 def trend_line(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Least-squares line y = intercept + slope * x."""
+    """Least-squares line y = intercept + slope * x; null for a constant x."""
+    slope = safe_ratio(F.regr_sxy(y, x), F.regr_sxx(y, x))
     return df.agg(
-        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
+        slope.alias("slope"), (F.regr_avgy(y, x) - slope * F.regr_avgx(y, x)).alias("intercept"),
         F.regr_count(y, x).alias("n"),
     )
-
-

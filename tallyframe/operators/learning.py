@@ -293,7 +293,13 @@ def centroids(scores: DataFrame, group: str, components: int = 2) -> DataFrame:
 
 
 def hierarchical_groups(df: DataFrame, columns: Sequence[str] | str, k: int, keep: Sequence[str]) -> DataFrame:
-    """Top-down hierarchical grouping of standardised rows."""
+    """Top-down hierarchical grouping of standardised rows.
+
+    The learner splits a cluster by moving its centre in proportion to the centre's length, which is
+    zero for centred data. All rows are therefore shifted by one first; distances stay the same.
+    """
     scaled = standardised(as_vector(df, columns), "_vector")
-    model = BisectingKMeans(k=k, seed=SEED, featuresCol="_scaled", predictionCol="cluster").fit(scaled)
-    return model.transform(scaled).select(*keep, "cluster")
+    shifted = F.transform(vector_to_array("_scaled"), lambda x: x + 1.0)
+    moved = scaled.withColumn("_moved", array_to_vector(shifted))
+    model = BisectingKMeans(k=k, seed=SEED, featuresCol="_moved", predictionCol="cluster").fit(moved)
+    return model.transform(moved).select(*keep, "cluster")

@@ -98,23 +98,40 @@ def flag_repeats(
 ) -> DataFrame:
     """True on every row but the first per key (null keys meet); whole rows by default.
 
-    Two steps, so that one key with very many rows never meets in one task: each salt keeps its
-    first row, then the at most ``salts`` firsts of a key are compared. ``order_by`` tells the rows
-    of a key apart; rows that tie in it are taken as copies, and any one of them may stay.
+    Exact copies are counted before the shuffle and written out again at the end, and the different
+    rows of one key are compared in two steps, so no key fills a task: each salt keeps its first
+    row by ``order_by``, then the at most ``salts`` firsts are compared.
     """
-    keys = list(keys or df.columns)
-    order = [F.col(c) for c in order_by]
-    salt = F.pmod(F.xxhash64(*order, F.spark_partition_id()), F.lit(salts))
-    rank = [*order, F.col("_salt")]
-    salted = df.withColumn("_salt", salt)
+    counts = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    if keys is None or set(keys) == set(df.columns):
+        return expand_copies(counts, df.columns, F.col("_nth") > 1, name)
+    rank = [F.col(c) for c in order_by or [c for c in df.columns if c not in keys]]
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(*rank), F.lit(salts)))
     within = Window.partitionBy(*keys, "_salt").orderBy(*rank)
-    firsts = salted.withColumn("_nth", F.row_number().over(within)).withColumn(
-        "_round", F.when(F.col("_nth") == 1, F.lit(-1).cast("bigint")).otherwise(F.col("_salt"))
+    firsts = salted.withColumn("_place", F.row_number().over(within)).withColumn(
+        "_round", F.when(F.col("_place") == 1, F.lit(-1).cast("bigint")).otherwise(F.col("_salt"))
     )
-    across = Window.partitionBy(*keys, "_round").orderBy(*rank)
-    return firsts.withColumn(
-        name, (F.row_number().over(across) > 1) | (F.col("_nth") > 1)
-    ).drop("_salt", "_nth", "_round")
+    across = Window.partitionBy(*keys, "_round").orderBy(*rank, "_salt")
+    marked = firsts.withColumn("_later", (F.col("_place") > 1) | (F.row_number().over(across) > 1))
+    return expand_copies(marked, df.columns, F.col("_later") | (F.col("_nth") > 1), name)
+
+
+def expand_copies(
+    counts: DataFrame, columns: Sequence[str], repeat: Column, name: str, chunk: int = 100_000
+) -> DataFrame:
+    """Rows with a ``_copies`` count as that many rows again, numbered by ``_nth``.
+
+    A count above ``chunk`` is cut into pieces that are spread over tasks before they are written out.
+    """
+    few = counts.where(F.col("_copies") <= chunk).withColumn("_nth", F.explode(F.sequence(F.lit(1), "_copies")))
+    pieces = counts.where(F.col("_copies") > chunk).withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / chunk)))
+    )
+    low = F.col("_piece") * chunk + 1
+    many = pieces.repartition("_piece", *columns).withColumn(
+        "_nth", F.explode(F.sequence(low, F.least(low + chunk - 1, F.col("_copies"))))
+    ).drop("_piece")
+    return few.unionByName(many).select(*columns, repeat.alias(name))
 
 
 def audit_any_table(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:

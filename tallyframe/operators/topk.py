@@ -37,7 +37,7 @@ def only_top_keys(df: DataFrame, key: str, k: int) -> DataFrame:
 def in_order(groups: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Re-index to a fixed category order; a missing category gives a row of nulls."""
     wanted = groups.sparkSession.createDataFrame(
-        [(i, v) for i, v in enumerate(order)], f"position int, {key} string"
+        [(i, v) for i, v in enumerate(order)], f"position int, `{key}` string"
     )
     return wanted.join(groups, key, "left").select("position", *groups.columns)
 

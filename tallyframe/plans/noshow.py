@@ -152,7 +152,7 @@ def multivariate(df: DataFrame) -> dict[str, DataFrame]:
 def summary(df: DataFrame, min_visits: int = 50) -> DataFrame:
     """The report's metrics as text rows, in report order."""
     missed = F.col("noshow_flag")
-    pct = lambda c: F.format_string("%.2f", c * 100)
+    pct = lambda c: F.when(c.isNotNull(), F.format_string("%.2f", c * 100))
     on = lambda column, value: F.avg(F.when(F.col(column) == value, missed))
     middle = exact_quantiles(df, "lead_days", {"m": 0.5}).select("m").scalar()
     patients = df.select("PatientId").where("PatientId is not null").distinct().select(F.count("*")).scalar()
@@ -187,7 +187,7 @@ def summary(df: DataFrame, min_visits: int = 50) -> DataFrame:
         for i, (m, v) in enumerate(metrics)
     ])
     # a bucket without rows has no rate and no line
-    return row.select(F.inline(cells)).where(F.col("value").isNotNull() & (F.col("value") != "null"))
+    return row.select(F.inline(cells)).where("value is not null")
 
 
 def run(spark: SparkSession, path: str, out: str) -> dict[str, str]:
