@@ -51,7 +51,7 @@ def running_totals(
     group = Window.partitionBy("_slice", *by)
     inside = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ran = sliced.select("*", *[F.sum(f"_in_{n}").over(inside).alias(f"_run_{n}") for n in names])
-    if totals:
+    if totals and by:
         ran = ran.select("*", *[F.sum(f"_in_{n}").over(group).alias(f"_all_{n}") for n in names])
 
     per_slice = sliced.groupBy("_slice", *by).agg(*[F.sum(f"_in_{n}").alias(f"_sum_{n}") for n in names])
@@ -66,7 +66,10 @@ def running_totals(
     joined = join_null_safe(ran, F.broadcast(per_slice.select("_slice", *by, *parts)), ["_slice", *by], "left")
     out = [(F.col(f"_run_{n}") + F.coalesce(F.col(f"_off_{n}"), F.lit(0))).alias(n) for n in names]
     if totals:
-        out += [F.coalesce(f"_whole_{n}", f"_all_{n}").alias(f"{n}_total") for n in names]
+        out += [
+            (F.coalesce(f"_whole_{n}", f"_all_{n}") if by else F.col(f"_whole_{n}")).alias(f"{n}_total")
+            for n in names
+        ]
     return joined.select(*df.columns, *out)
 
 
