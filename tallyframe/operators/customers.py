@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.bins import bin_from_rank
 from ..functions.dates import days_between
 from ..session import materialise
-from .ordering import quantile_labels, row_ranks
+from .ordering import known, quantile_labels, row_ranks
 
 
 def segment_of(r: Column, f: Column, m: Column) -> Column:
@@ -33,7 +33,7 @@ def recency_frequency_spend(
     """Days since the last order (from the day after the newest), distinct orders, total spend."""
     reference = df.select(F.date_add(F.max(moment).cast("date"), 1)).scalar()
     # two levels: orders collapse first, so one customer with very many orders stays cheap
-    orders = df.groupBy(customer, order_key).agg(F.max(moment).alias("_last"), F.sum(spend).alias("_spend"))
+    orders = known(df, customer).groupBy(customer, order_key).agg(F.max(moment).alias("_last"), F.sum(spend).alias("_spend"))
     return orders.groupBy(customer).agg(
         days_between(reference, F.max("_last").cast("date")).alias("recency"),
         F.count(order_key).alias("frequency"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bins import equal_width_bin, equal_width_edges, histogram_bin, interval_label
-from .ordering import exact_quantiles, join_null_safe
+from .ordering import exact_quantiles, join_null_safe, known
 
 
 def _span(df: DataFrame, value: str, widen_by: Column) -> Column:
@@ -33,7 +33,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
 
 def density_histogram(df: DataFrame, value: str, group: str, bins: int) -> DataFrame:
     """Each group over its own range, normalised to area one."""
-    kept = df.where(F.col(value).isNotNull())
+    kept = known(df, value, group)
     spans = kept.groupBy(group).agg(
         F.min(value).cast("double").alias("_low"), F.max(value).cast("double").alias("_high"),
         F.count("*").alias("_n"),
@@ -53,7 +53,7 @@ def density_histogram(df: DataFrame, value: str, group: str, bins: int) -> DataF
 
 def clipped_counts(df: DataFrame, key: str, low: int, high: int) -> DataFrame:
     """Histogram of rows per key with the ends clipped to ``low`` and ``high``."""
-    per_key = df.groupBy(key).agg(F.count("*").alias("k"))
+    per_key = known(df, key).groupBy(key).agg(F.count("*").alias("k"))
     return per_key.groupBy(F.greatest(F.lit(low), F.least(F.lit(high), F.col("k"))).alias("visits")).agg(
         F.count("*").alias("keys")
     )
@@ -62,6 +62,7 @@ def clipped_counts(df: DataFrame, key: str, low: int, high: int) -> DataFrame:
 def box_stats(df: DataFrame, value: str, by: str | Sequence[str]) -> DataFrame:
     """Quartiles, whisker ends within 1.5 IQR, and the number of outliers per group."""
     by = [by] if isinstance(by, str) else list(by)
+    df = known(df, *by)
     quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by).drop("distinct")
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
     fenced = join_null_safe(counts, quartiles, by)
@@ -84,7 +85,7 @@ def density_curve(
     without spread has no bandwidth and gets a null density.
     """
     by = list(by)
-    kept = df.where(F.col(value).isNotNull())
+    kept = known(df, value, *by)
     spans = kept.groupBy(*by).agg(
         F.min(value).alias("_low"), F.max(value).alias("_high"), F.count("*").alias("_n"),
         F.stddev_samp(value).alias("_s"),
@@ -123,7 +124,7 @@ def mean_by_equal_bins(
     number = equal_width_bin(F.col(value), span["low"], span["high"], bins)
     left, right = equal_width_edges(F.col("bin"), span["low"], span["high"], bins)
     return (
-        df.where(F.col(value).isNotNull()).select(*by, number.alias("bin"), F.col(measure).alias("_m"))
+        known(df, value, *by).select(*by, number.alias("bin"), F.col(measure).alias("_m"))
         .groupBy(*by, "bin").agg(F.count("*").alias("n"), F.avg("_m").alias("mean"))
         .select(*by, "bin", left.alias("left_edge"), right.alias("right_edge"), "n", "mean")
     )

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import exact_quantiles, join_null_safe, running_totals, value_ranks
+from .ordering import exact_quantiles, join_null_safe, known, running_totals, value_ranks
 
 
 def summarise(
@@ -15,8 +15,7 @@ def summarise(
 ) -> DataFrame:
     """Grouped aggregate; null keys form a group of their own unless dropped."""
     if not keep_null_keys:
-        for key in by:
-            df = df.where(F.col(key).isNotNull())
+        df = known(df, *by)
     return df.groupBy(*by).agg(*[m.alias(name) for name, m in measures.items()])
 
 
@@ -41,16 +40,14 @@ def rate_by(df: DataFrame, by: Sequence[str], outcome: Column) -> DataFrame:
     """Mean of a 0/1 outcome per group, next to the overall rate (rows without a key count in it)."""
     groups = df.groupBy(*by).agg(F.count(outcome).alias("n"), F.sum(outcome).alias("_hits"))
     overall = groups.agg(F.sum("_hits") / F.sum("n")).scalar()
-    for key in by:
-        groups = groups.where(F.col(key).isNotNull())
-    return groups.select(*by, "n", (F.col("_hits") / F.col("n")).alias("rate")).withColumn("overall_rate", overall)
+    return known(groups, *by).select(*by, "n", (F.col("_hits") / F.col("n")).alias("rate")).withColumn("overall_rate", overall)
 
 
 def rate_by_flags(df: DataFrame, flags: Sequence[str], outcome: str) -> DataFrame:
     """Outcome rate at 0 and 1 of each flag: one result for all flags, one pass."""
     cells = F.array(*[F.struct(F.lit(f).alias("flag"), F.col(f).cast("int").alias("value")) for f in flags])
     return (
-        df.select(outcome, F.inline(cells)).groupBy("flag", "value")
+        known(df.select(outcome, F.inline(cells)), "value").groupBy("flag", "value")
         .agg(F.count("*").alias("n"), F.avg(outcome).alias("rate"))
     )
 
@@ -58,7 +55,7 @@ def rate_by_flags(df: DataFrame, flags: Sequence[str], outcome: str) -> DataFram
 def best_and_worst(df: DataFrame, key: str, outcome: str, min_count: int) -> DataFrame:
     """Groups with the highest and the lowest rate among those with enough rows."""
     groups = (
-        df.groupBy(key).agg(F.count(outcome).alias("n"), F.avg(outcome).alias("rate"))
+        known(df, key).groupBy(key).agg(F.count(outcome).alias("n"), F.avg(outcome).alias("rate"))
         .where(F.col("n") >= min_count)
     )
     high = groups.orderBy(F.desc("rate"), key).limit(1).withColumn("place", F.lit("highest"))
@@ -68,7 +65,7 @@ def best_and_worst(df: DataFrame, key: str, outcome: str, min_count: int) -> Dat
 
 def count_distribution(df: DataFrame, key: str, counted: str) -> DataFrame:
     """How many keys have how many rows."""
-    per_key = df.groupBy(key).agg(F.count(counted).alias("rows_per_key"))
+    per_key = known(df, key).groupBy(key).agg(F.count(counted).alias("rows_per_key"))
     return per_key.groupBy("rows_per_key").agg(F.count("*").alias("keys"))
 
 
@@ -76,6 +73,7 @@ def profit_table(
     df: DataFrame, by: Sequence[str], profit: str, margin: str, loss_flag: str
 ) -> DataFrame:
     """count, mean, median, mean margin and percent of losses per group."""
+    df = known(df, *by)
     basic = df.groupBy(*by).agg(
         F.count(profit).alias("count"), F.avg(profit).alias("mean_profit"),
         F.avg(margin).alias("mean_profit_margin"), (F.avg(loss_flag) * 100).alias("pct_loss"),
@@ -98,12 +96,12 @@ def distinct_values(df: DataFrame, column: str, limit: int = 10_000) -> list:
 def pivot_sum(df: DataFrame, row: str, column: str, measure: str, values: Sequence | None = None) -> DataFrame:
     """Pivot of sums with empty cells as zero."""
     values = list(values) if values is not None else distinct_values(df, column)
-    return df.groupBy(row).pivot(column, values).agg(F.sum(measure)).na.fill(0.0)
+    return known(df, row).groupBy(row).pivot(column, values).agg(F.sum(measure)).na.fill(0.0)
 
 
 def pivot_mean(df: DataFrame, row: str, column: str, measure: str, values: Sequence | None = None) -> DataFrame:
     values = list(values) if values is not None else distinct_values(df, column)
-    return df.groupBy(row).pivot(column, values).agg(F.avg(measure))
+    return known(df, row).groupBy(row).pivot(column, values).agg(F.avg(measure))
 
 
 def melt(wide: DataFrame, ids: Sequence[str], name: str, value: str) -> DataFrame:
@@ -113,12 +111,12 @@ def melt(wide: DataFrame, ids: Sequence[str], name: str, value: str) -> DataFram
 
 def contingency(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
     values = list(values) if values is not None else distinct_values(df, column)
-    return df.groupBy(row).pivot(column, values).agg(F.count(F.lit(1))).na.fill(0)
+    return known(df, row, column).groupBy(row).pivot(column, values).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def row_shares(df: DataFrame, row: str, column: str) -> DataFrame:
     """Contingency in percent of each row key."""
-    cells = df.groupBy(row, column).agg(F.count("*").alias("n"))
+    cells = known(df, row, column).groupBy(row, column).agg(F.count("*").alias("n"))
     rows = cells.groupBy(row).agg(F.sum("n").alias("_row"))
     return join_null_safe(cells, rows, [row]).select(
         row, column, "n", (F.col("n") / F.col("_row") * 100).alias("row_pct")
@@ -163,10 +161,13 @@ def gini(df: DataFrame, value: str) -> DataFrame:
 
 
 def concentration(df: DataFrame, key: str, measure: str, tops: Sequence[int] = (1, 3, 5, 10)) -> DataFrame:
-    """Revenue and share of the n biggest keys, for several n. Only the biggest few keys are kept."""
+    """Revenue and share of the n biggest keys, for several n. Only the biggest few keys are kept.
+
+    Rows without a key count in the total but never rank.
+    """
     groups = df.groupBy(key).agg(F.sum(measure).alias("_m"))
     total = groups.agg(F.sum("_m")).scalar()
-    head = groups.orderBy(F.desc("_m"), key).limit(max(tops)).select("_m")
+    head = known(groups, key).orderBy(F.desc("_m"), key).limit(max(tops)).select("_m")
     ranked = head.agg(F.sort_array(F.collect_list("_m"), asc=False).alias("a"))
     cells = F.array(*[
         F.struct(
@@ -184,7 +185,7 @@ def pareto(df: DataFrame, key: str, measure: str) -> DataFrame:
     """Keys by measure, largest first, with the running sum and its share."""
     groups = df.groupBy(key).agg(F.sum(measure).alias(measure))
     total = groups.agg(F.sum(measure)).scalar()
-    ran = running_totals(groups, [F.desc(measure), F.col(key)], {
+    ran = running_totals(known(groups, key), [F.desc(measure), F.col(key)], {
         "position": F.lit(1).cast("bigint"), "cumulative": F.col(measure),
     })
     return ran.withColumn("cumulative_pct", F.try_divide(F.col("cumulative"), total) * 100)
@@ -219,7 +220,7 @@ def kpis(
         F.round(F.sum(revenue), 2).alias("total_revenue"), F.count("*").alias("order_count"),
         F.round(F.avg(revenue), 2).alias("avg_order_value"),
         F.count_if(pending).alias("pending_count"),
-        F.round(F.sum(F.when(pending, F.col(revenue))), 2).alias("pending_revenue"),
+        F.round(F.coalesce(F.sum(F.when(pending, F.col(revenue))), F.lit(0.0)), 2).alias("pending_revenue"),
     )
     middle = exact_quantiles(df, revenue, {"m": 0.5}).select(F.round("m", 2)).scalar()
     keys = list(dict.fromkeys([*leaders.values(), customer]))

@@ -25,6 +25,13 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def known(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows where every key is known: most groupings leave out a group for missing keys."""
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    return df
+
+
 def running_totals(
     df: DataFrame,
     order_by: Sequence[str | Column],

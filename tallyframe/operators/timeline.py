@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.bins import cut
 from ..functions.dates import month_key, week_ending_sunday
 from ..functions.numbers import safe_ratio
-from .ordering import running_totals
+from .ordering import join_null_safe, running_totals
 
 # period -> (label of a moment, step between labels)
 _PERIODS = {
@@ -49,7 +49,7 @@ def resample(
     calendar = spans.select(
         *by, F.explode(F.sequence("_a", "_b", F.expr(step))).alias("period")
     )
-    out = calendar.join(filled, [*by, "period"], "left")
+    out = join_null_safe(calendar, filled, [*by, "period"], "left")
     return out.na.fill(0, list(fill_zero)) if fill_zero else out
 
 
@@ -146,7 +146,7 @@ def decompose_monthly(series: DataFrame, value: str, by: Sequence[str] = (), cyc
         F.avg("_phase").alias("_centre")
     )
     if by:
-        joined = phase.join(centre, by, "left")
+        joined = join_null_safe(phase, centre, by, "left")
     else:
         joined = phase.withColumn("_centre", centre.scalar())
     seasonal = F.col("_phase") - F.col("_centre")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import exact_quantiles, join_null_safe, row_ranks
+from .ordering import exact_quantiles, join_null_safe, known, row_ranks
 
 
 def top(df: DataFrame, measure: str, key: str, k: int, lowest: bool = False) -> DataFrame:
@@ -30,7 +30,7 @@ def ranking_with_ends(df: DataFrame, measure: str, key: str, k: int = 3) -> Data
 
 def only_top_keys(df: DataFrame, key: str, k: int) -> DataFrame:
     """Rows whose key is among the k most frequent."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    counts = known(df, key).groupBy(key).agg(F.count("*").alias("_n"))
     return df.join(top(counts, "_n", key, k).select(key), key, "left_semi")
 
 
@@ -44,7 +44,7 @@ def in_order(groups: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 def by_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """Groups ordered by their median."""
-    return exact_quantiles(df, value, {"median": 0.5}, [group]).drop("distinct").orderBy("median", group)
+    return exact_quantiles(known(df, group), value, {"median": 0.5}, [group]).drop("distinct").orderBy("median", group)
 
 
 def hash_sample(df: DataFrame, key: Sequence[str], k: int, seed: int = 42) -> DataFrame:
