@@ -30,20 +30,24 @@ def rank_quartile(df: DataFrame, value: str, key: str, name: str) -> DataFrame:
 def recency_frequency_spend(
     df: DataFrame, customer: str, order_key: str, moment: str, spend: str
 ) -> DataFrame:
-    """Days since the last order (from the day after the newest), distinct orders, total spend."""
-    reference = df.select(F.date_add(F.max(moment).cast("date"), 1)).scalar()
-    # two levels: orders collapse first, so one customer with very many orders stays cheap
-    orders = known(df, customer).groupBy(customer, order_key).agg(F.max(moment).alias("_last"), F.sum(spend).alias("_spend"))
-    return orders.groupBy(customer).agg(
-        days_between(reference, F.max("_last").cast("date")).alias("recency"),
-        F.count(order_key).alias("frequency"),
+    """Days since the last order (from the day after the newest), distinct orders, total spend.
+
+    One pass: orders collapse first, so one customer with very many orders stays cheap, and the newest
+    date comes from the customers' last dates, which are written once.
+    """
+    orders = known(df, customer).groupBy(customer, order_key).agg(
+        F.max(moment).alias("_last"), F.sum(spend).alias("_spend"))
+    base = materialise(orders.groupBy(customer).agg(
+        F.max("_last").cast("date").alias("_last"), F.count(order_key).alias("frequency"),
         F.sum("_spend").alias("monetary"),
-    )
+    ))
+    reference = base.select(F.date_add(F.max("_last"), 1)).scalar()
+    recency = days_between(reference, F.col("_last"))
+    return base.select(customer, recency.alias("recency"), "frequency", "monetary")
 
 
 def rfm_scores(df: DataFrame, customer: str, order_key: str, moment: str, spend: str) -> DataFrame:
-    # one row per customer, written once: the three scores each read it
-    base = materialise(recency_frequency_spend(df, customer, order_key, moment, spend))
+    base = recency_frequency_spend(df, customer, order_key, moment, spend)
     scored = quantile_labels(base, "recency", [4, 3, 2, 1], "r_score")
     scored = rank_quartile(scored, "frequency", customer, "f_score")
     scored = rank_quartile(scored, "monetary", customer, "m_score")

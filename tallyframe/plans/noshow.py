@@ -9,10 +9,10 @@ from ..functions.bins import cut
 from ..functions.dates import days_between, parse_utc, weekday_number
 from ..functions.numbers import flag
 from ..operators import distribution, grouping, inference, timeline, topk
-from ..operators.ordering import exact_quantiles, quantile_labels
+from ..operators.ordering import exact_quantiles, known, quantile_labels
 from ..operators.quality import Rule, Split, first_reason, split
 from ..sources.readers import read_csv
-from ..sources.writers import raw_then_derived, write_csv
+from ..sources.writers import raw_then_derived, write_csv, write_parquet
 
 # fixed values: the column contract and the bins
 COLUMNS = [
@@ -117,7 +117,7 @@ def visit_buckets(df: DataFrame) -> DataFrame:
 
 def volume_terciles(df: DataFrame) -> DataFrame:
     """Missed-visit rate by volume tercile of the neighbourhood and by scholarship."""
-    volumes = df.where("Neighbourhood is not null").groupBy("Neighbourhood").agg(F.count("*").alias("_v"))
+    volumes = known(df, "Neighbourhood").groupBy("Neighbourhood").agg(F.count("*").alias("_v"))
     labels = ["Low Volume", "Medium Volume", "High Volume"]
     lookup = quantile_labels(volumes, "_v", labels, "nb_tercile").drop("_v")
     joined = topk.map_groups(df, lookup, "Neighbourhood")
@@ -155,12 +155,18 @@ def summary(df: DataFrame, min_visits: int = 50) -> DataFrame:
     pct = lambda c: F.when(c.isNotNull(), F.format_string("%.2f", c * 100))
     on = lambda column, value: F.avg(F.when(F.col(column) == value, missed))
     middle = exact_quantiles(df, "lead_days", {"m": 0.5}).select("m").scalar()
-    patients = df.select("PatientId").where("PatientId is not null").distinct().select(F.count("*")).scalar()
-    place = df.where("Neighbourhood is not null").groupBy("Neighbourhood").agg(F.count("*").alias("_n"))
-    commonest = grouping.leader(place, "Neighbourhood", "_n").select(F.col("Neighbourhood").cast("string")).scalar()
-    ends = grouping.best_and_worst(df.where("Neighbourhood is not null"), "Neighbourhood", "noshow_flag", min_visits)
-    text = F.concat(F.col("Neighbourhood").cast("string"), F.lit(" ("), F.format_string("%.1f", F.col("rate") * 100), F.lit("%)"))
-    end = lambda side: ends.where(F.col("place") == side).select(text).scalar()
+    patients = known(df.select("PatientId"), "PatientId").distinct().select(F.count("*")).scalar()
+    place = F.col("Neighbourhood").cast("string")
+    text = F.concat(place, F.lit(" ("), F.format_string("%.1f", F.col("rate") * 100), F.lit("%)"))
+    enough = F.col("rated") >= min_visits
+    # one row per neighbourhood; the three names come out of one aggregate over them
+    places = known(df, "Neighbourhood").groupBy("Neighbourhood").agg(
+        F.count("*").alias("visits"), F.count(missed).alias("rated"), F.avg(missed).alias("rate"),
+    ).agg(F.struct(
+        F.min_by(place, F.struct(-F.col("visits"), "Neighbourhood")).alias("commonest"),
+        F.min_by(text, F.when(enough, F.struct(-F.col("rate"), F.col("Neighbourhood")))).alias("highest"),
+        F.min_by(text, F.when(enough, F.struct("rate", "Neighbourhood"))).alias("lowest"),
+    ).alias("p")).scalar()
     row = df.agg(
         F.count("*").cast("string").alias("n"), pct(F.avg(missed)).alias("overall"),
         *[pct(on("Gender", g)).alias(f"gender_{g}") for g in ("F", "M")],
@@ -178,9 +184,9 @@ def summary(df: DataFrame, min_visits: int = 50) -> DataFrame:
         ("No-show rate — SMS received (%)", F.col("sms_1")),
         ("Mean lead_days", F.col("mean_lead")),
         ("Median lead_days", F.format_string("%.0f", F.bround(middle, 0))),
-        ("Most common neighbourhood", commonest),
-        (f"Neighbourhood with highest no-show rate (min {min_visits} appts)", end("highest")),
-        (f"Neighbourhood with lowest no-show rate (min {min_visits} appts)", end("lowest")),
+        ("Most common neighbourhood", places["commonest"]),
+        (f"Neighbourhood with highest no-show rate (min {min_visits} appts)", places["highest"]),
+        (f"Neighbourhood with lowest no-show rate (min {min_visits} appts)", places["lowest"]),
     ]
     cells = F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(m).alias("metric"), v.alias("value"))
@@ -191,10 +197,12 @@ def summary(df: DataFrame, min_visits: int = 50) -> DataFrame:
 
 
 def run(spark: SparkSession, path: str, out: str) -> dict[str, str]:
+    """CSV in; dirty rows, clean rows (also as Parquet, which the summary reads) and the summary out."""
     parts = clean(parse(read(spark, path)))
-    kept = raw_then_derived(derive(parts.clean), COLUMNS, DERIVED)
+    typed = write_parquet(raw_then_derived(derive(parts.clean), COLUMNS, DERIVED), f"{out}/clean_parquet")
+    kept = spark.read.parquet(typed)
     return {
         "dirty": write_csv(parts.dirty, f"{out}/dirty", columns=[*COLUMNS, "reason"]),
-        "clean": write_csv(kept, f"{out}/clean"),
+        "clean": write_csv(kept, f"{out}/clean"), "typed": typed,
         "summary": write_csv(summary(kept).orderBy("position").drop("position"), f"{out}/summary_stats"),
     }

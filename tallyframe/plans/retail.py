@@ -1,4 +1,4 @@
-"""Superstore sales with web traffic: clean, explore, test, model, report."""
+"""Retail sales with web traffic: clean, explore, test, model, report."""
 
 from __future__ import annotations
 
@@ -47,7 +47,7 @@ def read_web(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, _ddl(WEB_COLUMNS, kinds), "ISO-8859-1", WEB_COLUMNS)
 
 
-def clean_sales(df: DataFrame, source: str = "kaggle.csv") -> Split:
+def clean_sales(df: DataFrame, source: str) -> Split:
     """The z-score is over the raw column, rows that fail the first rule included."""
     parts = split(df, first_reason([
         Rule("sales_zero_or_negative", F.col("Sales") <= 0),
@@ -56,7 +56,7 @@ def clean_sales(df: DataFrame, source: str = "kaggle.csv") -> Split:
     return Split(parts.clean, parts.dirty.withColumn("source_file", F.lit(source)))
 
 
-def clean_web(df: DataFrame, source: str = "web_traffic.csv") -> Split:
+def clean_web(df: DataFrame, source: str) -> Split:
     parts = split(df, first_reason([Rule("zero_page_views", F.col("Page Views") == 0)]))
     return Split(parts.clean, parts.dirty.withColumn("source_file", F.lit(source)))
 
@@ -181,16 +181,19 @@ def overview(kept: DataFrame, dirty: DataFrame, moment: str = "Order Date") -> D
 
 
 def run(spark: SparkSession, sales_path: str, web_path: str, out: str) -> dict[str, str]:
-    sales, web = clean_sales(read_sales(spark, sales_path)), clean_web(read_web(spark, web_path))
-    kept = write_parquet(derive_sales(sales.clean), f"{out}/superstore_clean")
+    """Two CSV files in; typed clean tables, all dirty rows with their source, and the result tables out."""
+    name = lambda path: path.rstrip("/").rsplit("/", 1)[-1]
+    sales = clean_sales(read_sales(spark, sales_path), name(sales_path))
+    web = clean_web(read_web(spark, web_path), name(web_path))
+    kept = write_parquet(derive_sales(sales.clean), f"{out}/sales_clean")
     written = {
-        "sales": kept, "web": write_parquet(derive_web(web.clean), f"{out}/webtraffic_clean"),
+        "sales": kept, "web": write_parquet(derive_web(web.clean), f"{out}/web_clean"),
         "dirty": write_csv(reshape.stack_tables(sales.dirty, web.dirty), f"{out}/dirty"),
     }
     df = spark.read.parquet(kept)
-    for name, table in {
+    for label, table in {
         "profit_by_category": category_table(df), "statistical_tests": tests(df),
         "discount_breakeven": breakeven(df), "rfm_scores": rfm(df),
     }.items():
-        written[name] = write_csv(table, f"{out}/tables/{name}")
+        written[label] = write_csv(table, f"{out}/tables/{label}")
     return written

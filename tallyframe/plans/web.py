@@ -9,7 +9,7 @@ from ..functions.numbers import flag
 from ..operators import distribution, grouping, inference, profile, topk
 from ..operators.quality import Rule, Split, any_null, first_reason, reason_counts, split
 from ..sources.readers import read_csv
-from ..sources.writers import write_csv
+from ..sources.writers import write_csv, write_parquet
 
 # fixed values: the column contract and the known sources
 COLUMNS = [
@@ -107,12 +107,14 @@ def report_facts(
 
 
 def run(spark: SparkSession, path: str, out: str) -> dict[str, str]:
+    """CSV in; audit, dirty rows, clean rows (also as Parquet, which the tests read), tests and summary out."""
     raw = read(spark, path)
     parts = clean(raw)
-    kept = derive(parts.clean)
+    typed = write_parquet(derive(parts.clean), f"{out}/clean_parquet")
+    kept = spark.read.parquet(typed)
     return {
         "audit": write_csv(audit(raw).orderBy("position").drop("position"), f"{out}/audit"),
-        "dirty": write_csv(parts.dirty, f"{out}/dirty"), "clean": write_csv(kept, f"{out}/clean"),
+        "dirty": write_csv(parts.dirty, f"{out}/dirty"), "clean": write_csv(kept, f"{out}/clean"), "typed": typed,
         "reasons": write_csv(reason_counts(parts.dirty), f"{out}/dirty_breakdown"),
         "stats": write_csv(tests(kept), f"{out}/stats"),
         "summary": write_csv(profile.numeric_summary(kept, NUMERIC), f"{out}/numeric_summary"),

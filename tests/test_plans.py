@@ -105,10 +105,10 @@ def test_retail(spark, tmp_path):
     sales_path = csv(tmp_path, "sales.csv", retail_frame(), "latin-1")
     visits = pd.DataFrame([[0, 1.0, 0.1, "Paid", 1.0, 0, 0.5], [3, 1.0, 0.1, "Paid", 1.0, 2, 1.0], [5, 1.0, 0.1, "Paid", 1.0, 9, 1.0]], columns=retail.WEB_COLUMNS)
     web_path = csv(tmp_path, "web.csv", visits, "latin-1")
-    parts = retail.clean_sales(retail.read_sales(spark, sales_path))
+    parts = retail.clean_sales(retail.read_sales(spark, sales_path), "sales.csv")
     dirty = parts.dirty.collect()
     # the row fails both rules, the first one counts
-    assert [(r["reason"], r["source_file"]) for r in dirty] == [("sales_zero_or_negative", "kaggle.csv")]
+    assert [(r["reason"], r["source_file"]) for r in dirty] == [("sales_zero_or_negative", "sales.csv")]
     kept = retail.derive_sales(parts.clean)
     first = kept.where("`Order ID` = 'O1'").orderBy("Sales").first()
     assert str(first["Order Date"]) == "2016-03-03" and first["Product Name"] == "Café 2" and first["days_to_ship"] == 365
@@ -127,7 +127,7 @@ def test_retail(spark, tmp_path):
     assert retail.segment_shares(scores).agg(F.sum("pct")).first()[0] == pytest.approx(100)
     view = retail.overview(df, parts.dirty).first()
     assert (view["clean_rows"], view["dirty_rows"]) == (239, 1)
-    clean_web = retail.derive_web(retail.clean_web(retail.read_web(spark, web_path)).clean).orderBy("Page Views").collect()
+    clean_web = retail.derive_web(retail.clean_web(retail.read_web(spark, web_path), "web.csv").clean).orderBy("Page Views").collect()
     assert [(r["converted"], r["visits_bin"]) for r in clean_web] == [(1, "1-2"), (1, "3+")]
     assert retail.explore_web(spark.read.parquet(out["web"]))["conversion_by_source"].first()["mean"] == 1.0
 
@@ -148,7 +148,7 @@ def test_web(spark, tmp_path):
     assert (facts["best_conversion_source"], facts["lowest_bounce_source"], facts["returning_conversion"]) == ("Direct", "Paid", 1.0)
     for name, table in {**web.explore(kept), "tests": web.tests(kept), "corr": web.correlations(kept), "share": web.source_shares(kept)}.items():
         assert table.collect(), name
-    assert set(web.run(spark, path, str(tmp_path / "out"))) == {"audit", "dirty", "clean", "reasons", "stats", "summary"}
+    assert set(web.run(spark, path, str(tmp_path / "out"))) == {"audit", "dirty", "clean", "typed", "reasons", "stats", "summary"}
 
 
 def test_case_file(spark, tmp_path):
