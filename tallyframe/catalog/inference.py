@@ -145,7 +145,9 @@ def st10_bonferroni(t):
     return inference.bonferroni(inference.mann_whitney(web_sessions(t), _MW, "is_error"))
 
 
-@query("""WITH m AS (SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS period, round(sum(o_totalprice), 2) AS v FROM orders GROUP BY 1, 2),
+@query("""WITH seen AS (SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS period, round(sum(o_totalprice), 2) AS v FROM orders GROUP BY 1, 2),
+  calendar AS (SELECT o_orderpriority, CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM seen GROUP BY 1),
+  m AS (SELECT o_orderpriority, period, coalesce(v, 0) AS v FROM calendar LEFT JOIN seen USING (o_orderpriority, period)),
   t AS (SELECT *, CASE WHEN count(*) OVER w = 13 THEN (sum(v) OVER w - (lag(v, 6) OVER o + lead(v, 6) OVER o) / 2) / 12 END AS trend FROM m
         WINDOW o AS (PARTITION BY o_orderpriority ORDER BY period), w AS (PARTITION BY o_orderpriority ORDER BY period ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)),
   p AS (SELECT o_orderpriority, month(period) AS mo, avg(v - trend) AS phase FROM t GROUP BY 1, 2),
