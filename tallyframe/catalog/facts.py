@@ -193,7 +193,7 @@ def _long(table: str, key: str, measures: dict[str, str], source: str = "s", whe
     cols = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in measures.items())
     names = "[" + ", ".join(f"'{n}'" for n in measures) + "]"
     values = "[" + ", ".join(measures) + "]"
-    return f"""SELECT '{table}' AS "table", k || ' :: ' || m AS metric_name, round(v, 4) AS metric_number, NULL::VARCHAR AS text FROM (
+    return f"""SELECT '{table}' AS "table", k || ' :: ' || m AS metric_name, v AS metric_number, NULL::VARCHAR AS text FROM (
       SELECT k, unnest({names}) AS m, unnest({values}) AS v FROM (SELECT coalesce({key}, 'nan') AS k, {cols} FROM {source} {where} GROUP BY 1 {tail}))"""
 
 
@@ -218,19 +218,23 @@ _F9 = """s AS (SELECT l_orderkey AS order_id, strftime(l_shipdate, '%Y-%m') AS m
            LEFT JOIN s ON s.region = a.region AND s.category = b.category GROUP BY 1, 2)"""
 
 
-@query(f"WITH {_F9} " + " UNION ALL ".join(
-    [f"SELECT 'kpis' AS \"table\", '{n}' AS metric_name, round(CAST({e} AS DOUBLE), 4) AS metric_number, NULL::VARCHAR AS text FROM {'(SELECT 1)' if e.startswith('(') else 's'}" for n, e in _KPI_NUM.items()]
+# means get more digits than sums: a mean of few cents often ends on a half at four digits
+@query(f"""WITH {_F9} SELECT "table", metric_name, CASE WHEN metric_name LIKE '%:: aov' THEN round(metric_number, 8) ELSE round(metric_number, 4) END
+             AS metric_number, text FROM (""" + " UNION ALL ".join(
+    [f"SELECT 'kpis' AS \"table\", '{n}' AS metric_name, CAST({e} AS DOUBLE) AS metric_number, NULL::VARCHAR AS text FROM {'(SELECT 1)' if e.startswith('(') else 's'}" for n, e in _KPI_NUM.items()]
     + [f"SELECT 'kpis', '{n}', NULL::DOUBLE, (SELECT {c} FROM s WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY sum(revenue) DESC, 1 LIMIT 1)" for n, c in _KPI_TEXT.items()]
-    + ["SELECT 'monthly_revenue', month || ' :: ' || m, round(v, 4), NULL FROM (SELECT month, unnest(['revenue_sum', 'aov', 'order_count', 'mom_growth_pct']) AS m, unnest([r, a, CAST(n AS DOUBLE), g]) AS v FROM grown)"]
+    + ["SELECT 'monthly_revenue', month || ' :: ' || m, v, NULL FROM (SELECT month, unnest(['revenue_sum', 'aov', 'order_count', 'mom_growth_pct']) AS m, unnest([r, a, CAST(n AS DOUBLE), g]) AS v FROM grown)"]
     + [_long(f"revenue_by_{c}", c, _REV) for c in ("region", "category", "product")]
     + [_long("sales_rep_performance", "sales_rep", {**_REV, "avg_discount": "avg(discount_pct)"}),
        _long("top_customers", "customer_name", {k: _REV[k] for k in ("revenue_sum", "order_count")}, tail="ORDER BY sum(revenue) DESC, 1 LIMIT 10"),
-       "SELECT 'customer_concentration', m, round(v, 4), NULL FROM (SELECT unnest(['top_n', 'revenue_sum', 'pct_of_total']) AS m, unnest([CAST(n AS DOUBLE), r, p]) AS v FROM conc)",
+       "SELECT 'customer_concentration', m, v, NULL FROM (SELECT unnest(['top_n', 'revenue_sum', 'pct_of_total']) AS m, unnest([CAST(n AS DOUBLE), r, p]) AS v FROM conc)",
        _long("status_breakdown", "status", {k: _REV[k] for k in ("order_count", "revenue_sum")}),
-       "SELECT 'region_category_heatmap', region || ' | ' || category || ' :: revenue_sum', round(v, 4), NULL FROM grid",
-       _long("discount_summary", "category", {"avg_discount": "avg(discount_pct)", "max_discount": "max(discount_pct)", "min_discount": "min(discount_pct)"})]))
+       "SELECT 'region_category_heatmap', region || ' | ' || category || ' :: revenue_sum', v, NULL FROM grid",
+       _long("discount_summary", "category", {"avg_discount": "avg(discount_pct)", "max_discount": "max(discount_pct)", "min_discount": "min(discount_pct)"})]) + ")")
 def f9_summary_stats(t):
     long = sales.summary_stats(_sales_contract(t))
     return long.select(
-        "table", "metric_name", F.round("metric_number", 4).alias("metric_number"),
+        "table", "metric_name", F.when(
+            F.col("metric_name").endswith(":: aov"), F.round("metric_number", 8)
+        ).otherwise(F.round("metric_number", 4)).alias("metric_number"),
         F.when((F.col("table") == "kpis") & F.col("metric_name").startswith("top_"), F.col("metric_value")).alias("text"))
