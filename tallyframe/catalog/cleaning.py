@@ -8,16 +8,17 @@ from ..functions.dates import parse_mixed_date
 from ..operators import profile, quality
 from ..operators.quality import Rule
 from .frames import (
+    APPOINTMENTS,
     RETAIL_LINES,
     SALES_LINES,
     SALES_REASON,
     WEB_SESSIONS,
+    appointments,
     retail_lines,
     rounded,
     sales_lines,
     web_sessions,
 )
-from .frames import APPOINTMENTS, appointments
 from .registry import query
 
 
@@ -117,7 +118,7 @@ def dq8_repeated_keys(t):
     return quality.flag_repeats(df, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"])
 
 
-_ANY = f"""{_COPIES}, t AS (SELECT s_suppkey, nullif(s_name, 'Supplier#000000001') AS s_name,
+AUDITED = f"""{_COPIES}, t AS (SELECT s_suppkey, nullif(s_name, 'Supplier#000000001') AS s_name,
              nullif(s_nationkey, 3) AS s_nationkey, CASE WHEN s_suppkey = 7 THEN 1e6 ELSE s_acctbal END AS s_acctbal FROM copies),
            m AS (SELECT avg(s_suppkey) a1, stddev_samp(s_suppkey) d1, avg(s_nationkey) a2, stddev_samp(s_nationkey) d2,
                         avg(s_acctbal) a3, stddev_samp(s_acctbal) d3 FROM t),
@@ -143,7 +144,7 @@ def _without_values(df):
     return df.withColumn("reason", F.regexp_replace("reason", r" \([^)]*\)", ""))
 
 
-@query(f"WITH {_ANY} SELECT * FROM audited")
+@query(f"WITH {AUDITED} SELECT * FROM audited")
 def dq9_audit_any_table(t):
     return _without_values(quality.audit_any_table(any_table(t)))
 
@@ -186,7 +187,7 @@ def dq11_reason_counts(t):
     return quality.reason_counts(quality.split(sales_lines(t), quality.all_reasons(sales_rules())).dirty)
 
 
-@query(f"""WITH {_ANY} SELECT CASE WHEN part LIKE 'missing%' THEN 'missing value' WHEN part LIKE 'anomalous%'
+@query(f"""WITH {AUDITED} SELECT CASE WHEN part LIKE 'missing%' THEN 'missing value' WHEN part LIKE 'anomalous%'
              THEN 'anomalous value' WHEN part LIKE 'duplicate%' THEN 'duplicate row' ELSE part END AS issue, count(*) AS n
            FROM (SELECT unnest(string_split(reason, '; ')) AS part FROM audited WHERE reason IS NOT NULL) GROUP BY 1""")
 def dq12_issue_counts(t):

@@ -9,7 +9,7 @@ from ..operators import distribution, grouping, quality
 from ..operators.customers import rfm_scores
 from ..plans import casefile, noshow, retail, sales, web
 from .aggregates import GAINS, discount_profit
-from .cleaning import _ANY, any_table
+from .cleaning import AUDITED, any_table
 from .frames import (
     APPOINTMENTS,
     RETAIL_LINES,
@@ -152,7 +152,7 @@ def f7_overview(t):
     return rounded(retail.overview(parts.clean, parts.dirty, "l_shipdate"), 6, "loss_rate_pct")
 
 
-@query(f"""WITH {_ANY}, c AS (SELECT * FROM audited WHERE reason IS NULL), i AS (SELECT count(*) AS n FROM (SELECT unnest(string_split(reason, '; ')) FROM audited WHERE reason IS NOT NULL)),
+@query(f"""WITH {AUDITED}, c AS (SELECT * FROM audited WHERE reason IS NULL), i AS (SELECT count(*) AS n FROM (SELECT unnest(string_split(reason, '; ')) FROM audited WHERE reason IS NOT NULL)),
   p AS (SELECT 's_nationkey' AS col, avg(s_nationkey) AS mean, stddev_samp(s_nationkey) AS sd, sum(s_nationkey)::DOUBLE AS s, count(*) AS n FROM c
         UNION ALL SELECT 's_acctbal', avg(s_acctbal), stddev_samp(s_acctbal), sum(s_acctbal), count(*) FROM c)
   SELECT 'suppliers' AS "case", (SELECT count(*) FROM audited) AS total_rows, (SELECT count(reason) FROM audited) AS dirty_rows,

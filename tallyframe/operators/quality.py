@@ -104,34 +104,35 @@ def flag_repeats(
     """
     counts = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     if keys is None or set(keys) == set(df.columns):
-        return expand_copies(counts, df.columns, F.col("_nth") > 1, name)
-    rank = [F.col(c) for c in order_by or [c for c in df.columns if c not in keys]]
-    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(*rank), F.lit(salts)))
-    within = Window.partitionBy(*keys, "_salt").orderBy(*rank)
-    firsts = salted.withColumn("_place", F.row_number().over(within)).withColumn(
-        "_round", F.when(F.col("_place") == 1, F.lit(-1).cast("bigint")).otherwise(F.col("_salt"))
-    )
-    across = Window.partitionBy(*keys, "_round").orderBy(*rank, "_salt")
-    marked = firsts.withColumn("_later", (F.col("_place") > 1) | (F.row_number().over(across) > 1))
-    return expand_copies(marked, df.columns, F.col("_later") | (F.col("_nth") > 1), name)
+        marked = counts.withColumn("_later", F.lit(False))
+    else:
+        rank = [F.col(c) for c in order_by or [c for c in df.columns if c not in keys]]
+        salted = counts.withColumn("_salt", F.pmod(F.xxhash64(*rank), F.lit(salts)))
+        within = Window.partitionBy(*keys, "_salt").orderBy(*rank)
+        firsts = salted.withColumn("_place", F.row_number().over(within)).withColumn(
+            "_round", F.when(F.col("_place") == 1, F.lit(-1).cast("bigint")).otherwise(F.col("_salt"))
+        )
+        across = Window.partitionBy(*keys, "_round").orderBy(*rank, "_salt")
+        marked = firsts.withColumn("_later", (F.col("_place") > 1) | (F.row_number().over(across) > 1))
+    return expand_copies(marked, counts, df.columns, name)
 
 
 def expand_copies(
-    counts: DataFrame, columns: Sequence[str], repeat: Column, name: str, chunk: int = 100_000
+    marked: DataFrame, counts: DataFrame, columns: Sequence[str], name: str, chunk: int = 100_000
 ) -> DataFrame:
-    """Rows with a ``_copies`` count as that many rows again, numbered by ``_nth``.
+    """Rows with a ``_copies`` count as that many rows again, all but the first flagged.
 
-    A count above ``chunk`` is cut into pieces that are spread over tasks before they are written out.
+    Copies beyond the first ``chunk`` are repeats in any case: they are cut into pieces that are
+    spread over tasks before they are written out.
     """
-    few = counts.where(F.col("_copies") <= chunk).withColumn("_nth", F.explode(F.sequence(F.lit(1), "_copies")))
+    nth = F.explode(F.sequence(F.lit(1), F.least(F.col("_copies"), F.lit(chunk))))
+    rows = marked.withColumn("_nth", nth).select(*columns, (F.col("_later") | (F.col("_nth") > 1)).alias(name))
     pieces = counts.where(F.col("_copies") > chunk).withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / chunk)))
-    )
+        "_piece", F.explode(F.sequence(F.lit(1), F.floor((F.col("_copies") - 1) / chunk)))
+    ).repartition("_piece", *columns)
     low = F.col("_piece") * chunk + 1
-    many = pieces.repartition("_piece", *columns).withColumn(
-        "_nth", F.explode(F.sequence(low, F.least(low + chunk - 1, F.col("_copies"))))
-    ).drop("_piece")
-    return few.unionByName(many).select(*columns, repeat.alias(name))
+    more = pieces.withColumn("_nth", F.explode(F.sequence(low, F.least(low + chunk - 1, F.col("_copies")))))
+    return rows.unionByName(more.select(*columns, F.lit(True).alias(name)))
 
 
 def audit_any_table(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:

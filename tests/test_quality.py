@@ -44,6 +44,16 @@ def test_whole_row_repeats_without_an_order(spark):
     assert ordered.where("not is_repeat").count() == 2
 
 
+@pytest.mark.parametrize("copies", [1, 7, 8, 9, 50])
+def test_many_copies_are_written_out_in_pieces(spark, copies):
+    counts = spark.createDataFrame([("a", copies), ("b", 1)], "x string, _copies bigint")
+    marked = counts.withColumn("_later", F.lit(False))
+    out = quality.expand_copies(marked, counts, ["x"], "repeat", chunk=8)
+    got = {(r["x"], r["repeat"]): r["n"] for r in out.groupBy("x", "repeat").agg(F.count("*").alias("n")).collect()}
+    want = {("a", False): 1, ("b", False): 1, ("a", True): copies - 1}
+    assert got == {k: v for k, v in want.items() if v}
+
+
 def test_constant_column_is_never_anomalous(spark):
     df = spark.createDataFrame([(i, 5.0, 1.0 if i else 1000.0) for i in range(50)], "id_no int, c double, v double")
     tagged = quality.audit_any_table(df)
