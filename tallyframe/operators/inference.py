@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import safe_ratio
 from ..functions.tails import chi_square_p, fisher_p, normal_p, student_p
-from .ordering import ranked_counts
+from ..session import materialise
+from .ordering import known, ranked_counts
 from .profile import number_cells
 
 
 def _ranked_groups(df: DataFrame, targets: Sequence[str], group: str) -> tuple[DataFrame, DataFrame]:
-    """Per target: average ranks of the distinct values, and value counts per group."""
-    cells = number_cells(df.where(F.col(group).isNotNull()), targets, [group]).where("number is not null")
-    cells = cells.groupBy("column", group, "number").agg(F.count("*").alias("c"))
+    """Per target: average ranks of the distinct values, and value counts per group.
+
+    The counts are written once, so that the raw table is read a single time.
+    """
+    raw = known(number_cells(known(df, group), targets, [group]), "number")
+    cells = materialise(raw.groupBy("column", group, "number").agg(F.count("*").alias("c")))
     values = cells.groupBy("column", "number").agg(F.sum("c").alias("c"))
     ranks = ranked_counts(values, "number", "c", ["column"])
     return ranks.select("column", "number", F.col("n").alias("ties"), "avg_rank"), cells
@@ -97,8 +101,7 @@ def bonferroni(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
 
 def chi_square(df: DataFrame, row: str, column: str, alpha: float = 0.05) -> DataFrame:
     """Test of independence; Yates' correction applies to a 2x2 table only."""
-    kept = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
-    cells = kept.groupBy(row, column).agg(F.count("*").alias("o"))
+    cells = known(df, row, column).groupBy(row, column).agg(F.count("*").alias("o"))
     rows = cells.groupBy(row).agg(F.sum("o").alias("ro"))
     columns = cells.groupBy(column).agg(F.sum("o").alias("co"))
     total = cells.agg(F.sum("o")).scalar().cast("double")

@@ -51,9 +51,12 @@ def sessions_as_messages(
     numbered = row_ranks(slim.join(long, same, "left_semi"), [order, role, text], [session], "_nth")
     paged = numbered.withColumn("page", F.floor((F.col("_nth") - 1) / page).cast("int")).drop("_nth")
     message = F.struct(F.col(order), F.col(role).alias("type"), F.col(text).alias("content"))
+    in_order = F.transform(
+        F.array_sort(F.collect_list(message)),
+        lambda m: F.struct(m["type"].alias("type"), m[order].alias(order), m["content"].alias("content")),
+    )
     nested = [
-        part.groupBy(session, "page").agg(
-            F.min(order).alias("start"), F.array_sort(F.collect_list(message)).alias("messages"))
+        part.groupBy(session, "page").agg(F.min(order).alias("start"), in_order.alias("messages"))
         for part in (usual, paged)
     ]
     return nested[0].unionByName(nested[1])
