@@ -32,8 +32,8 @@ from .common import column
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 LONG = 256
-CACHE = 400_000
-CHUNK_CHARS = 2 << 20
+CACHE = 250_000
+CHUNK_CHARS = 1 << 20
 ENCODED = "struct<ids: array<int>, exact: boolean>"
 _END = 0x110000  # stands after each unit; no character has this number
 
