@@ -6,10 +6,10 @@ inserted, deleted or changed characters, stands earlier in the order (doc_id, te
 
 Only DataFrame functions are used. The steps, each of them linear in the lines:
 
-1. Equal lines meet on a 128-bit digest, with their earliest place. Counting is combined before the shuffle.
-2. One edit leaves the first or the last half of the shorter line as it is. Only lines that share a half with
-   another line can have a neighbour; all others stop here, and nothing is lost by it.
-3. Those lines emit a key for themselves and one for every deletion of a character. A key is the exclusive or
+1. Every line becomes a slim row in a table written to the shared folder: place, 128-bit digest, hashes of halves.
+2. One edit leaves the first or the last half of the shorter line as it is. One grouped count finds the digests that occur
+   twice and the halves that two different lines share. All other lines have no partner and stop here, by rule.
+3. Lines that share a half emit a key for themselves and one for every deletion of a character. A key is the exclusive or
    of (character, position) hashes, so all deletions of a line cost one running pass, however long it is.
 4. Keys are joined on equality, without forming pairs inside a group: lines with the same deletion at the same
    place differ there only, so comparing each with the group's earliest line is enough; a line that equals
@@ -29,21 +29,28 @@ from pyspark.sql import functions as F
 from .common import column, cut, unused
 
 MIN_CHARS = 20
-#: Lines whose digests are broadcast at most (16 bytes and a row header each); more are joined by a shuffle.
-BROADCAST_LINES = 200_000
+#: Rows of a few numbers that are broadcast at most, after counting them; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 _TRIM = " \t\r\x0b\x0c"
 
 
-def _order(key: str = "id", text_hash: str = "text_hash", line_no: str = "line_no") -> Column:
-    return F.struct(F.col(key).isNull().alias("no_id"), F.col(key).alias("id"), F.col(text_hash).alias("text_hash"), F.col(line_no).alias("line_no"))
+def _place() -> Column:
+    return F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "line_no")
 
 
-def lines_of(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """id, text_hash, line_no, line (trimmed), n and the digest (d1, d2) of every line that counts."""
+def _if_few(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if a count shows that it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def slim_lines(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
+    """id, text_hash, line_no, digest (d1, d2) and half hashes of every line that counts."""
     rows = docs.select(column(docs, key).alias("id"), F.xxhash64(column(docs, text)).alias("text_hash"), F.split(column(docs, text), "\n", -1).alias("lines"))
-    cut_up = rows.select("id", "text_hash", F.posexplode("lines").alias("line_no", "line")).withColumn("line", F.btrim("line", F.lit(_TRIM)))
-    return cut_up.withColumn("n", F.length("line")).where(F.col("n") >= min_chars).withColumns(
-        {"d1": F.xxhash64("line"), "d2": F.xxhash64(F.lit(1), F.col("line"))}
+    cut_up = rows.select("id", "text_hash", F.posexplode("lines").alias("line_no", "raw")).withColumn("line", F.btrim("raw", F.lit(_TRIM)))
+    sized = cut_up.withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
+    return sized.select(
+        "id", "text_hash", "line_no", F.xxhash64("line").alias("d1"), F.xxhash64(F.lit(1), F.col("line")).alias("d2"),
+        halves(F.col("line"), F.col("n")).alias("halves"),
     )
 
 
@@ -57,61 +64,55 @@ def halves(line: Column, n: Column) -> Column:
     return F.when(own == less, F.array(*both(own))).otherwise(F.array(*both(own), *both(less)))
 
 
-def first_places(lines: DataFrame) -> DataFrame:
-    """One row per different line: digest, length, earliest place, number of lines, half hashes."""
-    return lines.groupBy("d1", "d2", "n").agg(
-        F.min(_order()).alias("first"), F.count("*").alias("copies"), F.min(halves(F.col("line"), F.col("n"))).alias("halves")
-    )
+def met(lines: DataFrame, near: bool) -> DataFrame:
+    """Keys that matter, as (key, half): digests of lines that occur twice, and halves that two different lines share."""
+    own = F.array(F.struct(F.col("d1").alias("key"), F.lit(False).alias("half")))
+    shared = F.transform("halves", lambda h: F.struct(h.alias("key"), F.lit(True).alias("half")))
+    keyed = lines.select("d1", F.inline(F.concat(own, shared) if near else own))
+    groups = keyed.groupBy("key", "half").agg(F.count("*").alias("n"), F.min("d1").alias("a"), F.max("d1").alias("b"))
+    return groups.where("n > 1 and (not half or a != b)").select("key", "half")
 
 
-def near_candidates(firsts: DataFrame) -> DataFrame:
-    """Lines that share a half with a different line."""
-    keyed = firsts.select("d1", "d2", F.explode("halves").alias("half"))
-    shared = keyed.groupBy("half").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).where("a != b").select("half")
-    return keyed.join(shared, "half", "left_semi").select("d1", "d2").distinct()
+def occurrences(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """Places of lines whose digest is among ``keys`` (d1)."""
+    return lines.select("id", "text_hash", "line_no", "d1", "d2").join(keys, "d1", "left_semi")
 
 
-def texts_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The line of every wanted digest at its earliest place. ``wanted`` is broadcast only if counted small."""
-    few = wanted.count() <= BROADCAST_LINES
-    at = wanted.select(
-        "first", F.col("d1").alias("w1"), F.col("d2").alias("w2"), F.col("first.id").alias("first_id"),
-        F.col("first.text_hash").alias("first_hash"), F.col("first.line_no").alias("first_line"),
+def texts_of(docs: DataFrame, key: str, text: str, firsts: DataFrame) -> DataFrame:
+    """The line of every digest, from the document of its earliest place."""
+    at = firsts.select(
+        "first", F.col("d1"), F.col("d2"), F.col("first.id").alias("first_id"), F.col("first.text_hash").alias("first_hash"), F.col("first.line_no").alias("line_no")
     )
-    same = (
-        F.col("id").eqNullSafe(F.col("first_id")) & F.col("text_hash").eqNullSafe(F.col("first_hash"))
-        & (F.col("line_no") == F.col("first_line")) & (F.col("d1") == F.col("w1")) & (F.col("d2") == F.col("w2"))
-    )
-    found = lines.join(F.broadcast(at) if few else at, same).select("d1", "d2", "first", "line", "n")
-    return found.dropDuplicates(["d1", "d2"])  # rows equal in id and text
+    own = docs.select(column(docs, key).alias("id"), column(docs, text).alias("text"))
+    found = own.join(_if_few(at), F.col("id").eqNullSafe(F.col("first_id"))).where(F.xxhash64("text") == F.col("first_hash"))
+    line = F.btrim(F.get(F.split("text", "\n", -1), F.col("line_no")), F.lit(_TRIM))
+    return found.select("d1", "d2", "first", line.alias("line")).dropDuplicates(["d1", "d2"])  # rows equal in id and text
 
 
 def deletions(texts: DataFrame) -> DataFrame:
     """Every line's own key (``at`` 0) and the key of each deletion at position ``at``."""
-    here = Window.partitionBy("d1", "d2").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    here = Window.partitionBy("d1", "d2").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("d1", "d2")
-    chars = texts.select("d1", "d2", "first", F.posexplode(F.split("line", "")).alias("at", "char")).withColumns({
-        "stays": F.xxhash64("char", F.col("at")), "moves": F.xxhash64("char", F.col("at") - 1),
-    })
-    sums = chars.withColumns({
-        "left": F.bit_xor("stays").over(here), "passed": F.bit_xor("moves").over(here),
-        "moved": F.bit_xor("moves").over(whole), "n": F.count("*").over(whole),
+    chars = texts.select("d1", "d2", F.length("line").alias("n"), F.posexplode(F.split("line", "")).alias("pos", "char"))
+    hashed = chars.select("d1", "d2", "n", "pos", F.xxhash64("char", F.col("pos")).alias("stays"), F.xxhash64("char", F.col("pos") - 1).alias("moves"))
+    sums = hashed.withColumns({
+        "left": F.bit_xor("stays").over(here), "passed": F.bit_xor("moves").over(here), "moved": F.bit_xor("moves").over(whole),
     })
     without = F.col("left").bitwiseXOR(F.col("stays")).bitwiseXOR(F.col("moved")).bitwiseXOR(F.col("passed"))
-    keys = [F.struct(without.alias("key"), (F.col("n") - 1).alias("length"), (F.col("at") + 1).alias("at"))]
-    own = F.when(F.col("at") + 1 == F.col("n"), F.struct(F.col("left").alias("key"), F.col("n").alias("length"), F.lit(0).alias("at")))
-    return sums.select("d1", "d2", "first", F.inline(F.array_compact(F.array(*keys, own))))
+    cut_off = F.struct(without.alias("key"), (F.col("n") - 1).alias("length"), (F.col("pos") + 1).alias("at"))
+    own = F.when(F.col("pos") + 1 == F.col("n"), F.struct(F.col("left").alias("key"), F.col("n").alias("length"), F.lit(0).alias("at")))
+    return sums.select("d1", "d2", F.inline(F.array_compact(F.array(cut_off, own))))
 
 
-def near_pairs(keys: DataFrame) -> DataFrame:
+def near_pairs(keys: DataFrame, firsts: DataFrame) -> DataFrame:
     """(line, earlier line) candidates: at most two per key and line, never all pairs of a group."""
+    several = keys.groupBy("key", "length").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).where("a != b").select("key", "length")
+    placed = cut(keys.join(several, ["key", "length"], "left_semi").join(firsts.select("d1", "d2", "first"), ["d1", "d2"]))
     line = F.struct("first", "d1", "d2")
-    same_place = keys.groupBy("key", "length", "at").agg(F.min(line).alias("earliest")).where("at > 0")
-    same_key = keys.groupBy("key", "length").agg(
-        F.min(F.when(F.col("at") == 0, line)).alias("whole"), F.min(F.when(F.col("at") > 0, line)).alias("cut"), F.count("*").alias("size")
-    ).where("size > 1")
-    by_place = keys.join(same_place, ["key", "length", "at"]).select("d1", "d2", "first", "earliest")
-    by_key = keys.join(same_key, ["key", "length"]).select(
+    same_place = placed.groupBy("key", "length", "at").agg(F.min(line).alias("earliest")).where("at > 0")
+    same_key = placed.groupBy("key", "length").agg(F.min(F.when(F.col("at") == 0, line)).alias("whole"), F.min(F.when(F.col("at") > 0, line)).alias("cut"))
+    by_place = placed.join(same_place, ["key", "length", "at"]).select("d1", "d2", "first", "earliest")
+    by_key = placed.join(same_key, ["key", "length"]).select(
         "d1", "d2", "first", F.when(F.col("at") > 0, F.col("whole")).otherwise(F.col("cut")).alias("earliest")
     )
     return by_place.unionByName(by_key).where(F.col("earliest.first") < F.col("first")).select(
@@ -119,36 +120,38 @@ def near_pairs(keys: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def near_repeats(lines: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Digests of lines that have an earlier line within one edit."""
-    wanted = cut(near_candidates(firsts).join(firsts.select("d1", "d2", "first"), ["d1", "d2"]))
-    texts = cut(texts_of(lines, wanted).repartition("d1", "d2"))
-    pairs = near_pairs(deletions(texts))
+def near_repeats(docs: DataFrame, key: str, text: str, firsts: DataFrame) -> DataFrame:
+    """Digests of lines that have an earlier line within one edit, of lines (d1, d2, first)."""
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes now, many rows once exploded
+    texts = cut(texts_of(docs, key, text, firsts).repartition(tasks, "d1", "d2"))
+    pairs = near_pairs(deletions(texts), texts)
     later = texts.select("d1", "d2", F.col("line").alias("later"))
     earlier = texts.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.col("line").alias("earlier"))
     checked = pairs.join(later, ["d1", "d2"]).join(earlier, ["e1", "e2"])
-    close = F.levenshtein(F.col("later"), F.col("earlier"), 1) >= 0
-    return checked.where(close).select("d1", "d2").distinct()
+    return checked.where(F.levenshtein(F.col("later"), F.col("earlier"), 1) >= 0).select("d1", "d2").distinct()
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, max_edits: int = 1) -> DataFrame:
     """id, text_hash, and the sorted numbers (from 0) of lines to remove: ``equal`` and ``near``."""
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
-    lines = lines_of(docs, key, text, min_chars)
-    firsts = cut(first_places(lines))
-    touched = firsts.where("copies > 1").select("d1", "d2", "first", F.lit(False).alias("near"))
+    lines = cut(slim_lines(docs, key, text, min_chars))
+    keys = cut(met(lines, near=max_edits > 0))
+    often = _if_few(keys.where("not half").select(F.col("key").alias("d1")))
+    repeated = occurrences(lines, often)
+    # equal digests are dealt by joins and counted before a shuffle, so a hot line is split
+    firsts = repeated.groupBy("d1", "d2").agg(F.min(_place()).alias("first"))
+    equal = repeated.join(firsts, ["d1", "d2"]).where(_place() != F.col("first")).select("id", "text_hash", "line_no", F.lit(False).alias("near"))
+    gone = equal
     if max_edits:
-        near = near_repeats(lines, firsts)
-        marked = firsts.join(near.withColumn("near", F.lit(True)), ["d1", "d2"], "left")
-        touched = marked.where("copies > 1 or near").select("d1", "d2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    slim = lines.select("id", "text_hash", "line_no", "d1", "d2", _order().alias("place"))
-    # equal digests are dealt by the join, which splits a hot one
-    hit = slim.join(touched, ["d1", "d2"]).where(F.col("near") | (F.col("place") != F.col("first")))
-    near_no, equal_no = F.when(F.col("near"), F.col("line_no")), F.when(~F.col("near"), F.col("line_no"))
-    return hit.groupBy("id", "text_hash").agg(
-        F.sort_array(F.collect_set(equal_no)).alias("equal"), F.sort_array(F.collect_set(near_no)).alias("near")
-    )  # a document's own lines
+        shared = _if_few(keys.where("half").select(F.col("key").alias("share")))
+        digests = cut(lines.select("d1", F.explode("halves").alias("share")).join(shared, "share", "left_semi").select("d1").distinct())
+        partners = cut(occurrences(lines, _if_few(digests)))
+        close = near_repeats(docs, key, text, cut(partners.groupBy("d1", "d2").agg(F.min(_place()).alias("first"))))
+        gone = equal.unionByName(partners.join(close, ["d1", "d2"]).select("id", "text_hash", "line_no", F.lit(True).alias("near")))
+    no = lambda kind: F.sort_array(F.collect_set(F.when(F.col("near") == kind, F.col("line_no"))))
+    found = gone.groupBy("id", "text_hash").agg(no(False).alias("equal"), no(True).alias("near"))  # a document's own lines
+    return found.withColumn("equal", F.array_except("equal", "near"))
 
 
 def kept(lines: Column, gone: Column) -> Column:
