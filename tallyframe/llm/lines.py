@@ -9,7 +9,7 @@ Only DataFrame functions are used. The steps, each of them linear in the lines:
 1. Every line becomes a slim row in a table written to the shared folder: place, 128-bit digest, hashes of halves.
 2. One edit leaves the first or the last half of the shorter line as it is. One grouped count finds the digests that occur
    twice and the halves that two different lines share. All other lines have no partner and stop here, by rule.
-3. Lines that share a half emit a key for themselves and one for every deletion of a character. A key is the exclusive or
+3. Lines that share a half emit a key for themselves and one for every deletion of a character outside it. A key is the exclusive or
    of (character, position) hashes, so all deletions of a line cost one running pass, however long it is.
 4. Keys are joined on equality, without forming pairs inside a group: lines with the same deletion at the same
    place differ there only, so comparing each with the group's earliest line is enough; a line that equals
@@ -81,25 +81,27 @@ def occurrences(lines: DataFrame, keys: DataFrame) -> DataFrame:
 def texts_of(docs: DataFrame, key: str, text: str, firsts: DataFrame) -> DataFrame:
     """The line of every digest, from the document of its earliest place."""
     at = firsts.select(
-        "first", F.col("d1"), F.col("d2"), F.col("first.id").alias("first_id"), F.col("first.text_hash").alias("first_hash"), F.col("first.line_no").alias("line_no")
+        "first", "d1", "d2", "front", "back", F.col("first.id").alias("first_id"), F.col("first.text_hash").alias("first_hash"), F.col("first.line_no").alias("line_no")
     )
     own = docs.select(column(docs, key).alias("id"), column(docs, text).alias("text"))
     found = own.join(_if_few(at), F.col("id").eqNullSafe(F.col("first_id"))).where(F.xxhash64("text") == F.col("first_hash"))
     line = F.btrim(F.get(F.split("text", "\n", -1), F.col("line_no")), F.lit(_TRIM))
-    return found.select("d1", "d2", "first", line.alias("line")).dropDuplicates(["d1", "d2"])  # rows equal in id and text
+    return found.select("d1", "d2", "first", "front", "back", line.alias("line")).dropDuplicates(["d1", "d2"])  # rows equal in id and text
 
 
 def deletions(texts: DataFrame) -> DataFrame:
-    """Every line's own key (``at`` 0) and the key of each deletion at position ``at``."""
+    """Every line's own key (``at`` 0) and the key of each deletion at position ``at``, outside the half that is shared."""
     here = Window.partitionBy("d1", "d2").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("d1", "d2")
-    chars = texts.select("d1", "d2", F.length("line").alias("n"), F.posexplode(F.split("line", "")).alias("pos", "char"))
-    hashed = chars.select("d1", "d2", "n", "pos", F.xxhash64("char", F.col("pos")).alias("stays"), F.xxhash64("char", F.col("pos") - 1).alias("moves"))
+    chars = texts.select("d1", "d2", "front", "back", F.length("line").alias("n"), F.posexplode(F.split("line", "")).alias("pos", "char"))
+    least = F.floor((F.col("n") - 1) / 2)  # characters of the smaller half
+    open_ = (F.col("front") & (F.col("pos") >= least)) | (F.col("back") & (F.col("pos") < F.col("n") - least))
+    hashed = chars.select("d1", "d2", "n", "pos", open_.alias("open"), F.xxhash64("char", F.col("pos")).alias("stays"), F.xxhash64("char", F.col("pos") - 1).alias("moves"))
     sums = hashed.withColumns({
         "left": F.bit_xor("stays").over(here), "passed": F.bit_xor("moves").over(here), "moved": F.bit_xor("moves").over(whole),
     })
     without = F.col("left").bitwiseXOR(F.col("stays")).bitwiseXOR(F.col("moved")).bitwiseXOR(F.col("passed"))
-    cut_off = F.struct(without.alias("key"), (F.col("n") - 1).alias("length"), (F.col("pos") + 1).alias("at"))
+    cut_off = F.when(F.col("open"), F.struct(without.alias("key"), (F.col("n") - 1).alias("length"), (F.col("pos") + 1).alias("at")))
     own = F.when(F.col("pos") + 1 == F.col("n"), F.struct(F.col("left").alias("key"), F.col("n").alias("length"), F.lit(0).alias("at")))
     return sums.select("d1", "d2", F.inline(F.array_compact(F.array(cut_off, own))))
 
@@ -145,9 +147,11 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars
     gone = equal
     if max_edits:
         shared = _if_few(keys.where("half").select(F.col("key").alias("share")))
-        digests = cut(lines.select("d1", F.explode("halves").alias("share")).join(shared, "share", "left_semi").select("d1").distinct())
+        own = lines.select("d1", F.posexplode("halves").alias("which", "share")).join(shared, "share", "left_semi")
+        digests = cut(own.groupBy("d1").agg((F.min(F.col("which") % 2) == 0).alias("front"), (F.max(F.col("which") % 2) == 1).alias("back")))
         partners = cut(occurrences(lines, _if_few(digests)))
-        close = near_repeats(docs, key, text, cut(partners.groupBy("d1", "d2").agg(F.min(_place()).alias("first"))))
+        firsts = partners.groupBy("d1", "d2").agg(F.min(_place()).alias("first")).join(digests, "d1")
+        close = near_repeats(docs, key, text, cut(firsts))
         gone = equal.unionByName(partners.join(close, ["d1", "d2"]).select("id", "text_hash", "line_no", F.lit(True).alias("near")))
     no = lambda kind: F.sort_array(F.collect_set(F.when(F.col("near") == kind, F.col("line_no"))))
     found = gone.groupBy("id", "text_hash").agg(no(False).alias("equal"), no(True).alias("near"))  # a document's own lines
