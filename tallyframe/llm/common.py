@@ -49,6 +49,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back: compressed, for rows in number."""
+    from tallyframe.session import fresh_folder
+
+    folder = fresh_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def blocks(df: DataFrame, size: Column, limit: int) -> Iterator[list]:
     """The rows of ``df`` in pieces whose summed ``size`` is measured first and stays near ``limit``.
 

@@ -21,10 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, cut, unused
+from .common import column, unused, written
 
 MIN_WORDS = 20
 _UNIT = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")  # units tile the text
@@ -44,7 +44,7 @@ def units_of(text: str | None) -> list[tuple[int, int, int, int, int, int]]:
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per unit. Units go to Spark as columns of rows, a batch of texts at a time."""
+    """id, text_hash, d1, d2, and two packed numbers of every unit: ``what`` (unit, words) and ``where`` (begin, end)."""
     slim = docs.select(column(docs, key).alias("id"), F.xxhash64(column(docs, text)).alias("text_hash"), column(docs, text).alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
 
@@ -56,23 +56,30 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
                 counts = [len(f) for f in found]
                 flat = np.array([u for f in found for u in f], np.int64).reshape(-1, 6)
                 out = part[["id", "text_hash"]].loc[part.index.repeat(counts)].reset_index(drop=True)
-                for c, name in enumerate(("unit", "begin", "end", "n_words", "d1", "d2")):
-                    out[name] = flat[:, c]
+                out["what"], out["where"] = flat[:, 0] << 32 | flat[:, 3], flat[:, 1] << 32 | flat[:, 2]
+                out["d1"], out["d2"] = flat[:, 4], flat[:, 5]
                 yield out
 
-    return slim.mapInPandas(run, f"id {kind}, text_hash bigint, unit int, begin int, end int, n_words int, d1 bigint, d2 bigint")
+    return slim.mapInPandas(run, f"id {kind}, text_hash bigint, what bigint, where bigint, d1 bigint, d2 bigint")
+
+
+def _parts(packed: str) -> tuple[Column, Column]:
+    return F.shiftright(packed, 32), F.col(packed).bitwiseAND(F.lit((1 << 32) - 1))
 
 
 def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """id, text_hash, begin, end (characters), n_words, and first_id: where the passage's first unit stands first."""
     rows = _rows(docs, key, text)
     often = rows.groupBy("d1").agg(F.count("*").alias("n")).where("n > 1").select("d1")
-    met = cut(rows.join(often, "d1", "left_semi").dropDuplicates(["id", "text_hash", "unit"]))
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "unit")
+    met = written(rows.join(often, "d1", "left_semi"), "units")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "what")
     firsts = met.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    repeated = met.join(firsts, ["d1", "d2"]).where(F.col("first") != place)
+    repeated = met.join(firsts, ["d1", "d2"]).where(F.col("first") != place).withColumns(
+        dict(zip(("unit", "n_words", "begin", "end"), (*_parts("what"), *_parts("where")), strict=True))
+    )
     own = Window.partitionBy("id", "text_hash").orderBy("unit")
-    runs = repeated.withColumn("run", F.col("unit") - F.row_number().over(own))
+    once = repeated.withColumn("before", F.lag("unit").over(own)).where("before is null or before != unit")  # rows equal in id and text
+    runs = once.withColumn("run", F.col("unit") - F.row_number().over(own))
     return runs.groupBy("id", "text_hash", "run").agg(
         F.min("begin").alias("begin"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"),
         F.min_by("first.id", "unit").alias("first_id"),
@@ -88,9 +95,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: i
     same = column(docs, key).eqNullSafe(F.col(id_)) & (F.xxhash64(column(docs, text)) == F.col(hash_))
     joined = docs.join(found, same, "left")
     ranges, body = F.col(gone), column(docs, text)
-    ends = F.concat(F.array(F.lit(0)), F.transform(ranges, lambda r: r["end"]))
-    begins = F.concat(F.transform(ranges, lambda r: r["begin"]), F.array(F.length(body)))
-    left = F.array_join(F.zip_with(ends, begins, lambda e, b: F.substring(body, e + 1, b - e)), "")
+    ends = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(ranges, lambda r: r["end"]))
+    begins = F.concat(F.transform(ranges, lambda r: r["begin"]), F.array(F.length(body).cast("bigint")))
+    left = F.array_join(F.zip_with(ends, begins, lambda e, b: F.substring(body, (e + 1).cast("int"), (b - e).cast("int"))), "")
     return joined.select(*[
         (F.when(ranges.isNull(), body).otherwise(left).alias(c) if c == text else column(docs, c)) for c in docs.columns
     ])
@@ -99,6 +106,6 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: i
 def report(docs: DataFrame) -> DataFrame:
     """One row per removed passage: doc_id, begin_char, end_char, n_words, first_doc_id. Equal rows of a table appear once."""
     return passages(docs).select(
-        F.col("id").alias("doc_id"), F.col("begin").cast("bigint").alias("begin_char"), F.col("end").cast("bigint").alias("end_char"),
+        F.col("id").alias("doc_id"), F.col("begin").alias("begin_char"), F.col("end").alias("end_char"),
         "n_words", F.col("first_id").alias("first_doc_id"),
     )
