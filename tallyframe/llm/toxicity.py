@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, unused
+from .common import column, cut, unused
 
 BUCKETS = 1 << 22
 SIZE = 8  # numbers per embedding; a word has two
@@ -265,16 +265,18 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str |
     """At most ``limit`` different texts of each label (0 and 1), in the order of a hash, as (label, text, language), and the
     share of toxic rows among all that may be trained on."""
     own = docs.select(column(docs, key).alias("id"), column(docs, text).alias("text"), (column(docs, lang) if lang else F.lit(None).cast("string")).alias("lang"))
-    marked = labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("toxic"))
-    rows = own.where(F.col("id").isNotNull() & ~held_out(F.col("id")) & F.col("text").isNotNull()).join(marked, "id")
-    size, mark = F.octet_length("text"), F.xxhash64("text")
+    own = own.where(F.col("id").isNotNull() & ~held_out(F.col("id")) & F.col("text").isNotNull())
+    mark = F.xxhash64("text")
+    # texts stay where they are until those wanted are known
+    slim = own.select("id", F.octet_length("text").alias("size"), mark.alias("mark"))
+    rows = cut(slim.join(labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("toxic")), "id"))
     out = []
     for label in (1, 0):
         # whole texts; those over a hundredth of the sample's words would crowd out the others
-        fit_in = rows.where((F.col("toxic") == label) & (size <= 6 * SAMPLE_WORDS // 100))
-        names = fit_in.select("id", mark.alias("mark")).groupBy("mark").agg(F.min("id").alias("id")).orderBy("mark").limit(limit)
-        chosen = fit_in.join(F.broadcast(names), "id").where(mark == F.col("mark")).dropDuplicates(["mark"])  # at most `limit` rows
-        out += [(r["mark"], label, r["text"], r["lang"]) for r in chosen.select("mark", "text", "lang").collect()]
+        fit_in = rows.where((F.col("toxic") == label) & (F.col("size") <= 6 * SAMPLE_WORDS // 100))
+        names = fit_in.groupBy("mark").agg(F.min("id").alias("id")).orderBy("mark").limit(limit)
+        chosen = own.join(F.broadcast(names), "id").where(mark == F.col("mark"))  # at most `limit` ids
+        out += [(r["mark"], label, r["text"], r["lang"]) for r in chosen.select("mark", "text", "lang").dropDuplicates(["mark"]).collect()]
     toxic, every = rows.where(F.col("toxic").isin(0, 1)).agg(F.count_if(F.col("toxic") == 1), F.count("*")).first()
     return [x[1:] for x in sorted(out, key=lambda x: (x[0], x[1]))], (toxic + 1) / (every + 2)
 
