@@ -9,7 +9,7 @@ texts of each label in the order of a hash, and at most ``SAMPLE_WORDS`` words i
 sees, whatever the tables' size. Only buckets seen in at least ``LEAST_TEXTS`` training texts, and in ``LEAST_SHARE`` of
 them, carry an embedding, so that a rare word of few texts cannot stand for their label; all others are one unknown word. A fifth of the sample is left out
 of the fit. It moves the scores so that ``THRESHOLD`` is their best cut, and then gives each language with at least 20
-toxic texts in it a threshold of its own. The score never sees
+toxic texts in it a threshold of its own. Where it would have under 5 toxic texts, the whole sample moves the scores. The score never sees
 language, source, id or label. The model has a fixed size and is broadcast.
 
 Edge cases: a null, empty or wordless text has the score of an empty text; a label table without rows of both labels
@@ -235,15 +235,18 @@ def _logit(p):
 
 
 def best_shift(values: np.ndarray, labels: np.ndarray, rate: float) -> float:
-    """What moves the logits so that THRESHOLD cuts best: by F1 at ``rate`` toxic texts, in the middle of the best gap."""
+    """What moves the logits so that THRESHOLD cuts best: by F1 at ``rate`` toxic texts, in the middle of the best gap.
+
+    A cut under which most are not toxic is not taken: where nothing tells the labels apart, nothing is called toxic.
+    """
     order = np.argsort(values)
     x, y = _logit(np.clip(values[order], 1e-9, 1 - 1e-9)), labels[order]
     weight = np.where(y == 1, rate / max(1, (y == 1).sum()), (1 - rate) / max(1, (y == 0).sum()))
     above = lambda of: np.append(np.cumsum((of * weight)[::-1])[::-1], 0)  # noqa: E731  from each place up
     hit, false = above(y == 1), above(y == 0)
-    f1 = 2 * hit / (hit + false + rate)
+    f1 = np.where(hit >= false, 2 * hit / (hit + false + rate), 0)
     edges = np.concatenate(([x[0] - 1], x, [x[-1] + 1]))
-    gap = np.where(f1 >= f1.max() - 1e-9, edges[1:] - edges[:-1], -1)
+    gap = np.where((f1 >= f1.max() - 1e-9) & (hit >= false), edges[1:] - edges[:-1], -1)
     k = int(gap.argmax())
     return float(_logit(THRESHOLD) - (edges[k] + edges[k + 1]) / 2)
 
@@ -300,11 +303,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if marks[test].sum() < 5 or (marks[~test] == 1).sum() < 20:
         test[:] = False
     model = fit([t for t, out in zip(texts, test, strict=True) if not out], marks[~test], seed)
+    known = Numbers(model.rows)
+    judged = [numbers(" ".join(t), known) for t, out in zip(texts, test, strict=True) if out or not test.any()]
+    model.offset += best_shift(scores(judged, model, ready(model)), marks[test] if test.any() else marks, rate)
     if test.any():
-        known = Numbers(model.rows)
-        left_out = [numbers(" ".join(t), known) for t, out in zip(texts, test, strict=True) if out]
-        model.offset += best_shift(scores(left_out, model, ready(model)), marks[test], rate)
-        found, of = scores(left_out, model, ready(model)), np.array([str(x) for x in langs])[test]
+        found, of = scores(judged, model, ready(model)), np.array([str(x) for x in langs])[test]
         for language in sorted(set(of.tolist())):
             own = of == language
             if marks[test][own].sum() >= 20 and language != "None":
