@@ -195,7 +195,7 @@ def dq12_issue_counts(t):
 
 
 @query(f"""WITH {SALES_LINES}, {SALES_REASON} SELECT count(*) AS total_rows, count(reason) AS dirty_rows,
-             round((1 - count(reason) / count(*)) * 100, 1) AS pass_rate_pct FROM tagged""")
+             round_even((1 - count(reason) / count(*)) * 100, 1) AS pass_rate_pct FROM tagged""")
 def dq13_pass_rate(t):
     return quality.pass_rate(sales_lines(t).withColumn("reason", quality.all_reasons(sales_rules())))
 

@@ -166,13 +166,13 @@ def issue_counts(dirty: DataFrame, reason: str = "reason") -> DataFrame:
 
 
 def pass_rate(tagged: DataFrame, reason: str = "reason") -> DataFrame:
-    """Rows, dirty rows and the share of clean rows in percent (one decimal)."""
+    """Rows, dirty rows and the share of clean rows in percent (one decimal, half to even)."""
     dirty = F.count_if(F.col(reason).isNotNull())
     return tagged.agg(
         F.count("*").alias("total_rows"),
         dirty.alias("dirty_rows"),
         F.coalesce(
-            F.round((1 - F.try_divide(dirty, F.count("*"))) * 100, 1), F.lit(100.0)
+            F.bround((1 - F.try_divide(dirty, F.count("*"))) * 100, 1), F.lit(100.0)
         ).alias("pass_rate_pct"),
     )
 

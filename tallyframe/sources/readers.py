@@ -35,7 +35,7 @@ def require_path(spark: SparkSession, path: str) -> str:
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, encoding: str = "UTF-8",
-    expected: Sequence[str] = (), multiline: bool = False, date_format: str | None = None,
+    expected: Sequence[str] = (), multiline: bool = True, date_format: str | None = None,
     timestamp_format: str | None = None,
 ) -> DataFrame:
     """CSV with a header.
@@ -62,7 +62,7 @@ def read_csv(
     return reader.schema(typed).option("enforceSchema", False).csv(path)
 
 
-def read_csv_any_encoding(spark: SparkSession, path: str, expected: Sequence[str] = ()) -> DataFrame:
+def read_csv_any_encoding(spark: SparkSession, path: str, expected: Sequence[str] = (), multiline: bool = True) -> DataFrame:
     """UTF-8, with or without a byte order mark, else Latin-1.
 
     The bytes of the whole file are checked, stopping at the first invalid line. Latin-1 decodes
@@ -71,7 +71,8 @@ def read_csv_any_encoding(spark: SparkSession, path: str, expected: Sequence[str
     require_path(spark, path)
     valid = spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
     encoding = ENCODINGS[0] if valid else ENCODINGS[1]
-    df = spark.read.option("header", True).option("encoding", encoding).option("inferSchema", True).csv(path)
+    reader = spark.read.option("header", True).option("encoding", encoding).option("inferSchema", True)
+    df = reader.option("escape", "\"").option("multiLine", multiline).csv(path)
     return require_columns(df.toDF(*[c.replace(BYTE_ORDER_MARK, "") for c in df.columns]), expected)
 
 
@@ -85,7 +86,9 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | str, ki
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema)
-    return reader.option("header", True).csv(path) if kind == "csv" else reader.parquet(path)
+    if kind == "csv":
+        return reader.option("header", True).option("escape", "\"").option("multiLine", True).csv(path)
+    return reader.parquet(path)
 
 
 def preview(df: DataFrame, rows: int = 5000) -> DataFrame:

@@ -106,3 +106,8 @@ def test_id_like_columns_are_left_out(spark):
     df = spark.createDataFrame([(i, i % 3, float(i)) for i in range(10)], "row_id bigint, width_id bigint, v double")
     assert profile.analysis_columns(df) == ["width_id", "v"]
     assert profile.analysis_columns(df.select("v")) == ["v"]
+
+
+def test_pass_rate_rounds_half_to_even(spark):
+    tagged = spark.range(16).selectExpr("if(id < 3, 'bad', null) AS reason")
+    assert quality.pass_rate(tagged).first()["pass_rate_pct"] == 81.2

@@ -19,6 +19,17 @@ def test_any_encoding(spark, tmp_path, encoding):
     assert [r["name"] for r in df.orderBy("id").collect()] == ["José", "Muñoz"]
 
 
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "latin-1"])
+def test_quotes_and_line_breaks_in_fields(spark, tmp_path, encoding):
+    wild = 'Él said ""hi"", ok\nand left'
+    path = put(tmp_path, "a.csv", f'id,name\n1,"{wild}"\n2,x\n'.encode(encoding))
+    want = [(1, wild.replace('""', '"')), (2, "x")]
+    assert [tuple(r) for r in readers.read_csv_any_encoding(spark, path).orderBy("id").collect()] == want
+    if encoding == "utf-8":
+        assert [tuple(r) for r in readers.read_csv(spark, path, "id int, name string").orderBy("id").collect()] == want
+        assert [tuple(r) for r in readers.read_optional(spark, path, "id int, name string", "csv").orderBy("id").collect()] == want
+
+
 def test_missing_file_and_columns(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         readers.read_csv(spark, str(tmp_path / "none.csv"))
