@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -14,9 +12,8 @@ from .registry import query
 CATEGORICAL = ["l_returnflag", "l_linestatus", "category"]
 NUMERIC = ["sales", "l_quantity", "l_discount", "order_month", "order_year", "order_dayofweek"]
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "sales"]
-# smaller than the library defaults, so that the whole table is fitted in seconds on one machine
-FOREST = partial(learning.fit_forest, trees=20, depth=6)
-BOOSTED = partial(learning.fit_boosted, rounds=10, depth=4)
+#: Models are fitted on at most so many labelled rows, in hash order of the key; trees, rounds, depth and folds are whole.
+FIT_ROWS = 4_000
 
 
 def _frame(t):
@@ -59,7 +56,7 @@ def ml3_logistic_regression(t):
 def _held_out(t, fit):
     plan, df = _encoded(t, ["is_loss", *KEY])
     dealt = learning.stratified_folds(df, "is_loss", KEY)
-    model = fit(dealt.where("fold <> 0"), "is_loss")
+    model = fit(learning.labelled_sample(dealt.where("fold <> 0"), KEY, FIT_ROWS), "is_loss")
     held = learning.scored(model, dealt.where("fold = 0"), "is_loss")
     return learning.classification_report(held, "label", "prediction")
 
@@ -67,13 +64,13 @@ def _held_out(t, fit):
 @query()
 def ml4_random_forest(t):
     """No SQL twin: trees depend on the learner."""
-    return _held_out(t, FOREST)
+    return _held_out(t, learning.fit_forest)
 
 
 @query()
 def ml5_boosted_trees(t):
     """No SQL twin: trees depend on the learner."""
-    return _held_out(t, BOOSTED)
+    return _held_out(t, learning.fit_boosted)
 
 
 @query(f"""WITH {RETAIL_LINES}, c AS (SELECT is_loss, count(*) AS n FROM retail_lines GROUP BY 1), f AS (SELECT CAST(unnest(range(5)) AS INTEGER) AS fold)
@@ -87,8 +84,7 @@ def ml6_stratified_folds(t):
 def ml7_cross_validation(t):
     """No SQL twin: figures of fitted models."""
     _, df = _encoded(t, ["is_loss", *KEY])
-    models = {"Logistic Regression": learning.fit_logistic, "Random Forest": FOREST}
-    return learning.with_best(learning.cross_validate(df, "is_loss", KEY, models, folds=3))
+    return learning.with_best(learning.cross_validate(df, "is_loss", KEY, fit_rows=FIT_ROWS))
 
 
 _SCORED = f"""{RETAIL_LINES}, s AS (SELECT l_quantity AS score, is_loss FROM retail_lines)"""
@@ -123,8 +119,9 @@ def ml10_roc_points(t):
 @query()
 def ml11_feature_importance(t):
     """No SQL twin: importances of fitted trees."""
-    plan, df = _encoded(t)
-    return learning.feature_importance(df, FOREST(df, "is_loss"), plan.names)
+    plan, df = _encoded(t, ["is_loss", *KEY])
+    model = learning.fit_forest(learning.labelled_sample(df, KEY, FIT_ROWS), "is_loss")
+    return learning.feature_importance(df, model, plan.names)
 
 
 def _components(t, k=64):
