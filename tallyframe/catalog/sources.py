@@ -125,7 +125,7 @@ def io12_session_logs(t):
     return session_totals(read_logs(t.spark, f"{folder}/session_*.csv"))
 
 
-@query("""SELECT conv_id, min(turn) AS start, CAST(0 AS INTEGER) AS page, CAST(count(*) AS INTEGER) AS n_messages,
+@query("""SELECT conv_id, min(turn) AS start, CAST(count(*) AS INTEGER) AS n_messages,
                  arg_min(text, turn) AS first_content, arg_max(text, turn) AS last_content
           FROM conversations GROUP BY conv_id""")
 def io13_nested_messages(t):
@@ -133,12 +133,18 @@ def io13_nested_messages(t):
     path = writers.write_json(nested, fresh_folder(t.spark, "io13"))
     back = t.spark.read.schema(nested.schema).json(path)
     return back.select(
-        "conv_id", "start", "page", F.size("messages").alias("n_messages"),
+        "conv_id", "start", F.size("messages").alias("n_messages"),
         F.get("messages", F.lit(0))["content"].alias("first_content"),
         F.element_at("messages", -1)["content"].alias("last_content"),
     )
 
 
+@query("""SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS position
+          FROM conversations""")
+def io13_session_messages(t):
+    return writers.session_messages(t.conversations, "conv_id", "turn", "role", "text")
+
+
 @query("""SELECT l_returnflag, count(*) AS n FROM lineitem
           WHERE year(l_shipdate) = (SELECT max(year(l_shipdate)) FROM lineitem) GROUP BY 1""")
 def io14_latest_run(t):

@@ -20,7 +20,8 @@ LOG_COLUMNS = [
 ]
 # fixed values: the columns that hold numbers
 NUMBER_COLUMNS = {
-    "turn_index", "prompt_tokens", "completion_tokens", "conversation_length",
+    "turn_index", "llm_round", "prompt_tokens", "completion_tokens", "tool_use_count", "bytes_written", "lines_written",
+    "exec_exit_code", "exec_duration_ms", "web_result_count", "file_ref_count", "conversation_length",
 }
 LOG_SCHEMA = ", ".join(f"{c} {'bigint' if c in NUMBER_COLUMNS else 'string'}" for c in LOG_COLUMNS)
 

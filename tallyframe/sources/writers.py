@@ -36,27 +36,31 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def session_messages(turns: DataFrame, session: str, order: str, role: str, text: str) -> DataFrame:
+    """One row per message with its position in the session, 1..n by ``order``, role and text.
+
+    The form for sessions of any length: a long one is ranked over many tasks.
+    """
+    return row_ranks(turns.select(session, order, role, text), [order, role, text], [session], "position")
+
+
 def sessions_as_messages(
-    turns: DataFrame, session: str, order: str, role: str, text: str, page: int = 10_000
+    turns: DataFrame, session: str, order: str, role: str, text: str, page: int | None = None
 ) -> DataFrame:
-    """session -> ordered messages, as pages of at most ``page`` messages.
+    """session -> one record with its ordered messages.
 
-    A session of usual length is grouped at once and is page 0. Only sessions longer than a page are
-    numbered in order and go on in further rows, so that no task holds an unbounded session.
+    The record holds its whole session, as the format asks. Where sessions may outgrow a task, either take
+    ``session_messages``, or set ``page``: every session then comes as records of at most ``page`` messages,
+    numbered from 0 in an extra column ``page``.
     """
-    slim = turns.select(session, order, role, text)
-    counts = slim.groupBy(F.col(session).alias("_s")).agg(F.count("*").alias("_k"))
-    long, same = counts.where(F.col("_k") > page), F.col(session).eqNullSafe(F.col("_s"))
-    usual = slim.join(long, same, "left_anti").withColumn("page", F.lit(0))
-    numbered = row_ranks(slim.join(long, same, "left_semi"), [order, role, text], [session], "_nth")
-    paged = numbered.withColumn("page", F.floor((F.col("_nth") - 1) / page).cast("int")).drop("_nth")
+    slim, keys = turns.select(session, order, role, text), [session]
+    if page is not None:
+        numbered = session_messages(turns, session, order, role, text)
+        slim = numbered.withColumn("page", F.floor((F.col("position") - 1) / page).cast("int"))
+        keys = [session, "page"]
     message = F.struct(F.col(order), F.col(role).alias("type"), F.col(text).alias("content"))
     in_order = F.transform(
         F.array_sort(F.collect_list(message)),
         lambda m: F.struct(m["type"].alias("type"), m[order].alias(order), m["content"].alias("content")),
     )
-    nested = [
-        part.groupBy(session, "page").agg(F.min(order).alias("start"), in_order.alias("messages"))
-        for part in (usual, paged)
-    ]
-    return nested[0].unionByName(nested[1])
+    return slim.groupBy(*keys).agg(F.min(order).alias("start"), in_order.alias("messages"))

@@ -58,7 +58,7 @@ def test_texts_with_quotes_breaks_and_blanks_survive(spark):
     assert sorted(tuple(r) for r in back.collect()) == rows
 
 
-def test_long_sessions_go_on_in_pages(spark):
+def test_sessions_come_whole_or_in_pages(spark):
     turns = spark.range(2500).select(
         F.when(F.col("id") < 2000, "long").when(F.col("id") < 2400, None).otherwise(F.col("id").cast("string")).alias("s"),
         F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text")).repartition(5)
@@ -67,6 +67,11 @@ def test_long_sessions_go_on_in_pages(spark):
     pages = sorted((r for r in out if r["s"] == "long"), key=lambda r: r["page"])
     assert [m["turn"] for r in pages for m in r["messages"]] == list(range(2000))
     assert len([r for r in out if r["s"] is None]) == 2
+    whole = writers.sessions_as_messages(turns, "s", "turn", "role", "text")
+    assert whole.columns == ["s", "start", "messages"]
+    assert [m["turn"] for r in whole.where("s = 'long'").collect() for m in r["messages"]] == list(range(2000))
+    flat = writers.session_messages(turns, "s", "turn", "role", "text").where("s = 'long'")
+    assert flat.where("position = turn + 1").count() == 2000
 
 
 def test_session_logs(spark, tmp_path):
