@@ -76,7 +76,7 @@ def a5_min_mean_max(t):
 
 @query(f"""WITH {RETAIL_LINES} SELECT category, sub_category, count(profit) AS "count", round(avg(profit), 4) AS mean_profit,
              round(quantile_cont(profit, 0.5), 6) AS median_profit, round(avg(profit_margin), 6) AS mean_profit_margin,
-             round(avg(is_loss) * 100, 2) AS pct_loss FROM retail_lines GROUP BY 1, 2""")
+             round_even(avg(is_loss) * 100, 2) AS pct_loss FROM retail_lines GROUP BY 1, 2""")
 def a6_profit_table(t):
     out = grouping.profit_table(retail_lines(t), ["category", "sub_category"], "profit", "profit_margin", "is_loss")
     return rounded(rounded(out, 4, "mean_profit"), 6, "median_profit", "mean_profit_margin")
@@ -142,14 +142,14 @@ def a13_exact_quantiles(t):
 
 
 @query(f"""WITH {SALES_ORDERS}, c AS (SELECT customer_name, count(*) AS k FROM sales_orders GROUP BY 1)
-  SELECT round(sum(revenue), 2) AS total_revenue, count(*) AS order_count, round(avg(revenue), 2) AS avg_order_value,
-         round(quantile_cont(revenue, 0.5), 2) AS median_order_value,
+  SELECT round_even(sum(revenue), 2) AS total_revenue, count(*) AS order_count, round_even(avg(revenue), 2) AS avg_order_value,
+         round_even(quantile_cont(revenue, 0.5), 2) AS median_order_value,
          (SELECT region FROM sales_orders GROUP BY 1 ORDER BY sum(revenue) DESC, 1 LIMIT 1) AS top_region,
          (SELECT segment FROM sales_orders GROUP BY 1 ORDER BY sum(revenue) DESC, 1 LIMIT 1) AS top_product,
          (SELECT sales_rep FROM sales_orders WHERE sales_rep IS NOT NULL GROUP BY 1 ORDER BY sum(revenue) DESC, 1 LIMIT 1) AS top_sales_rep,
          (SELECT customer_name FROM sales_orders GROUP BY 1 ORDER BY sum(revenue) DESC, 1 LIMIT 1) AS top_customer,
          count(*) FILTER (WHERE is_pending) AS pending_count,
-         round(sum(revenue) FILTER (WHERE is_pending), 2) AS pending_revenue,
+         round_even(sum(revenue) FILTER (WHERE is_pending), 2) AS pending_revenue,
          (SELECT count(*) FROM c WHERE k > 1) AS repeat_customer_count,
          (SELECT count(*) FROM c WHERE k = 1) AS one_time_customer_count FROM sales_orders""")
 def a14_kpis(t):

@@ -112,9 +112,11 @@ def dq7_repeated_rows(t):
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, row_number() OVER (
             PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey) > 1 AS is_repeat
-          FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem)""")
+          FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)""")
 def dq8_repeated_keys(t):
-    df = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").distinct()
+    """The first line of every order stands twice, so keys and whole rows repeat."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    df = lines.unionByName(lines.where("l_linenumber = 1"))
     return quality.flag_repeats(df, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"])
 
 
@@ -227,12 +229,12 @@ def dq15_nothing_dirty_warning(t):
 
 def _profile_sql(columns: dict[str, str]) -> str:
     numeric = """SELECT {i} AS position, '{c}' AS "column", '{d}' AS dtype, count(*) AS total_count,
-        count(*) - count({c}) AS null_count, round((count(*) - count({c})) / count(*) * 100, 2) AS null_pct,
+        count(*) - count({c}) AS null_count, round_even((count(*) - count({c})) / count(*) * 100, 2) AS null_pct,
         count(DISTINCT {c}) AS unique_count, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
-        round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, round(quantile_cont({c}, 0.25), 4) AS p25,
-        round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.75), 4) AS p75 FROM src"""
+        round_even(avg({c}), 4) AS mean, round_even(stddev_samp({c}), 4) AS std, round_even(quantile_cont({c}, 0.25), 4) AS p25,
+        round_even(quantile_cont({c}, 0.5), 4) AS p50, round_even(quantile_cont({c}, 0.75), 4) AS p75 FROM src"""
     text = """SELECT {i} AS position, '{c}' AS "column", '{d}' AS dtype, count(*) AS total_count,
-        count(*) - count({c}) AS null_count, round((count(*) - count({c})) / count(*) * 100, 2) AS null_pct,
+        count(*) - count({c}) AS null_count, round_even((count(*) - count({c})) / count(*) * 100, 2) AS null_pct,
         count(DISTINCT {c}) AS unique_count, NULL::DOUBLE AS min, NULL::DOUBLE AS max, NULL::DOUBLE AS mean,
         NULL::DOUBLE AS std, NULL::DOUBLE AS p25, NULL::DOUBLE AS p50, NULL::DOUBLE AS p75 FROM src"""
     return " UNION ALL ".join(

@@ -106,7 +106,7 @@ def f4_noshow_summary(t):
 
 
 @query(f"""WITH {RETAIL_LINES}, {RFM}, {GAINS},
-  c AS (SELECT sub_category, round(avg(is_loss) * 100, 2) AS pct_loss FROM retail_lines GROUP BY 1),
+  c AS (SELECT sub_category, round_even(avg(is_loss) * 100, 2) AS pct_loss FROM retail_lines GROUP BY 1),
   m AS (SELECT bin, label, avg(gain) AS mean FROM labelled WHERE category = 'PROMO' GROUP BY 1, 2)
   SELECT (SELECT sub_category FROM c ORDER BY pct_loss DESC, sub_category LIMIT 1) AS worst_item, (SELECT max(pct_loss) FROM c) AS worst_pct_loss,
          coalesce((SELECT arg_min(label, bin) FROM m WHERE mean < 0), 'never negative') AS focus_breakeven,
@@ -129,7 +129,7 @@ def f5_segment_shares(t):
 _FEATURES = ["page_views", "session_duration", "bounce_rate", "previous_visits"]
 
 
-@query(f"""WITH {WEB_SESSIONS}, g AS (SELECT traffic_source AS k, round(avg(session_duration), 4) AS d, round(avg(bounce_rate), 4) AS b, round(avg(conversion_rate), 4) AS c FROM web GROUP BY 1),
+@query(f"""WITH {WEB_SESSIONS}, g AS (SELECT traffic_source AS k, round_even(avg(session_duration), 4) AS d, round_even(avg(bounce_rate), 4) AS b, round_even(avg(conversion_rate), 4) AS c FROM web GROUP BY 1),
   r AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, corr(conversion_rate, {c}) AS r FROM web" for c in _FEATURES) + """)
   SELECT (SELECT k FROM g ORDER BY c DESC, k LIMIT 1) AS best_conversion_source, (SELECT k FROM g ORDER BY d DESC, k LIMIT 1) AS highest_engagement_source,
          (SELECT k FROM g ORDER BY b, k LIMIT 1) AS lowest_bounce_source, round(avg(conversion_rate) FILTER (WHERE previous_visits = 0), 4) AS new_conversion,
@@ -198,9 +198,9 @@ def _long(table: str, key: str, measures: dict[str, str], source: str = "s", whe
 
 
 _KPI_NUM = {
-    "total_revenue": "round(sum(revenue), 2)", "order_count": "count(*)", "avg_order_value": "round(avg(revenue), 2)",
-    "median_order_value": "round(quantile_cont(revenue, 0.5), 2)", "pending_count": "count(*) FILTER (WHERE status = 'Pending')",
-    "pending_revenue": "round(sum(revenue) FILTER (WHERE status = 'Pending'), 2)",
+    "total_revenue": "round_even(sum(revenue), 2)", "order_count": "count(*)", "avg_order_value": "round_even(avg(revenue), 2)",
+    "median_order_value": "round_even(quantile_cont(revenue, 0.5), 2)", "pending_count": "count(*) FILTER (WHERE status = 'Pending')",
+    "pending_revenue": "round_even(sum(revenue) FILTER (WHERE status = 'Pending'), 2)",
     "repeat_customer_count": "(SELECT count(*) FROM c WHERE k > 1)", "one_time_customer_count": "(SELECT count(*) FROM c WHERE k = 1)",
 }
 _KPI_TEXT = {"top_region": "region", "top_product": "product", "top_sales_rep": "sales_rep", "top_customer": "customer_name"}

@@ -212,7 +212,7 @@ RFM = """base AS (SELECT o_custkey, CAST(date_diff('day', CAST(max(o_orderdate)
      count(DISTINCT o_orderkey) AS frequency, sum(o_totalprice) AS monetary FROM orders GROUP BY 1),
   edges AS (SELECT quantile_cont(recency, [0.25, 0.5, 0.75]) AS e, count(*) AS n FROM base),
   ranked AS (SELECT *, row_number() OVER (ORDER BY frequency, o_custkey) AS fr, row_number() OVER (ORDER BY monetary, o_custkey) AS mr FROM base, edges),
-  rfm AS (SELECT o_custkey, recency, frequency, round(monetary, 2) AS monetary,
+  rfm AS (SELECT o_custkey, recency, frequency, round_even(monetary, 2) AS monetary,
      CAST(CASE WHEN recency <= e[1] THEN 4 WHEN recency <= e[2] THEN 3 WHEN recency <= e[3] THEN 2 ELSE 1 END AS INTEGER) AS r_score,
      CAST(1 + CASE WHEN fr > 1 + (n - 1) / 4 THEN 1 ELSE 0 END + CASE WHEN fr > 1 + (n - 1) * 2 / 4 THEN 1 ELSE 0 END + CASE WHEN fr > 1 + (n - 1) * 3 / 4 THEN 1 ELSE 0 END AS INTEGER) AS f_score,
      CAST(1 + CASE WHEN mr > 1 + (n - 1) / 4 THEN 1 ELSE 0 END + CASE WHEN mr > 1 + (n - 1) * 2 / 4 THEN 1 ELSE 0 END + CASE WHEN mr > 1 + (n - 1) * 3 / 4 THEN 1 ELSE 0 END AS INTEGER) AS m_score FROM ranked),

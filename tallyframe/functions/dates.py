@@ -16,6 +16,12 @@ def parse_mixed_date(text: Column) -> Column:
     )
 
 
+def parse_month_first(text: Column) -> Column:
+    """ISO, else month-first; null when neither fits."""
+    tidy = F.translate(F.trim(text), "/", "-")
+    return F.coalesce(F.try_to_date(tidy, "yyyy-M-d"), F.try_to_date(tidy, "M-d-yyyy"))
+
+
 def parse_utc(text: Column) -> Column:
     """ISO text with an offset or ``Z`` -> wall-clock time in UTC, without a zone."""
     instant = F.try_to_timestamp(text).cast("timestamp_ntz")

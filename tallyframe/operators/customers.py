@@ -53,7 +53,7 @@ def rfm_scores(df: DataFrame, customer: str, order_key: str, moment: str, spend:
     scored = rank_quartile(scored, "monetary", customer, "m_score")
     r, f, m = (F.col(c) for c in ("r_score", "f_score", "m_score"))
     return scored.select(
-        customer, "recency", "frequency", F.round("monetary", 2).alias("monetary"), r, f, m,
+        customer, "recency", "frequency", F.bround("monetary", 2).alias("monetary"), r, f, m,
         F.concat(r.cast("string"), f.cast("string"), m.cast("string")).alias("rfm_score"),
         segment_of(r, f, m).alias("segment"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import equal_width_bin, equal_width_edges, histogram_bin, interval_label
 from .ordering import exact_quantiles, join_null_safe, known
+from .quality import nan_as_missing
 
 
 def _span(df: DataFrame, value: str, widen_by: Column) -> Column:
@@ -19,9 +20,9 @@ def _span(df: DataFrame, value: str, widen_by: Column) -> Column:
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """Counts per equal-width bin over the global range (a single value gets a range of one)."""
-    span = _span(df, value, F.lit(0.5))
-    kept = df.where(F.col(value).isNotNull())
+    """Counts per equal-width bin over the global range (a single value gets a range of one); NaN is missing."""
+    kept = nan_as_missing(df).where(F.col(value).isNotNull())
+    span = _span(kept, value, F.lit(0.5))
     number = histogram_bin(F.col(value), span["low"], span["high"], bins)
     counts = kept.select(*by, number.alias("bin")).groupBy(*by, "bin").agg(F.count("*").alias("n"))
     step = (span["high"] - span["low"]) / bins
@@ -141,7 +142,7 @@ def breakeven_by_group(
         F.coalesce(
             F.min_by(F.when(negative, label), F.when(negative, F.col("bin"))), F.lit("never negative")
         ).alias("breakeven_bucket"),
-        F.round(
+        F.bround(
             F.min_by(F.when(negative, F.col("mean")), F.when(negative, F.col("bin"))), 2
         ).alias("mean_at_breakeven"),
     )

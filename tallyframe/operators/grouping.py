@@ -81,7 +81,7 @@ def profit_table(
     middle = exact_quantiles(df, profit, {"median_profit": 0.5}, by).drop("n", "distinct")
     return join_null_safe(basic, middle, list(by), "left").select(
         *by, "count", "mean_profit", "median_profit", "mean_profit_margin",
-        F.round("pct_loss", 2).alias("pct_loss"),
+        F.bround("pct_loss", 2).alias("pct_loss"),
     )
 
 
@@ -217,12 +217,12 @@ def kpis(
     Three passes: totals, the median, and all leaders with the customers' order counts together.
     """
     totals = df.agg(
-        F.round(F.sum(revenue), 2).alias("total_revenue"), F.count("*").alias("order_count"),
-        F.round(F.avg(revenue), 2).alias("avg_order_value"),
+        F.bround(F.sum(revenue), 2).alias("total_revenue"), F.count("*").alias("order_count"),
+        F.bround(F.avg(revenue), 2).alias("avg_order_value"),
         F.count_if(pending).alias("pending_count"),
-        F.round(F.coalesce(F.sum(F.when(pending, F.col(revenue))), F.lit(0.0)), 2).alias("pending_revenue"),
+        F.bround(F.coalesce(F.sum(F.when(pending, F.col(revenue))), F.lit(0.0)), 2).alias("pending_revenue"),
     )
-    middle = exact_quantiles(df, revenue, {"m": 0.5}).select(F.round("m", 2)).scalar()
+    middle = exact_quantiles(df, revenue, {"m": 0.5}).select(F.bround("m", 2)).scalar()
     keys = list(dict.fromkeys([*leaders.values(), customer]))
     slim = df.select(*keys, F.col(revenue).alias("_m"), F.col(order_key).alias("_o"))
     groups = by_each_key(slim, keys, {"revenue": F.sum("_m"), "orders": F.count("_o")})

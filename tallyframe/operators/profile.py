@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .ordering import exact_quantiles
-from .quality import numeric_columns
+from .quality import nan_as_missing, numeric_columns
 
 
 def _text_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -56,30 +57,36 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """dtype, counts, null share, distinct, min/max/mean/std and quartiles for each column.
 
-    Three passes at most: moments, quartiles with the distinct numbers, and distinct texts.
+    Three passes at most: moments, quartiles with the distinct floats, and distinct values of all other types,
+    which a double could not tell apart. NaN is a missing value.
     """
     columns = list(columns or df.columns)
+    df = nan_as_missing(df.select(*[F.col(f"`{c}`") for c in columns]))
     numeric = [c for c in columns if c in set(numeric_columns(df))]
-    texts = [c for c in columns if c not in numeric]
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    texts = [c for c in columns if c not in floats]
     quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     out = column_moments(df, columns)
     found = []
     if numeric:
         exact = exact_quantiles(number_cells(df, numeric), "number", quartiles, ["column"])
-        found.append(exact.drop("n").withColumnRenamed("distinct", "unique_count"))
+        distinct = F.when(F.col("column").isin(*floats), F.col("distinct")) if floats else F.lit(None).cast("bigint")
+        found.append(exact.withColumn("unique_count", distinct).drop("n", "distinct"))
     if texts:
         found.append(distinct_counts(df, texts))
     details = found[0] if len(found) == 1 else found[0].unionByName(found[1], allowMissingColumns=True)
+    if numeric and texts:  # a whole number column has its quartiles in one row and its count in another
+        details = details.groupBy("column").agg(*[F.max(c).alias(c) for c in details.columns if c != "column"])
     for p in quartiles:
         if p not in details.columns:
             details = details.withColumn(p, F.lit(None).cast("double"))
     share = F.try_divide(F.col("null_count"), F.col("total_count")) * 100
     return out.join(details, "column", "left").select(
         "position", "column", "dtype", "total_count", "null_count",
-        F.round(share, 2).alias("null_pct"),
+        F.bround(share, 2).alias("null_pct"),
         F.coalesce("unique_count", F.lit(0).cast("bigint")).alias("unique_count"),
         "min", "max",
-        *[F.round(c, 4).alias(c) for c in ("mean", "std", "p25", "p50", "p75")],
+        *[F.bround(c, 4).alias(c) for c in ("mean", "std", "p25", "p50", "p75")],
     )
 
 

@@ -8,10 +8,12 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .ordering import join_null_safe
+
 SEPARATOR = "; "
 
 
@@ -94,50 +96,46 @@ def flag_repeats(
     keys: Sequence[str] | None = None,
     order_by: Sequence[str] = (),
     name: str = "is_repeat",
-    salts: int = 64,
 ) -> DataFrame:
     """True on every row but the first per key (null keys meet); whole rows by default.
 
-    Exact copies are counted before the shuffle and written out again at the end, and the different
-    rows of one key are compared in two steps, so no key fills a task: each salt keeps its first
-    row by ``order_by``, then the at most ``salts`` firsts are compared.
+    Exact copies are counted before the shuffle and written out again at the end. The first row of a key is
+    the least by ``order_by``, then by the other columns: a minimum, combined before the shuffle, so a hot
+    key fills no task; the join back to it is split by adaptive execution.
     """
     counts = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     if keys is None or set(keys) == set(df.columns):
-        marked = counts.withColumn("_later", F.lit(False))
-    else:
-        rank = [F.col(c) for c in order_by or [c for c in df.columns if c not in keys]]
-        salted = counts.withColumn("_salt", F.pmod(F.xxhash64(*rank), F.lit(salts)))
-        within = Window.partitionBy(*keys, "_salt").orderBy(*rank)
-        firsts = salted.withColumn("_place", F.row_number().over(within)).withColumn(
-            "_round", F.when(F.col("_place") == 1, F.lit(-1).cast("bigint")).otherwise(F.col("_salt"))
-        )
-        across = Window.partitionBy(*keys, "_round").orderBy(*rank, "_salt")
-        marked = firsts.withColumn("_later", (F.col("_place") > 1) | (F.row_number().over(across) > 1))
-    return expand_copies(marked, counts, df.columns, name)
-
-
-def expand_copies(
-    marked: DataFrame, counts: DataFrame, columns: Sequence[str], name: str, chunk: int = 100_000
-) -> DataFrame:
+        return expand_copies(counts.withColumn("_later", F.lit(False)), df.columns, name)
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    place = F.struct(*[F.col(c) for c in [*order_by, *rest]])
+    firsts = counts.groupBy(*keys).agg(F.min(place).alias("_first"))
+    marked = join_null_safe(counts, firsts, keys).withColumn("_later", ~place.eqNullSafe(F.col("_first")))
+    return expand_copies(marked, df.columns, name)
+
+
+def expand_copies(marked: DataFrame, columns: Sequence[str], name: str, chunk: int = 100_000) -> DataFrame:
     """Rows with a ``_copies`` count as that many rows again, all but the first flagged.
 
-    Copies beyond the first ``chunk`` are repeats in any case: they are cut into pieces that are
-    spread over tasks before they are written out.
+    Every row is cut into pieces of at most ``chunk`` copies; the pieces are dealt over tasks and written out there.
     """
-    nth = F.explode(F.sequence(F.lit(1), F.least(F.col("_copies"), F.lit(chunk))))
-    rows = marked.withColumn("_nth", nth).select(*columns, (F.col("_later") | (F.col("_nth") > 1)).alias(name))
-    pieces = counts.where(F.col("_copies") > chunk).withColumn(
-        "_piece", F.explode(F.sequence(F.lit(1), F.floor((F.col("_copies") - 1) / chunk)))
-    ).repartition("_piece", *columns)
+    last = F.floor((F.col("_copies") - 1) / chunk)
+    pieces = marked.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     low = F.col("_piece") * chunk + 1
-    more = pieces.withColumn("_nth", F.explode(F.sequence(low, F.least(low + chunk - 1, F.col("_copies")))))
-    return rows.unionByName(more.select(*columns, F.lit(True).alias(name)))
+    nth = F.explode(F.sequence(low, F.least(low + (chunk - 1), F.col("_copies"))))
+    rows = pieces.repartition("_piece", *columns).withColumn("_nth", nth)
+    return rows.select(*columns, (F.col("_later") | (F.col("_nth") > 1)).alias(name))
+
+
+def nan_as_missing(df: DataFrame) -> DataFrame:
+    """NaN in a floating column is a missing value, as it is in the tables' files."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
 
 
-def audit_any_table(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
-    """Rules made from the schema: repeated row, missing values, 3-sigma values. Adds ``reason``."""
-    flagged = flag_repeats(df, df.columns, order_by, "_repeat")
+def audit_any_table(df: DataFrame) -> DataFrame:
+    """Rules made from the schema: repeated row, missing values (NaN is one), 3-sigma values. Adds ``reason``."""
+    df = nan_as_missing(df)
+    flagged = flag_repeats(df, df.columns, name="_repeat")
     rules = [Rule("duplicate row", F.col("_repeat"))]
     rules += [Rule(f"missing value in '{c}'", F.col(c).isNull()) for c in df.columns]
     rules += sigma_rules(df)

@@ -19,9 +19,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*[c.replace(".", "_") for c in df.columns])
 
 
-def investigate(df: DataFrame, order_by: Sequence[str] = ()) -> Split:
+def investigate(df: DataFrame) -> Split:
     """Clean and dirty rows. The tagged rows are written once: every later step reads them."""
-    tagged = materialise(quality.audit_any_table(df, order_by))
+    tagged = materialise(quality.audit_any_table(df))
     return Split(
         tagged.where("reason is null").drop("reason"), tagged.where("reason is not null"))
 

@@ -10,7 +10,7 @@ from ..functions.dates import days_between, parse_utc, weekday_number
 from ..functions.numbers import flag
 from ..operators import distribution, grouping, inference, timeline, topk
 from ..operators.ordering import exact_quantiles, known, quantile_labels
-from ..operators.quality import Rule, Split, first_reason, split
+from ..operators.quality import Rule, Split, first_reason, require_parsed, split, warn_when_nothing_dirty
 from ..sources.readers import read_csv
 from ..sources.writers import raw_then_derived, write_csv, write_parquet
 
@@ -38,9 +38,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse(df: DataFrame) -> DataFrame:
+    """Both times in UTC and the days between them; raises on the first text that is no time."""
     parsed = df.withColumns({
         "scheduled_dt": parse_utc(F.col("ScheduledDay")), "appointment_dt": parse_utc(F.col("AppointmentDay")),
     })
+    for raw, moment in (("ScheduledDay", "scheduled_dt"), ("AppointmentDay", "appointment_dt")):
+        require_parsed(parsed.where(F.col(raw).isNotNull()), raw, moment, "AppointmentID")
     return parsed.withColumn("lead_days", days_between(F.col("appointment_dt"), F.col("scheduled_dt")))
 
 
@@ -53,7 +56,9 @@ def rules() -> list[Rule]:
 
 
 def clean(df: DataFrame) -> Split:
-    return split(df, first_reason(rules()))
+    parts = split(df, first_reason(rules()))
+    warn_when_nothing_dirty(parts.dirty, "appointments")
+    return parts
 
 
 def derive(df: DataFrame) -> DataFrame:

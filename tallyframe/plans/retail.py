@@ -8,11 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.bins import cut
-from ..functions.dates import date_range_text, days_between, parse_mixed_date, weekday_number
+from ..functions.dates import date_range_text, days_between, parse_month_first, weekday_number
 from ..functions.numbers import flag, safe_ratio
 from ..operators import customers, distribution, grouping, inference, learning, reshape, timeline, topk
 from ..operators.ordering import exact_quantiles
-from ..operators.quality import Rule, Split, beyond_population_z, first_reason, split
+from ..operators.quality import (
+    Rule,
+    Split,
+    beyond_population_z,
+    first_reason,
+    require_parsed,
+    split,
+    warn_when_nothing_dirty,
+)
 from ..sources.readers import read_csv
 from ..sources.writers import write_csv, write_parquet
 
@@ -29,6 +37,14 @@ WEB_COLUMNS = [
 CATEGORICAL = ["Ship Mode", "Segment", "Category", "Sub-Category", "Region"]
 NUMERIC = ["Sales", "Quantity", "Discount", "days_to_ship", "order_month", "order_year", "order_dayofweek"]
 Z_LIMIT = 3.0
+KEY = ["Order ID", "Product ID", "Customer ID", "Sales", "Quantity", "Discount"]
+# fixed values: the headers of the result files
+BREAKEVEN_HEADER = ["Category", "breakeven_discount_bucket", "mean_profit_at_breakeven"]
+RFM_HEADER = ["Customer ID", "Recency", "Frequency", "Monetary", "R", "F", "M", "RFM_Score", "Segment"]
+REPORT_HEADER = [
+    "model_name", "cv_auroc_mean", "cv_auroc_std", "cv_f1_mean", "cv_f1_std", "precision_0", "recall_0", "f1_0",
+    "precision_1", "recall_1", "f1_1",
+]
 
 
 def _ddl(columns: list[str], kinds: dict[str, str]) -> str:
@@ -53,16 +69,23 @@ def clean_sales(df: DataFrame, source: str) -> Split:
         Rule("sales_zero_or_negative", F.col("Sales") <= 0),
         Rule("profit_extreme_outlier", beyond_population_z(df, "Profit", Z_LIMIT)),
     ]))
+    warn_when_nothing_dirty(parts.dirty, source)
     return Split(parts.clean, parts.dirty.withColumn("source_file", F.lit(source)))
 
 
 def clean_web(df: DataFrame, source: str) -> Split:
     parts = split(df, first_reason([Rule("zero_page_views", F.col("Page Views") == 0)]))
+    warn_when_nothing_dirty(parts.dirty, source)
     return Split(parts.clean, parts.dirty.withColumn("source_file", F.lit(source)))
 
 
 def derive_sales(df: DataFrame) -> DataFrame:
-    dated = df.withColumns({c: parse_mixed_date(F.col(c).cast("string")) for c in ("Order Date", "Ship Date")})
+    """Dates (ISO or month first) and what follows from them; raises on the first text that is no date."""
+    dated = df
+    for c in ("Order Date", "Ship Date"):
+        parsed = df.withColumn("_parsed", parse_month_first(F.col(c).cast("string")))
+        require_parsed(parsed.where(F.col(c).isNotNull()), c, "_parsed", "Order ID")
+        dated = dated.withColumn(c, parse_month_first(F.col(c).cast("string")))
     ordered = F.col("Order Date")
     return dated.withColumns({
         "days_to_ship": days_between(F.col("Ship Date"), ordered),
@@ -116,8 +139,8 @@ def correlations(df: DataFrame) -> DataFrame:
 def tests(df: DataFrame) -> DataFrame:
     """Three Kruskal-Wallis tests on profit and the segment by ship mode chi-square, one row each."""
     shape = lambda t, name, statistic: t.select(
-        F.lit(name).alias("test_name"), F.round(statistic, 4).alias("statistic"),
-        F.round("p_value", 6).alias("p_value"), F.col("dof").cast("bigint").alias("dof"),
+        F.lit(name).alias("test_name"), F.bround(statistic, 4).alias("statistic"),
+        F.bround("p_value", 6).alias("p_value"), F.col("dof").cast("bigint").alias("dof"),
         F.when(F.col("p_value") < 0.05, "significant").otherwise("not significant").alias("conclusion"))
     rows = [
         shape(inference.kruskal(df, ["Profit"], c), f"Profit ~ {c}", "h_stat")
@@ -152,18 +175,22 @@ def model_report(
 
 def findings(
     categories: DataFrame, breakevens: DataFrame, scores: DataFrame, group: str = "Category",
-    item: str = "Sub-Category", focus: str = "Furniture",
+    item: str = "Sub-Category", focus: str = "Furniture", report: DataFrame | None = None,
 ) -> DataFrame:
-    """Worst loss rate, the focus category's break-even, and segment shares."""
+    """Worst loss rate, the focus category's break-even, segment shares and, with a model report, its best model."""
     worst = grouping.leader(categories, item, "pct_loss").select(F.struct(F.col(item).alias("item"), "pct_loss").alias("s")).scalar()
     bucket = breakevens.where(F.col(group) == focus).select("breakeven_bucket").scalar()
-    return scores.agg(
+    out = scores.agg(
         (F.avg((F.col("segment") == "Champions").cast("int")) * 100).alias("champions_pct"),
         (F.avg((F.col("segment") == "At Risk").cast("int")) * 100).alias("at_risk_pct"),
     ).select(
         worst["item"].alias("worst_item"), worst["pct_loss"].alias("worst_pct_loss"),
         bucket.alias("focus_breakeven"), "champions_pct", "at_risk_pct",
     )
+    if report is None:
+        return out
+    best = learning.with_best(report).where("is_best").select(F.struct("model_name", "cv_auroc_mean").alias("b")).scalar()
+    return out.withColumns({"best_model": best["model_name"], "best_auroc": best["cv_auroc_mean"]})
 
 
 def segment_shares(scores: DataFrame) -> DataFrame:
@@ -180,8 +207,12 @@ def overview(kept: DataFrame, dirty: DataFrame, moment: str = "Order Date") -> D
     ).withColumn("dirty_rows", removed)
 
 
-def run(spark: SparkSession, sales_path: str, web_path: str, out: str) -> dict[str, str]:
-    """Two CSV files in; typed clean tables, all dirty rows with their source, and the result tables out."""
+def run(
+    spark: SparkSession, sales_path: str, web_path: str, out: str,
+    models: Mapping[str, learning.Fitter] | None = None, folds: int = 5,
+) -> dict[str, str]:
+    """Two CSV files in; typed clean tables, all dirty rows with their source, the result tables, the models' report
+    and the findings out."""
     name = lambda path: path.rstrip("/").rsplit("/", 1)[-1]
     sales = clean_sales(read_sales(spark, sales_path), name(sales_path))
     web = clean_web(read_web(spark, web_path), name(web_path))
@@ -191,9 +222,12 @@ def run(spark: SparkSession, sales_path: str, web_path: str, out: str) -> dict[s
         "dirty": write_csv(reshape.stack_tables(sales.dirty, web.dirty), f"{out}/dirty"),
     }
     df = spark.read.parquet(kept)
+    report, categories, turns, scores = model_report(df, KEY, models, folds), category_table(df), breakeven(df), rfm(df)
     for label, table in {
-        "profit_by_category": category_table(df), "statistical_tests": tests(df),
-        "discount_breakeven": breakeven(df), "rfm_scores": rfm(df),
+        "profit_by_category": categories, "statistical_tests": tests(df),
+        "discount_breakeven": turns.toDF(*BREAKEVEN_HEADER), "rfm_scores": scores.toDF(*RFM_HEADER),
+        "classification_report": report.select("model_name", *[F.bround(c, 4).alias(c) for c in REPORT_HEADER[1:]]),
+        "findings": findings(categories, turns, scores, report=report),
     }.items():
         written[label] = write_csv(table, f"{out}/tables/{label}")
     return written

@@ -74,7 +74,7 @@ def explore(df: DataFrame) -> dict[str, DataFrame]:
 
 def tests(df: DataFrame) -> DataFrame:
     out = inference.kruskal(df, TARGETS, "Traffic Source")
-    return out.select("target", F.round("h_stat", 4).alias("H_stat"), F.round("p_value", 4).alias("p_value"), "significant")
+    return out.select("target", F.bround("h_stat", 4).alias("H_stat"), F.bround("p_value", 4).alias("p_value"), "significant")
 
 
 def correlations(df: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def correlations(df: DataFrame) -> DataFrame:
 
 def source_metrics(df: DataFrame, source: str, columns: dict[str, str]) -> DataFrame:
     """Mean per source of each measure, rounded to four digits; ``columns``: output name -> column."""
-    return grouping.summarise(df, [source], {k: F.round(F.avg(c), 4) for k, c in columns.items()}, keep_null_keys=False)
+    return grouping.summarise(df, [source], {k: F.bround(F.avg(c), 4) for k, c in columns.items()}, keep_null_keys=False)
 
 
 def report_facts(
@@ -97,12 +97,12 @@ def report_facts(
     features = features or [c for c in NUMERIC if c != conversion]
     top = inference.rank_features(df, conversion, features).limit(1).select(F.struct("feature", "r").alias("s")).scalar()
     return df.agg(
-        F.round(F.avg(F.when(F.col(visits) == 0, F.col(conversion))), 4).alias("new_conversion"),
-        F.round(F.avg(F.when(F.col(visits) > 0, F.col(conversion))), 4).alias("returning_conversion"),
+        F.bround(F.avg(F.when(F.col(visits) == 0, F.col(conversion))), 4).alias("new_conversion"),
+        F.bround(F.avg(F.when(F.col(visits) > 0, F.col(conversion))), 4).alias("returning_conversion"),
     ).select(
         lead("c").alias("best_conversion_source"), lead("d").alias("highest_engagement_source"),
         lead("b", True).alias("lowest_bounce_source"), "new_conversion", "returning_conversion",
-        top["feature"].alias("top_feature"), F.round(top["r"], 4).alias("top_r"),
+        top["feature"].alias("top_feature"), F.bround(top["r"], 4).alias("top_r"),
     )
 
 

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators import profile
+from tallyframe.operators import learning, profile
 from tallyframe.plans import casefile, expression, noshow, retail, sales, web, weekly
 
 
@@ -113,7 +113,16 @@ def test_retail(spark, tmp_path):
     first = kept.where("`Order ID` = 'O1'").orderBy("Sales").first()
     assert str(first["Order Date"]) == "2016-03-03" and first["Product Name"] == "Café 2" and first["days_to_ship"] == 365
     assert "Country" not in kept.columns
-    out = retail.run(spark, sales_path, web_path, str(tmp_path / "out"))
+    light = {"Logistic Regression": learning.fit_logistic, "Random Forest": lambda d, y: learning.fit_forest(d, y, trees=3, depth=3)}
+    out = retail.run(spark, sales_path, web_path, str(tmp_path / "out"), light, folds=2)
+    header = lambda name: spark.read.option("header", True).csv(out[name]).columns
+    assert header("rfm_scores") == ["Customer ID", "Recency", "Frequency", "Monetary", "R", "F", "M", "RFM_Score", "Segment"]
+    assert header("discount_breakeven") == ["Category", "breakeven_discount_bucket", "mean_profit_at_breakeven"]
+    assert header("profit_by_category") == ["Category", "Sub-Category", "count", "mean_profit", "median_profit", "mean_profit_margin", "pct_loss"]
+    assert header("statistical_tests") == ["test_name", "statistic", "p_value", "dof", "conclusion"]
+    report = spark.read.option("header", True).csv(out["classification_report"])
+    assert report.columns == retail.REPORT_HEADER and {r["model_name"] for r in report.collect()} == set(light)
+    assert spark.read.option("header", True).csv(out["findings"]).first()["best_model"] in light
     df = spark.read.parquet(out["sales"])
     tests = {r["test_name"]: r for r in spark.read.option("header", True).csv(out["statistical_tests"]).collect()}
     assert len(tests) == 4 and tests["Profit ~ Category"]["dof"] == "2"
@@ -132,6 +141,15 @@ def test_retail(spark, tmp_path):
     assert retail.explore_web(spark.read.parquet(out["web"]))["conversion_by_source"].first()["mean"] == 1.0
 
 
+def test_dates_that_are_none_stop_the_plans(spark):
+    bad = spark.createDataFrame([("O1", "2020-01-02", "no date")], "`Order ID` string, `Order Date` string, `Ship Date` string")
+    with pytest.raises(ValueError, match="cannot parse Ship Date in row O1"):
+        retail.derive_sales(bad)
+    visits = spark.createDataFrame([(7, "2016-04-29T18:38:08Z", "not a date")], "AppointmentID int, ScheduledDay string, AppointmentDay string")
+    with pytest.raises(ValueError, match="cannot parse AppointmentDay in row 7"):
+        noshow.parse(visits)
+
+
 def test_web(spark, tmp_path):
     rows = [
         [5, 1.0, 0.1, "Paid", 1.0, 0, 0.5], [5, 0.0999, 0.1, "Paid", 1.0, 0, 0.5], [5, 0.1, 1.0001, "Nope", 1.0, 0, 0.5],

@@ -44,11 +44,16 @@ def test_whole_row_repeats_without_an_order(spark):
     assert ordered.where("not is_repeat").count() == 2
 
 
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(i, float("nan") if i < 2 else (1000.0 if i == 60 else 5.0 + i % 3)) for i in range(61)], "k int, v double")
+    reasons = {r["k"]: r["reason"] for r in quality.audit_any_table(df).where("reason is not null").collect()}
+    assert reasons == {0: "missing value in 'v'", 1: "missing value in 'v'", 60: "anomalous value in 'v' (1000.0)"}
+
+
 @pytest.mark.parametrize("copies", [1, 7, 8, 9, 50])
 def test_many_copies_are_written_out_in_pieces(spark, copies):
     counts = spark.createDataFrame([("a", copies), ("b", 1)], "x string, _copies bigint")
-    marked = counts.withColumn("_later", F.lit(False))
-    out = quality.expand_copies(marked, counts, ["x"], "repeat", chunk=8)
+    out = quality.expand_copies(counts.withColumn("_later", F.lit(False)), ["x"], "repeat", chunk=8)
     got = {(r["x"], r["repeat"]): r["n"] for r in out.groupBy("x", "repeat").agg(F.count("*").alias("n")).collect()}
     want = {("a", False): 1, ("b", False): 1, ("a", True): copies - 1}
     assert got == {k: v for k, v in want.items() if v}
