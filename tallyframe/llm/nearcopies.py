@@ -1,0 +1,237 @@
+"""Near copies: groups of documents whose word shingles have a similarity of 0.8 or more, by SimHash and bit slices.
+
+At that similarity two fingerprints differ in about ten of 64 bits, so no short part of them need be equal. Documents
+are brought together by another key, and compared by their fingerprints there:
+
+1. A document's sketch comes from its different shingles: a number that names the set (equal sets are one node), a
+   fingerprint, and ``BANDS`` keys of ``ROWS`` minimum hashes each. At 0.8 two sets share a key in 998 of 1,000 cases.
+2. The nodes of a key are a bucket. Its fingerprints are compared bit-sliced within ``RADIUS``; of the links it gives
+   back a spanning forest, nearest first, never its pairs.
+3. Links are checked on the shingle sets themselves. What is left joins up to components.
+
+A bucket of over ``BLOCK`` nodes is cut into blocks for many tasks. Each block also holds the bucket's about ``LEADERS``
+leaders, so copies in different blocks meet through them. Where nodes of such a bucket are still in another component
+than most of it, they are then compared with every block of it; two nodes of one component need no comparison. So a
+group of a third of all rows costs linear work as long as most of it hangs together, no pair of a bucket is left
+out for its size, and no task holds a bucket.
+
+Edge cases: texts of fewer words than a shingle are one shingle; null and wordless texts are one group; a null id never
+names a component unless all its ids are null; rows equal in id and text are one document.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import column, cut, written
+from .components import components
+from .simhash import _unite, majority, one_of_each, shingle_hashes, spread, within
+
+SHINGLE, SIMILARITY = 5, 0.8
+BANDS, ROWS = 16, 5
+#: 64 bits differ in 9.7 places at a similarity of 0.8, with a deviation of 2.9.
+RADIUS = 18
+BLOCK, LEADERS = 1024, 64
+#: (row, word) entries compared at once; a bucket alone may have more.
+ENTRIES = 1 << 16
+#: Rows of a few numbers that are broadcast at most, after counting them; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+_FACTORS = np.random.default_rng(1).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FOLD = np.uint64(0x9E3779B97F4A7C15)
+_NAMES = ["band", "bits", "block", "other"]
+
+
+def sketch_of(text: str | None, shingle: int = SHINGLE) -> tuple[int, int, np.ndarray]:
+    """Number of the shingle set, its fingerprint, and its band keys; (0, 0, none) without words."""
+    hashes = np.unique(shingle_hashes(text, shingle))
+    if not len(hashes):
+        return 0, 0, np.zeros(0, np.int64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for k in range(0, len(hashes), 2048):
+        np.minimum(least, (hashes[k : k + 2048, None] * _FACTORS).min(0), out=least)
+    keys = np.zeros(BANDS, np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ row) * _FOLD
+        keys ^= keys >> np.uint64(29)
+    return int(hashes.sum(dtype=np.uint64).view(np.int64)), majority(hashes), keys.view(np.int64)
+
+
+def sketch(text: Column, shingle: int = SHINGLE) -> Column:
+    def run(texts: pd.Series) -> pd.DataFrame:
+        rows = [sketch_of(t, shingle) for t in texts]
+        return pd.DataFrame({
+            "node": np.array([r[0] for r in rows], np.int64), "fp": np.array([r[1] for r in rows], np.int64), "bands": [r[2] for r in rows],
+        })
+
+    run.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(run, "node bigint, fp bigint, bands array<bigint>")(text)
+
+
+def shingle_set(text: Column, shingle: int = SHINGLE) -> Column:
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in texts], dtype=object)
+
+    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "array<bigint>")(text)
+
+
+def nearest_forest(a: np.ndarray, b: np.ndarray, distance: np.ndarray, n: int) -> np.ndarray:
+    """Positions of the links (a, b) of a spanning forest of rows 0 to n-1; every component takes its nearest link first."""
+    order = np.argsort(distance, kind="stable")
+    a, b = a[order], b[order]
+    root, left, taken = np.arange(n), np.arange(len(a)), []
+    while True:
+        left = left[root[a[left]] != root[b[left]]]
+        if not len(left):
+            break
+        best = np.full(n, len(a))
+        for side in (a, b):
+            np.minimum.at(best, root[side[left]], left)
+        chosen = np.unique(best[best < len(a)])
+        taken.append(chosen)
+        root = _unite(root, a[chosen], b[chosen])
+    return order[np.concatenate(taken)] if taken else order[:0]
+
+
+def bucket_links(fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """(row, row) links that span, nearest first, what is within the radius inside each bucket."""
+    planes, used, first = spread(fps, starts)
+    sizes, of = np.diff(starts), first[1:] - first[:-1]
+    bucket = np.repeat(np.arange(len(sizes)), sizes)
+    entries = of[bucket]
+    total = np.concatenate(([0], np.cumsum(entries)))
+    rows = np.repeat(np.arange(len(fps)), entries)
+    words = first[bucket[rows]] + np.arange(len(rows)) - total[rows]
+    live, near, counters = within(planes, used, fps[rows], words, radius)
+    hit = np.flatnonzero(near)
+    lanes = lambda x: np.unpackbits(x[hit].view(np.uint8), bitorder="little").reshape(-1, 64)
+    at, lane = np.nonzero(lanes(near))
+    row = rows[live[hit[at]]]
+    other = starts[bucket[row]] + 64 * (words[live[hit[at]]] - first[bucket[row]]) + lane
+    later = other < row
+    at, lane, row, other = at[later], lane[later], row[later], other[later]
+    distance = sum(lanes(c)[at, lane].astype(np.int16) << k for k, c in enumerate(counters))
+    found = nearest_forest(row, other, distance, len(fps))
+    return np.stack([row[found], other[found]], axis=1)
+
+
+def _batches(starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of buckets with a bounded number of entries."""
+    sizes = np.diff(starts)
+    total = np.concatenate(([0], np.cumsum(sizes * -(-sizes // 64))))
+    begin = 0
+    while begin < len(sizes):
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] + ENTRIES, side="right")) - 1)
+        yield begin, end
+        begin = end
+
+
+def compared(placed: DataFrame, radius: int) -> DataFrame:
+    """Links (u, v) between nodes of the blocks (band, bits, block, other) of ``placed``."""
+
+    def linked(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        fps, nodes, out = rows["fp"].to_numpy().copy().view(np.uint64), rows["node"].to_numpy(), [np.zeros((0, 2), np.int64)]
+        for begin, end in _batches(starts):
+            low, high = starts[begin], starts[end]
+            out.append(nodes[low:high][bucket_links(fps[low:high], starts[begin : end + 1] - low, radius)])
+        pairs = np.sort(np.concatenate(out), axis=1)
+        return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for batch in batches:
+            rows = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
+            marks = rows[_NAMES].to_numpy()
+            edge = np.flatnonzero((marks[1:] != marks[:-1]).any(1)) + 1
+            if len(edge):
+                yield linked(rows.iloc[: edge[-1]], np.concatenate(([0], edge)))
+                rows = rows.iloc[edge[-1] :]
+            kept = rows
+        if kept is not None and len(kept):
+            yield linked(kept, np.array([0, len(kept)]))
+
+    dealt = placed.select(*_NAMES, "node", "fp").repartition(*_NAMES).sortWithinPartitions(*_NAMES, "node")
+    return dealt.mapInPandas(run, "u bigint, v bigint").distinct()
+
+
+def buckets(nodes: DataFrame) -> DataFrame:
+    """(band, bits, n, node, fp): nodes that share a band key with another, and how many do."""
+    keyed = nodes.select("node", "fp", F.posexplode("bands").alias("band", "bits"))
+    sizes = keyed.groupBy("band", "bits").agg(F.count("*").alias("n")).where("n > 1")
+    return keyed.join(sizes, ["band", "bits"])
+
+
+def _parts(n: Column, block: int) -> Column:
+    return F.ceil(n / block).cast("int")
+
+
+def _part(count: Column, salt: int) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(salt)), count).cast("int")
+
+
+def first_blocks(met: DataFrame, block: int, leaders: int) -> DataFrame:
+    """Every node in one block of each of its buckets, leaders in all of them."""
+    parts = _parts(F.col("n"), block)
+    leads = F.pmod(F.xxhash64("node", "band"), F.col("n")) < leaders
+    to = F.when(leads, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(_part(parts, 0)))
+    return met.select("band", "bits", "node", "fp", F.explode(to).alias("block"), F.lit(-1).alias("other"))
+
+
+def stray_blocks(met: DataFrame, joined: DataFrame, block: int) -> DataFrame:
+    """Of buckets of several blocks: the nodes outside the bucket's largest component, with each block of the bucket."""
+    large = met.where(F.col("n") > block)
+    rooted = large.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    counted = rooted.groupBy("band", "bits", "root").agg(F.count("*").alias("own"))
+    most = counted.groupBy("band", "bits").agg(F.max_by("root", F.struct("own", "root")).alias("main"), (F.sum("own") - F.max("own")).alias("strays"))
+    rows = rooted.join(most.where("strays > 0"), ["band", "bits"])
+    parts, others = _parts(F.col("n"), block), _parts(F.col("strays"), block)
+    pair = lambda x, y: F.struct(x.alias("block"), y.alias("other"))
+    own = F.transform(F.sequence(F.lit(0), others - 1), lambda o: pair(_part(parts, 0), o))
+    every = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: pair(p, _part(others, 2)))
+    to = F.when(F.col("root") != F.col("main"), F.array_union(own, every)).otherwise(own)
+    return rows.select("band", "bits", "node", "fp", F.inline(to))
+
+
+def verified(links: DataFrame, marked: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, similarity: float) -> DataFrame:
+    """The links whose shingle sets are that similar."""
+    wanted = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    named = marked.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("at"))
+    at = cut(named.select("node", F.col("at.id").alias("id"), F.col("at.text_hash").alias("text_hash")))
+    at = F.broadcast(at) if at.count() <= BROADCAST_ROWS else at
+    own = docs.select(column(docs, key).alias("own_id"), column(docs, text).alias("own"))
+    found = own.join(at, F.col("own_id").eqNullSafe(F.col("id")) & (F.xxhash64("own") == F.col("text_hash"))).select("node", "own")
+    sets = written(found.dropDuplicates(["node"]).select("node", shingle_set(F.col("own"), shingle).alias("set")), "shingle-sets")
+    both = links.join(sets.select(F.col("node").alias("u"), F.col("set").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("set").alias("b")), "v")
+    shared = both.select("u", "v", F.size(F.array_intersect("a", "b")).alias("shared"), (F.size("a") + F.size("b")).alias("sizes"))
+    return shared.where(F.col("shared") + 1e-9 >= similarity * (F.col("sizes") - F.col("shared"))).select("u", "v")
+
+
+def classes(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY,
+    radius: int = RADIUS, block: int = BLOCK, leaders: int = LEADERS,
+) -> DataFrame:
+    """id, text_hash, node, component (least id reachable) of every document."""
+    marked = written(docs.select(
+        column(docs, key).alias("id"), F.xxhash64(column(docs, text)).alias("text_hash"), sketch(column(docs, text), shingle).alias("sketch")
+    ).select("id", "text_hash", "sketch.*"), "sketches")
+    nodes = marked.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"))
+    met = written(buckets(nodes), "buckets")
+    near = cut(verified(cut(compared(first_blocks(met, block, leaders), radius)), marked, docs, key, text, shingle, similarity))
+    joined = components(near)
+    strays = cut(compared(stray_blocks(met, joined, block), radius))
+    if not strays.isEmpty():
+        joined = components(near.unionByName(verified(strays, marked, docs, key, text, shingle, similarity)))
+    least = marked.groupBy("node").agg(F.min("id").alias("least")).join(joined, "node", "left")
+    rooted = least.select("node", "least", F.coalesce("root", "node").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    return marked.select("id", "text_hash", "node").join(rooted.join(named, "root").select("node", "component"), "node")
+
+
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One document of each group, columns unchanged: the least id; of several rows with it, the least text hash."""
+    return one_of_each(docs, cut(classes(docs, key, text, **options)), key, text)

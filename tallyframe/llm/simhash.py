@@ -39,24 +39,33 @@ ENTRIES = 1 << 19
 SEED = 42
 
 
-def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
-    """The fingerprint as a signed 64-bit number."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 of every word shingle, repeats included; fewer words than a shingle are one."""
     words = text.encode().lower().split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     n = max(1, len(words) - shingle + 1)
     joined = memoryview(b" ".join(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     begins = np.concatenate(([0], ends[:-1] + 1))
     last = ends[min(shingle, len(words)) - 1 :]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(joined[b:e], seed=SEED) for b, e in zip(begins[:n].tolist(), last.tolist(), strict=True)), np.uint64, n
     )
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes, as a signed 64-bit number; 0 for none."""
     ones = np.zeros(64, np.int64)
-    for k in range(0, n, 4096):
+    for k in range(0, len(hashes), 4096):
         ones += np.unpackbits(hashes[k : k + 4096].view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
+
+
+def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
+    """The fingerprint as a signed 64-bit number."""
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
@@ -118,29 +127,36 @@ def spread(fps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return pack(bits), pack(used), first
 
 
-def within(planes: np.ndarray, used: np.ndarray, queries: np.ndarray, words: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """For (query, word) entries: which entries have lanes within the radius, and those lanes as bits.
+def within(planes: np.ndarray, used: np.ndarray, queries: np.ndarray, words: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """For (query, word) entries: which entries have lanes within the radius, those lanes as bits, and the counters.
 
-    Three counter bits per lane (ones, twos, and a saturating four), added to plane by plane.
+    Every lane has as many counter bits as the radius needs and one that stays set on overflow; planes are added with carries.
     """
-    if not 0 <= radius <= 3:
-        raise ValueError("radius is 0 to 3")
     live = np.arange(len(queries))
-    ones, twos, fours = (np.zeros(len(queries), np.uint64) for _ in range(3))
-    beyond = {0: lambda: ones | twos | fours, 1: lambda: twos | fours, 2: lambda: (ones & twos) | fours, 3: lambda: fours}[radius]
+    counters = [np.zeros(len(queries), np.uint64) for _ in range(max(1, radius.bit_length()))]
+    over = np.zeros(len(queries), np.uint64)
     full = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+    def beyond() -> np.ndarray:
+        more, same = over, np.full(len(over), full)
+        for k in reversed(range(len(counters))):
+            if radius >> k & 1:
+                same = same & counters[k]
+            else:
+                more, same = more | (same & counters[k]), same & ~counters[k]
+        return more
+
     for bit in range(64):
-        differs = planes[bit, words] ^ np.where((queries >> np.uint64(bit)) & np.uint64(1), full, np.uint64(0))
-        carry = ones & differs
-        ones = ones ^ differs
-        over = twos & carry
-        twos = twos ^ carry
-        fours = fours | over
+        carry = planes[bit, words] ^ np.where((queries >> np.uint64(bit)) & np.uint64(1), full, np.uint64(0))
+        for k, ones in enumerate(counters):
+            counters[k], carry = ones ^ carry, ones & carry
+        over = over | carry
         if bit % 8 == 7:
             stay = (~beyond() & used[words]) != 0
             if not stay.all():
-                live, words, queries, ones, twos, fours = (x[stay] for x in (live, words, queries, ones, twos, fours))
-    return live, ~beyond() & used[words]
+                live, words, queries, over = (x[stay] for x in (live, words, queries, over))
+                counters = [x[stay] for x in counters]
+    return live, ~beyond() & used[words], counters
 
 
 def forest(fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS) -> np.ndarray:
@@ -156,7 +172,7 @@ def forest(fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS) -> np.ndar
         end = max(begin + 1, int(np.searchsorted(total, total[begin] + ENTRIES, side="right")) - 1)
         rows = np.repeat(np.arange(begin, end), entries[begin:end])
         words = first[bucket[rows]] + np.arange(len(rows)) - np.repeat(total[begin:end] - total[begin], entries[begin:end])
-        live, near = within(planes, used, fps[rows], words, radius)
+        live, near, _ = within(planes, used, fps[rows], words, radius)
         hit = np.flatnonzero(near)
         lanes = np.unpackbits(near[hit].view(np.uint8), bitorder="little").reshape(-1, 64)
         at, lane = np.nonzero(lanes)
@@ -245,7 +261,11 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -
 
     Rows equal in id and text are told apart by nothing, so one of them is taken.
     """
-    found = classes(docs, key, text, **options)
+    return one_of_each(docs, classes(docs, key, text, **options), key, text)
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that name their component in ``found`` (id, text_hash, component)."""
     (id_, hash_) = unused(docs, "id_", "hash_")
     stays = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.min("text_hash").alias("text_hash"))
     one = stays.select(F.col("id").alias(id_), F.col("text_hash").alias(hash_))
