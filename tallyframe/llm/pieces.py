@@ -24,6 +24,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 LONG = 256
 CACHE = 250_000
-CHUNK_CHARS = 1 << 20
+CHUNK_BYTES = 1 << 19
 ENCODED = "struct<ids: array<int>, exact: boolean>"
 _END = 0x110000  # stands after each unit; no character has this number
 
@@ -271,19 +273,26 @@ def encode(text: Column, vocabulary: Vocabulary, spark) -> Column:
     """A column of ENCODED: the ids, and whether decoding them gives the text back (space marks read as spaces)."""
     sent, state = spark.sparkContext.broadcast(vocabulary), []
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if not state:
             state.append(Encoder(sent.value))
-        coder = state[0]
         for texts in batches:
-            out = []
             for chunk in _chunks(texts):
-                for t, ids in zip(chunk, coder.encode(chunk), strict=True):
-                    out.append((ids, None if t is None else coder.decode(ids) == t.replace(MARK, " ")))
-            yield pd.DataFrame(out, columns=["ids", "exact"], dtype="object")
+                yield _coded(chunk, state[0])
 
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(run, ENCODED)(text)
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, ENCODED)(text)
+
+
+def _coded(texts: list[str | None], coder: Encoder) -> pa.Array:
+    """ENCODED of a chunk, as Arrow arrays: no Python object outlives its chunk."""
+    ids = coder.encode(texts)
+    none = np.array([x is None for x in ids], bool)
+    exact = [None if t is None else coder.decode(x) == t.replace(MARK, " ") for t, x in zip(texts, ids, strict=True)]
+    ends = np.cumsum([0 if x is None else len(x) for x in ids], dtype=np.int32)
+    offsets = pa.array(np.concatenate((np.zeros(1, np.int32), ends)), mask=np.append(none, False))
+    flat = np.concatenate([np.zeros(0, np.int32), *[x for x in ids if x is not None]])
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array(exact, pa.bool_())], names=["ids", "exact"])
 
 
 def decode(ids: Column, vocabulary: Vocabulary, spark) -> Column:
@@ -300,15 +309,14 @@ def decode(ids: Column, vocabulary: Vocabulary, spark) -> Column:
     return F.pandas_udf(run, "string")(ids)
 
 
-def _chunks(texts: pd.Series) -> Iterator[list[str | None]]:
-    chunk, size = [], 0
-    for t in texts:
-        chunk.append(t)
-        size += len(t or "")
-        if size >= CHUNK_CHARS:
-            yield chunk
-            chunk, size = [], 0
-    yield chunk
+def _chunks(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts in runs of about CHUNK_BYTES; a longer text is a run of its own."""
+    total = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)))
+    begin = 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] + CHUNK_BYTES, side="right")) - 1)
+        yield texts.slice(begin, end - begin).to_pylist()
+        begin = end
 
 
 def tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL) -> DataFrame:
