@@ -6,8 +6,11 @@ are brought together by another key, and compared by their fingerprints there:
 1. A document's sketch comes from its different shingles: a number that names the set (equal sets are one node), a
    fingerprint, and ``BANDS`` keys of ``ROWS`` minimum hashes each. At 0.8 two sets share a key in 998 of 1,000 cases.
 2. The nodes of a key are a bucket. Its fingerprints are compared bit-sliced within ``RADIUS``; of the links it gives
-   back a spanning forest, nearest first, never its pairs.
-3. Links are checked on the shingle sets themselves. What is left joins up to components.
+   back a spanning forest, nearest first, not its pairs.
+3. Links are checked on the shingle sets themselves. What passes joins up to components.
+4. Buckets of which a link was refused are compared again, without links inside a component and refused ones, and give
+   back ``MORE_FORESTS`` times as many forests, until no unchecked link joins two components. So a group costs its pairs
+   only where most of them fail the check.
 
 A bucket of over ``BLOCK`` nodes is cut into blocks for many tasks. Each block also holds the bucket's about ``LEADERS``
 leaders, so copies in different blocks meet through them. Where nodes of such a bucket are still in another component
@@ -21,7 +24,8 @@ names a component unless all its ids are null; rows equal in id and text are one
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -37,6 +41,8 @@ BANDS, ROWS = 16, 5
 #: 64 bits differ in 9.7 places at a similarity of 0.8, with a deviation of 2.9.
 RADIUS = 18
 BLOCK, LEADERS = 1024, 64
+#: Each round checks so many times the forests of the one before, so their number grows with a logarithm.
+MORE_FORESTS = 4
 #: (row, word) entries compared at once; a bucket alone may have more.
 ENTRIES = 1 << 16
 #: Rows of a few numbers that are broadcast at most, after counting them; more are joined by a shuffle.
@@ -98,8 +104,26 @@ def nearest_forest(a: np.ndarray, b: np.ndarray, distance: np.ndarray, n: int) -
     return order[np.concatenate(taken)] if taken else order[:0]
 
 
-def bucket_links(fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS) -> np.ndarray:
-    """(row, row) links that span, nearest first, what is within the radius inside each bucket."""
+def nearest_forests(a: np.ndarray, b: np.ndarray, distance: np.ndarray, n: int, forests: int) -> np.ndarray:
+    """Positions of the links of that many forests, each over the links the ones before it left."""
+    left, taken = np.arange(len(a)), [np.zeros(0, np.int64)]
+    for _ in range(forests):
+        few = forests > 1 and len(left) <= forests * n
+        found = np.arange(len(left)) if few else nearest_forest(a[left], b[left], distance[left], n)
+        taken.append(left[found])
+        left = np.delete(left, found)
+        if not len(left):
+            break
+    return np.concatenate(taken)
+
+
+def bucket_links(
+    fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS, root: np.ndarray | None = None, refused: np.ndarray | None = None, forests: int = 1
+) -> np.ndarray:
+    """(row, row) links that span, nearest first, what is open within the radius inside each bucket.
+
+    Open are links whose rows have different roots and that are not among the ``refused`` (later row, earlier row).
+    """
     planes, used, first = spread(fps, starts)
     sizes, of = np.diff(starts), first[1:] - first[:-1]
     bucket = np.repeat(np.arange(len(sizes)), sizes)
@@ -113,10 +137,16 @@ def bucket_links(fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS) -> n
     at, lane = np.nonzero(lanes(near))
     row = rows[live[hit[at]]]
     other = starts[bucket[row]] + 64 * (words[live[hit[at]]] - first[bucket[row]]) + lane
-    later = other < row
-    at, lane, row, other = at[later], lane[later], row[later], other[later]
+    open_ = other < row
+    part = np.arange(len(fps))
+    if root is not None:  # one component in two buckets is two parts: each bucket has links of its own
+        part = np.unique(np.stack([bucket, np.unique(root, return_inverse=True)[1]]), axis=1, return_inverse=True)[1].ravel()
+        open_ &= part[row] != part[other]
+    if refused is not None and len(refused):
+        open_ &= ~np.isin(row * len(fps) + other, refused[:, 0] * len(fps) + refused[:, 1])
+    at, lane, row, other = at[open_], lane[open_], row[open_], other[open_]
     distance = sum(lanes(c)[at, lane].astype(np.int16) << k for k, c in enumerate(counters))
-    found = nearest_forest(row, other, distance, len(fps))
+    found = nearest_forests(part[row], part[other], distance, len(fps), forests)
     return np.stack([row[found], other[found]], axis=1)
 
 
@@ -131,14 +161,35 @@ def _batches(starts: np.ndarray) -> Iterator[tuple[int, int]]:
         begin = end
 
 
-def compared(placed: DataFrame, radius: int) -> DataFrame:
-    """Links (u, v) between nodes of the blocks (band, bits, block, other) of ``placed``."""
+def inside(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """The links (u, v) with each block of ``placed`` that holds both their nodes."""
+    few = F.broadcast(links) if links.count() <= BROADCAST_ROWS else links
+    at = placed.select(*_NAMES, F.col("node").alias("u")).join(few, "u")
+    return at.join(placed.select(*_NAMES, F.col("node").alias("v")), [*_NAMES, "v"])
+
+
+def compared(placed: DataFrame, joined: DataFrame | None, refused: DataFrame | None, radius: int, forests: int = 1) -> DataFrame:
+    """Open links (u, v) between nodes of the blocks (band, bits, block, other) of ``placed``."""
+    alone = joined is None
 
     def linked(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        fps, nodes, out = rows["fp"].to_numpy().copy().view(np.uint64), rows["node"].to_numpy(), [np.zeros((0, 2), np.int64)]
+        link = rows["link"].to_numpy().astype(bool)
+        own, of = rows[link], np.repeat(np.arange(len(starts) - 1), np.diff(starts))[link]
+        with_links, at = np.unique(of, return_index=True)
+        starts = np.concatenate(([0], np.cumsum(~link)))[starts]
+        rows = rows[~link]
+        fps, nodes, root = rows["fp"].to_numpy().copy().view(np.uint64), rows["node"].to_numpy(), rows["root"].to_numpy()
+        ends, no = own[["node", "fp"]].to_numpy(), np.zeros((len(own), 2), np.int64)
+        at = np.append(at, len(of)).astype(np.int64)
+        for k, i, j in zip(with_links, at[:-1], at[1:], strict=True):
+            no[i:j] = starts[k] + np.searchsorted(nodes[starts[k] : starts[k + 1]], ends[i:j])
+        no = np.sort(no, axis=1)[:, ::-1]
+        out = [np.zeros((0, 2), np.int64)]
         for begin, end in _batches(starts):
             low, high = starts[begin], starts[end]
-            out.append(nodes[low:high][bucket_links(fps[low:high], starts[begin : end + 1] - low, radius)])
+            mine = no[(of >= begin) & (of < end)] - low
+            known = None if alone else root[low:high]
+            out.append(nodes[low:high][bucket_links(fps[low:high], starts[begin : end + 1] - low, radius, known, mine, forests)])
         pairs = np.sort(np.concatenate(out), axis=1)
         return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
 
@@ -155,7 +206,13 @@ def compared(placed: DataFrame, radius: int) -> DataFrame:
         if kept is not None and len(kept):
             yield linked(kept, np.array([0, len(kept)]))
 
-    dealt = placed.select(*_NAMES, "node", "fp").repartition(*_NAMES).sortWithinPartitions(*_NAMES, "node")
+    rooted = placed.withColumn("root", F.col("node")) if joined is None else placed.join(joined, "node", "left")
+    rows = rooted.select(*_NAMES, F.lit(False).alias("link"), "node", "fp", F.coalesce("root", "node").alias("root"))
+    if refused is not None:  # a refused link is a row of its block, its other node in place of a fingerprint
+        rows = rows.unionByName(inside(placed, refused).select(
+            *_NAMES, F.lit(True).alias("link"), F.col("u").alias("node"), F.col("v").alias("fp"), F.lit(0).cast("bigint").alias("root")
+        ))
+    dealt = rows.repartition(*_NAMES).sortWithinPartitions(*_NAMES, "link", "node")
     return dealt.mapInPandas(run, "u bigint, v bigint").distinct()
 
 
@@ -197,18 +254,47 @@ def stray_blocks(met: DataFrame, joined: DataFrame, block: int) -> DataFrame:
     return rows.select("band", "bits", "node", "fp", F.inline(to))
 
 
-def verified(links: DataFrame, marked: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, similarity: float) -> DataFrame:
-    """The links whose shingle sets are that similar."""
+def sets_of(links: DataFrame, marked: DataFrame, docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """node, set: the shingles of the nodes of the links, as a written table."""
     wanted = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     named = marked.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("at"))
     at = cut(named.select("node", F.col("at.id").alias("id"), F.col("at.text_hash").alias("text_hash")))
     at = F.broadcast(at) if at.count() <= BROADCAST_ROWS else at
     own = docs.select(column(docs, key).alias("own_id"), column(docs, text).alias("own"))
     found = own.join(at, F.col("own_id").eqNullSafe(F.col("id")) & (F.xxhash64("own") == F.col("text_hash"))).select("node", "own")
-    sets = written(found.dropDuplicates(["node"]).select("node", shingle_set(F.col("own"), shingle).alias("set")), "shingle-sets")
+    return written(found.dropDuplicates(["node"]).select("node", shingle_set(F.col("own"), shingle).alias("set")), "shingle-sets")
+
+
+def judged(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """u, v, and whether their shingle sets are that similar."""
     both = links.join(sets.select(F.col("node").alias("u"), F.col("set").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("set").alias("b")), "v")
     shared = both.select("u", "v", F.size(F.array_intersect("a", "b")).alias("shared"), (F.size("a") + F.size("b")).alias("sizes"))
-    return shared.where(F.col("shared") + 1e-9 >= similarity * (F.col("sizes") - F.col("shared"))).select("u", "v")
+    return shared.select("u", "v", (F.col("shared") + 1e-9 >= similarity * (F.col("sizes") - F.col("shared"))).alias("near"))
+
+
+def settled(
+    placed: DataFrame, joined: DataFrame | None, refused: DataFrame | None, sets: Callable[[DataFrame], DataFrame], radius: int, similarity: float
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """(node, root) and the refused links (u, v), once no unchecked link of the blocks joins two components.
+
+    A block none of whose links was refused has no open link left, so only the others are compared again. A node with
+    a link is in its block's first forest, so the first round's ``sets`` serve all rounds.
+    """
+    forests, of = 1, None
+    while True:
+        links = cut(compared(placed, joined, refused, radius, forests))
+        if links.isEmpty():
+            return joined, refused
+        of = sets(links) if of is None else of
+        checked = cut(judged(links, of, similarity))
+        near, far = checked.where("near").select("u", "v"), checked.where("not near").select("u", "v")
+        if joined is None or not near.isEmpty():
+            joined = components(near if joined is None else near.unionByName(joined.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+        if far.isEmpty():
+            return joined, refused
+        refused = far if refused is None else cut(refused.unionByName(far))
+        placed = cut(placed.join(inside(placed, far).select(*_NAMES).distinct(), _NAMES, "left_semi"))
+        forests *= MORE_FORESTS
 
 
 def classes(
@@ -221,11 +307,10 @@ def classes(
     ).select("id", "text_hash", "sketch.*"), "sketches")
     nodes = marked.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"))
     met = written(buckets(nodes), "buckets")
-    near = cut(verified(cut(compared(first_blocks(met, block, leaders), radius)), marked, docs, key, text, shingle, similarity))
-    joined = components(near)
-    strays = cut(compared(stray_blocks(met, joined, block), radius))
-    if not strays.isEmpty():
-        joined = components(near.unionByName(verified(strays, marked, docs, key, text, shingle, similarity)))
+    sets = partial(sets_of, marked=marked, docs=docs, key=key, text=text, shingle=shingle)
+    joined, refused = settled(first_blocks(met, block, leaders), None, None, sets, radius, similarity)
+    joined = marked.select("node", F.col("node").alias("root")).limit(0) if joined is None else joined
+    joined, _ = settled(stray_blocks(met, joined, block), joined, refused, sets, radius, similarity)
     least = marked.groupBy("node").agg(F.min("id").alias("least")).join(joined, "node", "left")
     rooted = least.select("node", "least", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component"))

@@ -75,3 +75,33 @@ def test_distances_and_nearest_links():
     assert {(k + 100, k) for k in range(50)} <= got
     a, b = np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4])
     assert sorted(nearcopies.nearest_forest(a, b, np.array([5, 1, 2, 9]), 5).tolist()) == [1, 2, 3]
+
+
+@pytest.fixture(scope="module")
+def loose():
+    """250 texts of one origin; of their links within the radius many fail the check."""
+    rng = random.Random(5)
+    base, rows = [f"b{k}" for k in range(300)], []
+    for i in range(250):
+        words = list(base)
+        for k in rng.sample(range(3, 297), rng.choice([3, 4, 5, 6])):
+            words[k] = f"x{rng.randrange(100000)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize(("block", "leaders"), [(1024, 64), (32, 4)])
+def test_links_behind_refused_links_are_checked(spark, loose, block, leaders):
+    want = plain_components(loose)
+    docs = spark.createDataFrame(loose, "doc_id long, text string").repartition(3)
+    got = {r["id"]: r["component"] for r in nearcopies.classes(docs, block=block, leaders=leaders).collect()}
+    assert 1 < len(set(want.values())) < 200 and got == want
+
+
+def test_a_bucket_leaves_out_refused_links_and_those_of_one_component():
+    fps = np.array([0, 1, 3, 7, 0, 1], np.uint64)
+    starts = np.array([0, 4, 6])
+    refused = np.array([[1, 0], [3, 2]])
+    links = lambda **more: sorted(map(tuple, np.sort(nearcopies.bucket_links(fps, starts, 2, **more), axis=1).tolist()))
+    assert links(refused=refused, forests=8) == [(0, 2), (1, 2), (1, 3), (4, 5)]
+    assert links(root=np.array([9, 9, 9, 8, 9, 8]), refused=refused, forests=8) == [(1, 3), (4, 5)]
