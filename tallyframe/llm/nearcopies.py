@@ -19,7 +19,8 @@ group of a third of all rows costs linear work as long as most of it hangs toget
 out for its size, and no task holds a bucket.
 
 Edge cases: texts of fewer words than a shingle are one shingle; null and wordless texts are one group; a null id never
-names a component unless all its ids are null; rows equal in id and text are one document.
+names a component unless all its ids are null; rows equal in id and text are one document, different texts under one id,
+or without one, are documents of their own.
 """
 
 from __future__ import annotations
@@ -301,7 +302,7 @@ def classes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY,
     radius: int = RADIUS, block: int = BLOCK, leaders: int = LEADERS,
 ) -> DataFrame:
-    """id, text_hash, node, component (least id reachable) of every document."""
+    """id, text_hash, node, root (one node a component), component (least id reachable) of every document."""
     marked = written(docs.select(
         column(docs, key).alias("id"), F.xxhash64(column(docs, text)).alias("text_hash"), sketch(column(docs, text), shingle).alias("sketch")
     ).select("id", "text_hash", "sketch.*"), "sketches")
@@ -314,7 +315,7 @@ def classes(
     least = marked.groupBy("node").agg(F.min("id").alias("least")).join(joined, "node", "left")
     rooted = least.select("node", "least", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return marked.select("id", "text_hash", "node").join(rooted.join(named, "root").select("node", "component"), "node")
+    return marked.select("id", "text_hash", "node").join(rooted.join(named, "root").select("node", "root", "component"), "node")
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -14,7 +14,7 @@ fingerprints are one from the start. Different fingerprints within ``RADIUS`` bi
 
 Edge cases: a null or wordless text has fingerprint zero and links like any other; fewer words than a shingle are
 one shingle; a null id never names a component unless all its ids are null; rows equal in id and text are the
-same document, of which ``dedup`` keeps one row.
+same document, of which ``dedup`` keeps one row; different texts under one id, or without one, are documents of their own.
 """
 
 from __future__ import annotations
@@ -237,7 +237,7 @@ def _linked(fps: np.ndarray, starts: np.ndarray, radius: int) -> pd.DataFrame:
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """id, text_hash, fp, component (least id reachable) of every document, from a written table of fingerprints."""
+    """id, text_hash, fp, root (one number a component), component (least id reachable) of every document, from a written table of fingerprints."""
     marked = cut(docs.select(
         column(docs, key).alias("id"), F.xxhash64(column(docs, text)).alias("text_hash"), fingerprint(column(docs, text), shingle).alias("fp")
     ))
@@ -245,7 +245,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: i
     joined = components(links(different.select("fp"), radius))
     rooted = different.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return marked.join(rooted.join(least, "root").select("fp", "component"), "fp")
+    return marked.join(rooted.join(least, "root").select("fp", "root", "component"), "fp")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -265,10 +265,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -
 
 
 def one_of_each(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
-    """The rows of ``docs`` that name their component in ``found`` (id, text_hash, component)."""
-    (id_, hash_) = unused(docs, "id_", "hash_")
-    stays = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.min("text_hash").alias("text_hash"))
-    one = stays.select(F.col("id").alias(id_), F.col("text_hash").alias(hash_))
-    same = column(docs, key).eqNullSafe(F.col(id_)) & (F.xxhash64(column(docs, text)) == F.col(hash_))
-    kept = docs.join(one, same, "left_semi")
-    return kept.dropDuplicates([key])
+    """One row of ``docs`` for each root in ``found`` (id, text_hash, root): the least id, null last, then the least text hash."""
+    id_, hash_, first = unused(docs, "id_", "hash_", "first_hash_")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
+    one = found.groupBy("root").agg(F.min(place).alias("first")).select(F.col("first.id").alias(id_), F.col("first.text_hash").alias(first))
+    hashed = docs.withColumn(hash_, F.xxhash64(column(docs, text)))
+    kept = hashed.join(one, column(docs, key).eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(first)), "left_semi")
+    return kept.dropDuplicates([key, hash_]).drop(hash_)  # rows equal in id and text

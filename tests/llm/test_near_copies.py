@@ -5,7 +5,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from tallyframe.llm import nearcopies
+from tallyframe.llm import nearcopies, simhash
 
 
 def shingles(text):
@@ -105,3 +105,13 @@ def test_a_bucket_leaves_out_refused_links_and_those_of_one_component():
     links = lambda **more: sorted(map(tuple, np.sort(nearcopies.bucket_links(fps, starts, 2, **more), axis=1).tolist()))
     assert links(refused=refused, forests=8) == [(0, 2), (1, 2), (1, 3), (4, 5)]
     assert links(root=np.array([9, 9, 9, 8, 9, 8]), refused=refused, forests=8) == [(1, 3), (4, 5)]
+
+
+@pytest.mark.parametrize("module", [nearcopies, simhash])
+def test_unrelated_texts_under_one_id_or_none_all_stay(spark, module):
+    rng = random.Random(9)
+    one, two, three, four, five = (" ".join(f"v{rng.randrange(9999)}" for _ in range(60)) for _ in range(5))
+    rows = [(None, one), (None, two), (None, two), (7, three), (7, four), (7, four.upper()), (8, four), (9, five), (None, five)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r["doc_id"], r["text"].lower()) for r in module.dedup(docs).collect()]
+    assert sorted(got, key=str) == sorted([(None, one), (None, two), (7, three), (7, four), (9, five)], key=str)
