@@ -5,7 +5,8 @@ are brought together by another key, and compared by their fingerprints there:
 
 1. A document's sketch comes from its different shingles: a number that names the set (equal sets are one node), a
    fingerprint, and ``BANDS`` keys of ``ROWS`` minimum hashes each. At 0.8 two sets share a key in 998 of 1,000 cases.
-2. The nodes of a key are a bucket. Its fingerprints are compared bit-sliced within ``RADIUS``; of the links it gives
+2. The nodes of a key are a bucket. Its fingerprints are compared bit-sliced within ``RADIUS``; sets of up to ``SMALL``
+   shingles, whose few bits say less, are linked with each other at any distance. Of the links a bucket gives
    back a spanning forest, nearest first, not its pairs.
 3. Links are checked on the shingle sets themselves. What passes joins up to components.
 4. Buckets of which a link was refused are compared again, without links inside a component and refused ones, and give
@@ -41,6 +42,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 5
 #: 64 bits differ in 9.7 places at a similarity of 0.8, with a deviation of 2.9.
 RADIUS = 18
+#: Of sets of up to so many shingles more pairs lie beyond the radius, so theirs are all checked.
+SMALL = 50
 BLOCK, LEADERS = 1024, 64
 #: Each round checks so many times the forests of the one before, so their number grows with a logarithm.
 MORE_FORESTS = 4
@@ -53,11 +56,11 @@ _FOLD = np.uint64(0x9E3779B97F4A7C15)
 _NAMES = ["band", "bits", "block", "other"]
 
 
-def sketch_of(text: str | None, shingle: int = SHINGLE) -> tuple[int, int, np.ndarray]:
-    """Number of the shingle set, its fingerprint, and its band keys; (0, 0, none) without words."""
+def sketch_of(text: str | None, shingle: int = SHINGLE) -> tuple[int, int, np.ndarray, int]:
+    """Number of the shingle set, its fingerprint, its band keys, and its size; (0, 0, none, 0) without words."""
     hashes = np.unique(shingle_hashes(text, shingle))
     if not len(hashes):
-        return 0, 0, np.zeros(0, np.int64)
+        return 0, 0, np.zeros(0, np.int64), 0
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
     for k in range(0, len(hashes), 2048):
         np.minimum(least, (hashes[k : k + 2048, None] * _FACTORS).min(0), out=least)
@@ -65,7 +68,7 @@ def sketch_of(text: str | None, shingle: int = SHINGLE) -> tuple[int, int, np.nd
     for row in least.reshape(BANDS, ROWS).T:
         keys = (keys ^ row) * _FOLD
         keys ^= keys >> np.uint64(29)
-    return int(hashes.sum(dtype=np.uint64).view(np.int64)), majority(hashes), keys.view(np.int64)
+    return int(hashes.sum(dtype=np.uint64).view(np.int64)), majority(hashes), keys.view(np.int64), len(hashes)
 
 
 def sketch(text: Column, shingle: int = SHINGLE) -> Column:
@@ -73,10 +76,11 @@ def sketch(text: Column, shingle: int = SHINGLE) -> Column:
         rows = [sketch_of(t, shingle) for t in texts]
         return pd.DataFrame({
             "node": np.array([r[0] for r in rows], np.int64), "fp": np.array([r[1] for r in rows], np.int64), "bands": [r[2] for r in rows],
+            "small": np.array([r[3] <= SMALL for r in rows], bool),
         })
 
     run.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
-    return F.pandas_udf(run, "node bigint, fp bigint, bands array<bigint>")(text)
+    return F.pandas_udf(run, "node bigint, fp bigint, bands array<bigint>, small boolean")(text)
 
 
 def shingle_set(text: Column, shingle: int = SHINGLE) -> Column:
@@ -118,10 +122,20 @@ def nearest_forests(a: np.ndarray, b: np.ndarray, distance: np.ndarray, n: int,
     return np.concatenate(taken)
 
 
+def pairs_of(rows: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(later, earlier) of all pairs of the sorted ``rows`` in one bucket."""
+    of = bucket[rows]
+    before = np.arange(len(rows)) - np.searchsorted(of, of)
+    later = np.repeat(np.arange(len(rows)), before)
+    nth = np.arange(len(later)) - np.repeat(np.cumsum(before) - before, before)
+    return rows[later], rows[later - 1 - nth]
+
+
 def bucket_links(
-    fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS, root: np.ndarray | None = None, refused: np.ndarray | None = None, forests: int = 1
+    fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS, root: np.ndarray | None = None, refused: np.ndarray | None = None, forests: int = 1,
+    small: np.ndarray | None = None,
 ) -> np.ndarray:
-    """(row, row) links that span, nearest first, what is open within the radius inside each bucket.
+    """(row, row) links that span, nearest first, what is open within the radius, or between ``small`` rows, inside each bucket.
 
     Open are links whose rows have different roots and that are not among the ``refused`` (later row, earlier row).
     """
@@ -138,6 +152,12 @@ def bucket_links(
     at, lane = np.nonzero(lanes(near))
     row = rows[live[hit[at]]]
     other = starts[bucket[row]] + 64 * (words[live[hit[at]]] - first[bucket[row]]) + lane
+    distance = sum(lanes(c)[at, lane].astype(np.int16) << k for k, c in enumerate(counters))
+    if small is not None and small.any():
+        far_row, far_other = pairs_of(np.flatnonzero(small), bucket)
+        apart = np.bitwise_count(fps[far_row] ^ fps[far_other]).astype(np.int16)
+        far = apart > radius
+        row, other, distance = (np.concatenate(x) for x in ((row, far_row[far]), (other, far_other[far]), (distance, apart[far])))
     open_ = other < row
     part = np.arange(len(fps))
     if root is not None:  # one component in two buckets is two parts: each bucket has links of its own
@@ -145,8 +165,7 @@ def bucket_links(
         open_ &= part[row] != part[other]
     if refused is not None and len(refused):
         open_ &= ~np.isin(row * len(fps) + other, refused[:, 0] * len(fps) + refused[:, 1])
-    at, lane, row, other = at[open_], lane[open_], row[open_], other[open_]
-    distance = sum(lanes(c)[at, lane].astype(np.int16) << k for k, c in enumerate(counters))
+    row, other, distance = row[open_], other[open_], distance[open_]
     found = nearest_forests(part[row], part[other], distance, len(fps), forests)
     return np.stack([row[found], other[found]], axis=1)
 
@@ -179,7 +198,7 @@ def compared(placed: DataFrame, joined: DataFrame | None, refused: DataFrame | N
         with_links, at = np.unique(of, return_index=True)
         starts = np.concatenate(([0], np.cumsum(~link)))[starts]
         rows = rows[~link]
-        fps, nodes, root = rows["fp"].to_numpy().copy().view(np.uint64), rows["node"].to_numpy(), rows["root"].to_numpy()
+        fps, nodes, root, small = rows["fp"].to_numpy().copy().view(np.uint64), *(rows[c].to_numpy() for c in ("node", "root", "small"))
         ends, no = own[["node", "fp"]].to_numpy(), np.zeros((len(own), 2), np.int64)
         at = np.append(at, len(of)).astype(np.int64)
         for k, i, j in zip(with_links, at[:-1], at[1:], strict=True):
@@ -190,7 +209,7 @@ def compared(placed: DataFrame, joined: DataFrame | None, refused: DataFrame | N
             low, high = starts[begin], starts[end]
             mine = no[(of >= begin) & (of < end)] - low
             known = None if alone else root[low:high]
-            out.append(nodes[low:high][bucket_links(fps[low:high], starts[begin : end + 1] - low, radius, known, mine, forests)])
+            out.append(nodes[low:high][bucket_links(fps[low:high], starts[begin : end + 1] - low, radius, known, mine, forests, small[low:high])])
         pairs = np.sort(np.concatenate(out), axis=1)
         return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
 
@@ -208,18 +227,18 @@ def compared(placed: DataFrame, joined: DataFrame | None, refused: DataFrame | N
             yield linked(kept, np.array([0, len(kept)]))
 
     rooted = placed.withColumn("root", F.col("node")) if joined is None else placed.join(joined, "node", "left")
-    rows = rooted.select(*_NAMES, F.lit(False).alias("link"), "node", "fp", F.coalesce("root", "node").alias("root"))
+    rows = rooted.select(*_NAMES, F.lit(False).alias("link"), "node", "fp", "small", F.coalesce("root", "node").alias("root"))
     if refused is not None:  # a refused link is a row of its block, its other node in place of a fingerprint
         rows = rows.unionByName(inside(placed, refused).select(
-            *_NAMES, F.lit(True).alias("link"), F.col("u").alias("node"), F.col("v").alias("fp"), F.lit(0).cast("bigint").alias("root")
+            *_NAMES, F.lit(True).alias("link"), F.col("u").alias("node"), F.col("v").alias("fp"), F.lit(False).alias("small"), F.lit(0).cast("bigint").alias("root")
         ))
     dealt = rows.repartition(*_NAMES).sortWithinPartitions(*_NAMES, "link", "node")
     return dealt.mapInPandas(run, "u bigint, v bigint").distinct()
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """(band, bits, n, node, fp): nodes that share a band key with another, and how many do."""
-    keyed = nodes.select("node", "fp", F.posexplode("bands").alias("band", "bits"))
+    """(band, bits, n, node, fp, small): nodes that share a band key with another, and how many do."""
+    keyed = nodes.select("node", "fp", "small", F.posexplode("bands").alias("band", "bits"))
     sizes = keyed.groupBy("band", "bits").agg(F.count("*").alias("n")).where("n > 1")
     return keyed.join(sizes, ["band", "bits"])
 
@@ -237,7 +256,7 @@ def first_blocks(met: DataFrame, block: int, leaders: int) -> DataFrame:
     parts = _parts(F.col("n"), block)
     leads = F.pmod(F.xxhash64("node", "band"), F.col("n")) < leaders
     to = F.when(leads, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(_part(parts, 0)))
-    return met.select("band", "bits", "node", "fp", F.explode(to).alias("block"), F.lit(-1).alias("other"))
+    return met.select("band", "bits", "node", "fp", "small", F.explode(to).alias("block"), F.lit(-1).alias("other"))
 
 
 def stray_blocks(met: DataFrame, joined: DataFrame, block: int) -> DataFrame:
@@ -252,7 +271,7 @@ def stray_blocks(met: DataFrame, joined: DataFrame, block: int) -> DataFrame:
     own = F.transform(F.sequence(F.lit(0), others - 1), lambda o: pair(_part(parts, 0), o))
     every = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: pair(p, _part(others, 2)))
     to = F.when(F.col("root") != F.col("main"), F.array_union(own, every)).otherwise(own)
-    return rows.select("band", "bits", "node", "fp", F.inline(to))
+    return rows.select("band", "bits", "node", "fp", "small", F.inline(to))
 
 
 def sets_of(links: DataFrame, marked: DataFrame, docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
@@ -306,7 +325,7 @@ def classes(
     marked = written(docs.select(
         column(docs, key).alias("id"), F.xxhash64(column(docs, text)).alias("text_hash"), sketch(column(docs, text), shingle).alias("sketch")
     ).select("id", "text_hash", "sketch.*"), "sketches")
-    nodes = marked.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"))
+    nodes = marked.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.any_value("small").alias("small"))
     met = written(buckets(nodes), "buckets")
     sets = partial(sets_of, marked=marked, docs=docs, key=key, text=text, shingle=shingle)
     joined, refused = settled(first_blocks(met, block, leaders), None, None, sets, radius, similarity)

@@ -115,3 +115,28 @@ def test_unrelated_texts_under_one_id_or_none_all_stay(spark, module):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = [(r["doc_id"], r["text"].lower()) for r in module.dedup(docs).collect()]
     assert sorted(got, key=str) == sorted([(None, one), (None, two), (7, three), (7, four), (9, five)], key=str)
+
+
+def test_short_texts_beyond_the_radius_are_linked():
+    """Of 5,000 pairs of 4 and 5 shingles some differ in over 18 bits; a bucket links them all the same."""
+    rng, far = random.Random(4), 0
+    for k in range(5000):
+        words = [f"u{rng.randrange(10**6)}" for _ in range(9)]
+        short, longer = (nearcopies.sketch_of(" ".join(w)) for w in (words[:8], words))
+        fps = np.array([short[1], longer[1]], np.int64).view(np.uint64)
+        far += bin(int(fps[0] ^ fps[1])).count("1") > nearcopies.RADIUS
+        small = np.array([x[3] <= nearcopies.SMALL for x in (short, longer)])
+        assert nearcopies.bucket_links(fps, np.array([0, 2]), small=small).tolist() == [[1, 0]], k
+    assert far > 20
+
+
+def test_short_near_copies_beyond_the_radius_are_one_group(spark):
+    rng, texts = random.Random(4), []
+    while len(texts) < 40:
+        words = [f"u{rng.randrange(10**6)}" for _ in range(9)]
+        a, b = (nearcopies.sketch_of(" ".join(w))[1] for w in (words[:8], words))
+        if bin((a ^ b) % 2**64).count("1") > nearcopies.RADIUS:
+            texts += [" ".join(words[:8]), " ".join(words)]
+    rows = list(enumerate(texts))
+    found = nearcopies.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r["id"]: r["component"] for r in found.collect()} == plain_components(rows)
