@@ -70,13 +70,15 @@ def words_of(text: str | None) -> list[str]:
 
 
 def numbers(text: str | None, known: Numbers) -> np.ndarray:
-    """The words' numbers. Of more than PAD unknown words on end PAD are kept: no window sees a difference."""
+    """The words' numbers. Of more than PAD unknown words on end the first PAD are kept: no window sees a difference."""
     words = words_of(text)
     out = np.fromiter((known[w] for w in words), np.int64, len(words))
-    run = out == 0
-    for _ in range(2):
-        run[1:] &= run[:-1].copy()
-    return out[~(run & np.concatenate(([False], out[:-1] == 0)))] if len(out) > PAD else out
+    unknown = out == 0
+    gone = unknown.copy()
+    gone[:PAD] = False
+    for k in range(1, PAD + 1):
+        gone[k:] &= unknown[:-k]
+    return out[~gone]
 
 
 def _both(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
