@@ -49,8 +49,10 @@ def recency_frequency_spend(
 def rfm_scores(df: DataFrame, customer: str, order_key: str, moment: str, spend: str) -> DataFrame:
     base = recency_frequency_spend(df, customer, order_key, moment, spend)
     scored = quantile_labels(base, "recency", [4, 3, 2, 1], "r_score")
-    scored = rank_quartile(scored, "frequency", customer, "f_score")
-    scored = rank_quartile(scored, "monetary", customer, "m_score")
+    for value, name in (("frequency", "f_score"), ("monetary", "m_score")):
+        # each order is taken on its own: in a chain every ranking would be read three times by the next
+        ranked = rank_quartile(base.select(customer, value), value, customer, name)
+        scored = scored.join(ranked.drop(value), customer)
     r, f, m = (F.col(c) for c in ("r_score", "f_score", "m_score"))
     return scored.select(
         customer, "recency", "frequency", F.bround("monetary", 2).alias("monetary"), r, f, m,

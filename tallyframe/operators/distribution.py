@@ -64,7 +64,7 @@ def box_stats(df: DataFrame, value: str, by: str | Sequence[str]) -> DataFrame:
     """Quartiles, whisker ends within 1.5 IQR, and the number of outliers per group."""
     by = [by] if isinstance(by, str) else list(by)
     df = known(df, *by)
-    quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by).drop("distinct")
+    quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, distinct=False)
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
     fenced = join_null_safe(counts, quartiles, by)
     reach = (F.col("q3") - F.col("q1")) * 1.5

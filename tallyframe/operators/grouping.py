@@ -78,7 +78,7 @@ def profit_table(
         F.count(profit).alias("count"), F.avg(profit).alias("mean_profit"),
         F.avg(margin).alias("mean_profit_margin"), (F.avg(loss_flag) * 100).alias("pct_loss"),
     )
-    middle = exact_quantiles(df, profit, {"median_profit": 0.5}, by).drop("n", "distinct")
+    middle = exact_quantiles(df, profit, {"median_profit": 0.5}, by, distinct=False).drop("n")
     return join_null_safe(basic, middle, list(by), "left").select(
         *by, "count", "mean_profit", "median_profit", "mean_profit_margin",
         F.bround("pct_loss", 2).alias("pct_loss"),
@@ -222,7 +222,7 @@ def kpis(
         F.count_if(pending).alias("pending_count"),
         F.bround(F.coalesce(F.sum(F.when(pending, F.col(revenue))), F.lit(0.0)), 2).alias("pending_revenue"),
     )
-    middle = exact_quantiles(df, revenue, {"m": 0.5}).select(F.bround("m", 2)).scalar()
+    middle = exact_quantiles(df, revenue, {"m": 0.5}, distinct=False).select(F.bround("m", 2)).scalar()
     keys = list(dict.fromkeys([*leaders.values(), customer]))
     slim = df.select(*keys, F.col(revenue).alias("_m"), F.col(order_key).alias("_o"))
     groups = by_each_key(slim, keys, {"revenue": F.sum("_m"), "orders": F.count("_o")})

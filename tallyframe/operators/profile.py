@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,39 +48,37 @@ def column_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact distinct non-null values per column; repeated values collapse before the shuffle."""
-    return (
-        _text_cells(df, columns).where("text is not null").distinct()
-        .groupBy("column").agg(F.count("*").alias("unique_count"))
-    )
+    """Exact distinct non-null values per column; repeated values collapse before the shuffle.
+
+    Floating columns are told apart as numbers, all others by their text, which no number type rounds.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    floats = [c for c in columns if isinstance(types[c], (T.DoubleType, T.FloatType))]
+    texts = [c for c in columns if c not in floats]
+    different = []
+    if floats:
+        different.append(number_cells(df, floats).where("number is not null").distinct().select("column"))
+    if texts:
+        different.append(_text_cells(df, texts).where("text is not null").distinct().select("column"))
+    return reduce(DataFrame.unionByName, different).groupBy("column").agg(F.count("*").alias("unique_count"))
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """dtype, counts, null share, distinct, min/max/mean/std and quartiles for each column.
 
-    Three passes at most: moments, quartiles with the distinct floats, and distinct values of all other types,
-    which a double could not tell apart. NaN is a missing value.
+    Moments take one pass, the quartiles of all columns three by bracketing, the distinct values one with a shuffle of
+    the different values. NaN is a missing value.
     """
     columns = list(columns or df.columns)
     df = nan_as_missing(df.select(*[F.col(f"`{c}`") for c in columns]))
     numeric = [c for c in columns if c in set(numeric_columns(df))]
-    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    texts = [c for c in columns if c not in floats]
     quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     out = column_moments(df, columns)
-    found = []
+    details = distinct_counts(df, columns)
     if numeric:
-        exact = exact_quantiles(number_cells(df, numeric), "number", quartiles, ["column"])
-        distinct = F.when(F.col("column").isin(*floats), F.col("distinct")) if floats else F.lit(None).cast("bigint")
-        found.append(exact.withColumn("unique_count", distinct).drop("n", "distinct"))
-    if texts:
-        found.append(distinct_counts(df, texts))
-    details = found[0] if len(found) == 1 else found[0].unionByName(found[1], allowMissingColumns=True)
-    if numeric and texts:  # a whole number column has its quartiles in one row and its count in another
-        details = details.groupBy("column").agg(*[F.max(c).alias(c) for c in details.columns if c != "column"])
-    for p in quartiles:
-        if p not in details.columns:
-            details = details.withColumn(p, F.lit(None).cast("double"))
+        details = exact_quantiles(number_cells(df, numeric), "number", quartiles, ["column"], distinct=False).drop("n").join(details, "column", "full")
+    else:
+        details = details.withColumns({p: F.lit(None).cast("double") for p in quartiles})
     share = F.try_divide(F.col("null_count"), F.col("total_count")) * 100
     return out.join(details, "column", "left").select(
         "position", "column", "dtype", "total_count", "null_count",
@@ -114,7 +113,7 @@ def analysis_columns(df: DataFrame) -> list[str]:
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """mean, median, deviation, min and max per column."""
-    middle = exact_quantiles(number_cells(df, columns), "number", {"median": 0.5}, ["column"]).select("column", "median")
+    middle = exact_quantiles(number_cells(df, columns), "number", {"median": 0.5}, ["column"], distinct=False).select("column", "median")
     return (
         column_moments(df, columns).select("column", "mean", "std", "min", "max")
         .join(middle, "column", "left")

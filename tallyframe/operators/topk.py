@@ -44,7 +44,7 @@ def in_order(groups: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 def by_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """Groups ordered by their median."""
-    return exact_quantiles(known(df, group), value, {"median": 0.5}, [group]).drop("distinct").orderBy("median", group)
+    return exact_quantiles(known(df, group), value, {"median": 0.5}, [group], distinct=False).orderBy("median", group)
 
 
 def hash_sample(df: DataFrame, key: Sequence[str], k: int, seed: int = 42) -> DataFrame:

@@ -159,7 +159,7 @@ def summary(df: DataFrame, min_visits: int = 50) -> DataFrame:
     missed = F.col("noshow_flag")
     pct = lambda c: F.when(c.isNotNull(), F.format_string("%.2f", c * 100))
     on = lambda column, value: F.avg(F.when(F.col(column) == value, missed))
-    middle = exact_quantiles(df, "lead_days", {"m": 0.5}).select("m").scalar()
+    middle = exact_quantiles(df, "lead_days", {"m": 0.5}, distinct=False).select("m").scalar()
     patients = known(df.select("PatientId"), "PatientId").distinct().select(F.count("*")).scalar()
     place = F.col("Neighbourhood").cast("string")
     text = F.concat(place, F.lit(" ("), F.format_string("%.1f", F.col("rate") * 100), F.lit("%)"))

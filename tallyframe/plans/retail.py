@@ -106,7 +106,7 @@ def explore(df: DataFrame) -> dict[str, DataFrame]:
     products = grouping.summarise(df, ["Product Name"], {"profit": F.sum("Profit")}, keep_null_keys=False)
     months = {"total_sales": F.sum("Sales"), "total_profit": F.sum("Profit")}
     per_customer = df.select("Customer ID", "Order ID").distinct().groupBy("Customer ID").agg(F.count("*").alias("orders"))
-    cap = exact_quantiles(per_customer, "orders", {"p95": 0.95}).select("p95").scalar()
+    cap = exact_quantiles(per_customer, "orders", {"p95": 0.95}, distinct=False).select("p95").scalar()
     return {
         "profit_histogram": distribution.histogram(df, "Profit", 60),
         "profit_density": distribution.density_curve(df, "Profit"),
