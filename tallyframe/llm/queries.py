@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, lines, passages, pieces, quality, shards, simhash, toxicity, urlfilter, warc
+from . import decontaminate, lines, passages, pieces, prefixtrie, quality, shards, simhash, toxicity, urlfilter, warc
 from .common import table
 from .oracles import SQL
 
@@ -54,11 +54,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_shards, op3_url_filter, op4_line_dedup, op5_sentencepiece, op6_simhash, op7_warc, op8_passages,
-        op9_toxicity, op10_quality,
+        op9_toxicity, op10_quality, op11_prefix_trie,
     )
 }
 ORACLES: dict[str, str] = SQL
