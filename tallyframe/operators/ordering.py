@@ -8,6 +8,7 @@ added back.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 
@@ -93,7 +94,12 @@ class Slices:
         return list(dict.fromkeys(points)), list(dict.fromkeys(hot))
 
     def _literal(self, df: DataFrame, points: list) -> Column:
+        """The splitters as one constant array of records."""
         types = df.select(*[c.alias(f"k{i}") for i, (c, _) in enumerate(self.keys)]).schema.fields
+        if all(t.dataType.simpleString() in ("int", "bigint", "double", "string", "boolean") for t in types):
+            kind = ",".join(f"{t.name}:{t.dataType.simpleString()}" for t in types)
+            rows = json.dumps([{t.name: v for t, v in zip(types, p, strict=True)} for p in points])
+            return F.from_json(F.lit(rows), f"array<struct<{kind}>>")
         return F.array(*[
             F.struct(*[F.lit(v).cast(t.dataType).alias(t.name) for v, t in zip(p, types, strict=True)]) for p in points
         ])
