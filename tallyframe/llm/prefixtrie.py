@@ -26,7 +26,7 @@ from ..operators.ordering import running_totals
 from .common import column, written
 
 #: Arcs that are walked in one task when all others are spliced out: a fixed bound, 24 bytes each.
-TAIL = 1 << 14
+TAIL = 1 << 15
 #: Children of one node that meet their parent's row under one key.
 FAMILY = 1024
 #: Ids of ended conversations joined into one string before they are hashed.
@@ -42,7 +42,7 @@ def turns(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
         F.xxhash64(F.lit(1), role_, text_).alias("x"), F.xxhash64(text_, F.lit(2), role_).alias("y"),
         F.octet_length(text_).cast("bigint").alias("bytes"),
     ), "turns")
-    placed = running_totals(slim, ["turn", "x", "y", "bytes"], {"place": F.lit(1).cast("bigint")}, ["conv"])
+    placed = running_totals(slim, ["turn", "x", "y"], {"place": F.lit(1).cast("bigint")}, ["conv"])
     return placed.drop("turn")
 
 
@@ -102,9 +102,9 @@ def nodes(turns: DataFrame, everyone: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def numbered(nodes: DataFrame) -> DataFrame:
-    """Nodes with a number (root 0; siblings in a row by least member), their parent's, their first child's, and whether they are the last child."""
+    """Nodes with a number (root 0; siblings in a row), their parent's, their first child's, and whether they are the last child."""
     inner = nodes.where("depth > 0")
-    order = ["depth", "up_a", "up_b", "conv", "a", "b"]
+    order = ["up_a", "up_b", "a"]  # siblings in a row; which of two equal in all three comes first is open
     given = running_totals(inner, order, {"number": F.lit(1).cast("bigint")})
     given = written(given.unionByName(nodes.where("depth = 0").withColumn("number", F.lit(0).cast("bigint"))), "nodes")
     family = given.where("depth > 0").groupBy((F.col("depth") - 1).alias("depth"), F.col("up_a").alias("a"), F.col("up_b").alias("b")).agg(
