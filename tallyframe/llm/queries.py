@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, lines, passages, pieces, prefixtrie, quality, shards, simhash, toxicity, urlfilter, warc, whitening
+from . import decontaminate, lines, passages, pieces, prefixtrie, quality, scoring, shards, simhash, toxicity, urlfilter, warc, whitening
 from .common import table
 from .oracles import SQL
 
@@ -58,6 +58,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.report(table(spark, sf_dir, "conversations"))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.report(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(table(spark, sf_dir, "embeddings"))
 
@@ -66,7 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_shards, op3_url_filter, op4_line_dedup, op5_sentencepiece, op6_simhash, op7_warc, op8_passages,
-        op9_toxicity, op10_quality, op11_prefix_trie, op13_whitening,
+        op9_toxicity, op10_quality, op11_prefix_trie, op12_lm_scoring, op13_whitening,
     )
 }
 ORACLES: dict[str, str] = SQL
