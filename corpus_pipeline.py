@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import decontaminate, lines, nearcopies, pieces, toxicity
+from tallyframe.llm import decontaminate, lines, pieces, simhash, toxicity
 from tallyframe.llm.common import table
 from tallyframe.session import fresh_folder
 
@@ -25,8 +25,8 @@ def repeated_lines_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_copies_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, a similarity of 0.8 or more) stays."""
-    return nearcopies.dedup(docs)
+    """One document of each group whose fingerprints hang together by links of two bits or fewer (three words a shingle) stays."""
+    return simhash.dedup(docs)
 
 
 def benchmark_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
