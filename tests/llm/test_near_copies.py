@@ -1,142 +1,14 @@
-"""Near copies against all pairs of shingle sets."""
+"""One document of each group of near copies stays, whatever ids the others have."""
 
 import random
-from itertools import combinations
 
-import numpy as np
-import pytest
-from tallyframe.llm import nearcopies, simhash
+from tallyframe.llm import simhash
 
 
-def shingles(text):
-    words = (text or "").lower().split()
-    return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
-
-
-def plain_components(rows):
-    """id -> least id reachable over pairs of a similarity of 0.8 or more."""
-    sets = list({shingles(t) for _, t in rows})
-    root = {s: s for s in sets}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a, b in combinations(sets, 2):
-        if a and b and len(a & b) >= 0.8 * len(a | b):
-            root[find(a)] = find(b)
-    least = {}
-    for i, t in rows:
-        r = find(shingles(t))
-        least[r] = min(least.get(r, i), i)
-    return {i: least[find(shingles(t))] for i, t in rows}
-
-
-@pytest.fixture(scope="module")
-def rows():
-    rng = random.Random(3)
-    vocabulary = [f"w{k}" for k in range(400)]
-    prose = lambda n: [rng.choice(vocabulary) for _ in range(n)]
-    texts = []
-    for copies in [1] * 20 + [2] * 10 + [5, 40]:
-        base = prose(rng.randint(60, 400))
-        for _ in range(copies):
-            words = list(base)
-            for _ in range(rng.randint(0, len(words) // 60)):
-                words[rng.randrange(len(words))] = rng.choice(vocabulary)
-            texts.append(" ".join(words))
-    texts += [texts[0], texts[1].upper(), texts[2].replace(" ", "\n "), None, "", " \t", "a", "A", "a b c", " ".join(prose(20000))]
-    rng.shuffle(texts)
-    return list(enumerate(texts))
-
-
-@pytest.mark.parametrize(("block", "leaders"), [(1024, 64), (8, 2), (8, 0)])
-def test_components_are_those_of_all_pairs(spark, rows, block, leaders):
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r["id"]: r["component"] for r in nearcopies.classes(docs, block=block, leaders=leaders).collect()}
-    assert got == plain_components(rows)
-
-
-def test_dedup_keeps_one_of_each_and_the_columns(spark, rows):
-    own = [(i, t, "x", 1, 2) for i, t in rows] + [(rows[0][0], rows[0][1], "x", 1, 2), (None, rows[3][1], "x", 1, 2), (None, "only here without an id", "x", 1, 2)]
-    docs = spark.createDataFrame(own, "doc_id long, text string, node string, band int, id int").repartition(4)
-    kept = nearcopies.dedup(docs)
-    assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == sorted([(False, i) for i in set(plain_components(rows).values())] + [(True, 0)])
-    assert nearcopies.dedup(docs.limit(0)).count() == 0
-
-
-def test_distances_and_nearest_links():
-    rng = np.random.default_rng(2)
-    fps = rng.integers(0, 1 << 63, 150, dtype=np.uint64)
-    fps[100:] = fps[:50] ^ (np.uint64(1) << rng.integers(0, 60, 50, dtype=np.uint64)) ^ np.uint64(7)
-    got = {tuple(x) for x in nearcopies.bucket_links(fps, np.array([0, 150]), 5).tolist()}
-    assert {(k + 100, k) for k in range(50)} <= got
-    a, b = np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4])
-    assert sorted(nearcopies.nearest_forest(a, b, np.array([5, 1, 2, 9]), 5).tolist()) == [1, 2, 3]
-
-
-@pytest.fixture(scope="module")
-def loose():
-    """250 texts of one origin; of their links within the radius many fail the check."""
-    rng = random.Random(5)
-    base, rows = [f"b{k}" for k in range(300)], []
-    for i in range(250):
-        words = list(base)
-        for k in rng.sample(range(3, 297), rng.choice([3, 4, 5, 6])):
-            words[k] = f"x{rng.randrange(100000)}"
-        rows.append((i, " ".join(words)))
-    return rows
-
-
-@pytest.mark.parametrize(("block", "leaders"), [(1024, 64), (32, 4)])
-def test_links_behind_refused_links_are_checked(spark, loose, block, leaders):
-    want = plain_components(loose)
-    docs = spark.createDataFrame(loose, "doc_id long, text string").repartition(3)
-    got = {r["id"]: r["component"] for r in nearcopies.classes(docs, block=block, leaders=leaders).collect()}
-    assert 1 < len(set(want.values())) < 200 and got == want
-
-
-def test_a_bucket_leaves_out_refused_links_and_those_of_one_component():
-    fps = np.array([0, 1, 3, 7, 0, 1], np.uint64)
-    starts = np.array([0, 4, 6])
-    refused = np.array([[1, 0], [3, 2]])
-    links = lambda **more: sorted(map(tuple, np.sort(nearcopies.bucket_links(fps, starts, 2, **more), axis=1).tolist()))
-    assert links(refused=refused, forests=8) == [(0, 2), (1, 2), (1, 3), (4, 5)]
-    assert links(root=np.array([9, 9, 9, 8, 9, 8]), refused=refused, forests=8) == [(1, 3), (4, 5)]
-
-
-@pytest.mark.parametrize("module", [nearcopies, simhash])
-def test_unrelated_texts_under_one_id_or_none_all_stay(spark, module):
+def test_unrelated_texts_under_one_id_or_none_all_stay(spark):
     rng = random.Random(9)
     one, two, three, four, five = (" ".join(f"v{rng.randrange(9999)}" for _ in range(60)) for _ in range(5))
     rows = [(None, one), (None, two), (None, two), (7, three), (7, four), (7, four.upper()), (8, four), (9, five), (None, five)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = [(r["doc_id"], r["text"].lower()) for r in module.dedup(docs).collect()]
+    got = [(r["doc_id"], r["text"].lower()) for r in simhash.dedup(docs).collect()]
     assert sorted(got, key=str) == sorted([(None, one), (None, two), (7, three), (7, four), (9, five)], key=str)
-
-
-def test_short_texts_beyond_the_radius_are_linked():
-    """Of 5,000 pairs of 4 and 5 shingles some differ in over 18 bits; a bucket links them all the same."""
-    rng, far = random.Random(4), 0
-    for k in range(5000):
-        words = [f"u{rng.randrange(10**6)}" for _ in range(9)]
-        short, longer = (nearcopies.sketch_of(" ".join(w)) for w in (words[:8], words))
-        fps = np.array([short[1], longer[1]], np.int64).view(np.uint64)
-        far += bin(int(fps[0] ^ fps[1])).count("1") > nearcopies.RADIUS
-        small = np.array([x[3] <= nearcopies.SMALL for x in (short, longer)])
-        assert nearcopies.bucket_links(fps, np.array([0, 2]), small=small).tolist() == [[1, 0]], k
-    assert far > 20
-
-
-def test_short_near_copies_beyond_the_radius_are_one_group(spark):
-    rng, texts = random.Random(4), []
-    while len(texts) < 40:
-        words = [f"u{rng.randrange(10**6)}" for _ in range(9)]
-        a, b = (nearcopies.sketch_of(" ".join(w))[1] for w in (words[:8], words))
-        if bin((a ^ b) % 2**64).count("1") > nearcopies.RADIUS:
-            texts += [" ".join(words[:8]), " ".join(words)]
-    rows = list(enumerate(texts))
-    found = nearcopies.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
-    assert {r["id"]: r["component"] for r in found.collect()} == plain_components(rows)
