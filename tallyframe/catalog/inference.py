@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import inference, timeline
+from ..plans import web
 from .frames import RETAIL_LINES, WEB_SESSIONS, retail_lines, rounded, web_sessions
 from .registry import query
 
@@ -36,6 +37,15 @@ def st1_kruskal(t):
     return rounded(inference.kruskal(t.lineitem, _KW, "l_returnflag"), 6, "h_stat", "p_value")
 
 
+@query(f"""WITH {_rank_ctes(_KW, 'l_returnflag', 'lineitem')},
+           s AS (SELECT target, grp, sum(rk) AS r, count(*) AS m FROM cells JOIN ranks USING (target, v) GROUP BY 1, 2),
+           h AS (SELECT target, (12.0 / (n * (n + 1.0)) * sum(r * r / m) - 3 * (n + 1)) / (1 - ts / (pow(n, 3) - n)) AS h
+                 FROM s JOIN tie_sums USING (target) GROUP BY target, n, ts)
+           SELECT target FROM h WHERE exp(-h / 2) < 0.05""")
+def f6_significant_targets(t):
+    return web.significant_targets(inference.kruskal(t.lineitem, _KW, "l_returnflag"))
+
+
 def _chi(source: str, a: str, b: str, yates: str, dof: str, p: str) -> str:
     return f"""WITH o AS ({source}), c AS (SELECT {a} AS a, {b} AS b, count(*) AS o FROM o GROUP BY 1, 2),
       r AS (SELECT a, sum(o) AS ro FROM c GROUP BY 1), k AS (SELECT b, sum(o) AS co FROM c GROUP BY 1), n AS (SELECT sum(o) AS n FROM c),

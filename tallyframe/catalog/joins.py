@@ -137,6 +137,19 @@ def t8_hash_sample(t):
     return topk.hash_sample(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 3000)
 
 
+@query("""SELECT least(3000, count(*)) AS rows_drawn, least(3000, count(*)) AS different_members, least(3000, count(*)) AS drawn_again FROM orders""")
+def t8_sample_contract(t):
+    """What SQL can state of the sample: its size, that all are different rows of the table, and that a second draw is the same."""
+    orders = t.orders.select("o_orderkey", "o_totalprice")
+    one = topk.hash_sample(orders, ["o_orderkey"], 3000)
+    again = topk.hash_sample(orders.repartition(5), ["o_orderkey"], 3000).withColumn("again", F.lit(1))
+    known = orders.withColumn("member", F.lit(1))
+    both = one.join(known, ["o_orderkey", "o_totalprice"], "left").join(again, ["o_orderkey", "o_totalprice"], "left")
+    return both.agg(
+        F.count("*").alias("rows_drawn"), F.count_distinct(F.when(F.col("member") == 1, F.col("o_orderkey"))).alias("different_members"),
+        F.count("again").alias("drawn_again"))
+
+
 @query("""SELECT s_suppkey AS key, s_acctbal AS balance, s_name AS supplier, NULL AS customer FROM supplier
           UNION ALL SELECT c_custkey, c_acctbal, NULL, c_name FROM customer""")
 def u1_union_by_name(t):

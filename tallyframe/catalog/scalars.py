@@ -228,6 +228,21 @@ def ud1_segment_rule(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", customers.segment_of(r, q, q).alias("segment"))
 
 
+@query("""SELECT o_custkey, date_diff('day', CAST(max(o_orderdate) AS DATE), (SELECT CAST(max(o_orderdate) AS DATE) + 1 FROM orders)) AS days_since_last
+          FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1""")
+def ud2_days_since_last_order(t):
+    return customers.recency_frequency_spend(t.orders, "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice").select(
+        "o_custkey", F.col("recency").cast("bigint").alias("days_since_last"))
+
+
+@query("""SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') || ' days' AS age,
+            '$' || format('{:,}', CAST(round_even(o_totalprice, 0) AS BIGINT)) AS label FROM orders""")
+def ud3_element_labels(t):
+    days = dates.days_between(F.lit("2002-01-01").cast("date"), F.col("o_orderdate"))
+    return t.orders.select(
+        "o_orderkey", F.concat(days.cast("string"), F.lit(" days")).alias("age"), numbers.currency(F.col("o_totalprice")).alias("label"))
+
+
 @query(f"WITH {RFM} SELECT * FROM scored")
 def ud4_rfm_scores(t):
     return customers.rfm_scores(t.orders, "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")

@@ -86,6 +86,11 @@ def source_metrics(df: DataFrame, source: str, columns: dict[str, str]) -> DataF
     return grouping.summarise(df, [source], {k: F.bround(F.avg(c), 4) for k, c in columns.items()}, keep_null_keys=False)
 
 
+def significant_targets(results: DataFrame) -> DataFrame:
+    """Targets whose test is significant, by name."""
+    return results.where("significant").select("target").orderBy("target")
+
+
 def report_facts(
     df: DataFrame, source: str = "Traffic Source", duration: str = "Session Duration",
     bounce: str = "Bounce Rate", conversion: str = "Conversion Rate", visits: str = "Previous Visits",
@@ -112,10 +117,12 @@ def run(spark: SparkSession, path: str, out: str) -> dict[str, str]:
     parts = clean(raw)
     typed = write_parquet(derive(parts.clean), f"{out}/clean_parquet")
     kept = spark.read.parquet(typed)
+    results = tests(kept)
     return {
+        "significant": write_csv(significant_targets(results), f"{out}/significant_targets"),
         "audit": write_csv(audit(raw).orderBy("position").drop("position"), f"{out}/audit"),
         "dirty": write_csv(parts.dirty, f"{out}/dirty"), "clean": write_csv(kept, f"{out}/clean"), "typed": typed,
         "reasons": write_csv(reason_counts(parts.dirty), f"{out}/dirty_breakdown"),
-        "stats": write_csv(tests(kept), f"{out}/stats"),
+        "stats": write_csv(results, f"{out}/stats"),
         "summary": write_csv(profile.numeric_summary(kept, NUMERIC), f"{out}/numeric_summary"),
     }

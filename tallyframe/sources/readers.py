@@ -43,6 +43,9 @@ def read_csv(
     With a schema no pass over the data is needed: only the header is read, its names get the
     schema's types in whatever order they come, and other columns pass as text. Without one the
     types are inferred.
+
+    With ``multiline`` (the default) quoted line breaks survive, but Spark cannot split a file: one file is one task.
+    For large files known to hold no quoted line break, ``multiline=False`` lets many tasks read one file.
     """
     require_path(spark, path)
     reader = (
@@ -66,7 +69,7 @@ def read_csv_any_encoding(spark: SparkSession, path: str, expected: Sequence[str
     """UTF-8, with or without a byte order mark, else Latin-1.
 
     The bytes of the whole file are checked, stopping at the first invalid line. Latin-1 decodes
-    every byte, so no later encoding of a fallback chain would ever be reached.
+    every byte, so no later encoding of a fallback chain would ever be reached. ``multiline`` is as in ``read_csv``.
     """
     require_path(spark, path)
     valid = spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
@@ -81,13 +84,13 @@ def read_parquet(spark: SparkSession, path: str, expected: Sequence[str] = ()) -
     return require_columns(spark.read.parquet(path), expected)
 
 
-def read_optional(spark: SparkSession, path: str, schema: T.StructType | str, kind: str = "parquet") -> DataFrame:
-    """An empty table of the given schema when the file is not there."""
+def read_optional(spark: SparkSession, path: str, schema: T.StructType | str, kind: str = "parquet", multiline: bool = True) -> DataFrame:
+    """An empty table of the given schema when the file is not there. ``multiline`` (CSV) is as in ``read_csv``."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema)
     if kind == "csv":
-        return reader.option("header", True).option("escape", "\"").option("multiLine", True).csv(path)
+        return reader.option("header", True).option("escape", "\"").option("multiLine", multiline).csv(path)
     return reader.parquet(path)
 
 

@@ -97,3 +97,18 @@ def test_latest_run(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_large_files_can_be_split_on_request(spark, tmp_path):
+    """Without quoted line breaks both readings are equal; read_optional hands the choice on."""
+    from tallyframe.sources.readers import read_csv, read_optional
+
+    path = tmp_path / "rows.csv"
+    path.write_text("a,b\n" + "".join(f"{i},x{i}\n" for i in range(2000)))
+    whole = read_csv(spark, str(path), "a int, b string")
+    split = read_csv(spark, str(path), "a int, b string", multiline=False)
+    assert sorted(whole.collect()) == sorted(split.collect())
+    assert read_optional(spark, str(path), "a int, b string", "csv", multiline=False).count() == 2000
+    broken = tmp_path / "broken.csv"
+    broken.write_text('a,b\n1,"x\ny"\n')
+    assert read_optional(spark, str(broken), "a int, b string", "csv").first()["b"] == "x\ny"
