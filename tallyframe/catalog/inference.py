@@ -37,17 +37,17 @@ def st1_kruskal(t):
     return rounded(inference.kruskal(t.lineitem, _KW, "l_returnflag"), 6, "h_stat", "p_value")
 
 
-_DATED = [*_KW, "ship_year"]
+_SIZE = "CASE WHEN l_quantity < 17 THEN 'low' WHEN l_quantity < 34 THEN 'middle' ELSE 'high' END"
 
 
-@query(f"""WITH {_rank_ctes(_DATED, 'l_returnflag', '(SELECT *, year(l_shipdate) AS ship_year FROM lineitem)')},
+@query(f"""WITH {_rank_ctes(_KW, _SIZE, 'lineitem')},
            s AS (SELECT target, grp, sum(rk) AS r, count(*) AS m FROM cells JOIN ranks USING (target, v) GROUP BY 1, 2),
            h AS (SELECT target, (12.0 / (n * (n + 1.0)) * sum(r * r / m) - 3 * (n + 1)) / (1 - ts / (pow(n, 3) - n)) AS h
                  FROM s JOIN tie_sums USING (target) GROUP BY target, n, ts)
            SELECT target FROM h WHERE exp(-h / 2) < 0.05""")
 def f6_significant_targets(t):
     return web.significant_targets(
-        inference.kruskal(t.lineitem.withColumn("ship_year", F.year("l_shipdate")), _DATED, "l_returnflag"))
+        inference.kruskal(t.lineitem.withColumn("size", F.expr(_SIZE)), _KW, "size"))
 
 
 def _chi(source: str, a: str, b: str, yates: str, dof: str, p: str) -> str:
