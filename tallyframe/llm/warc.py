@@ -8,7 +8,7 @@ slim rows; the pages themselves are joined to that, and a hot payload is split b
 Each writing task makes archives of its own in ``folder`` (a place every executor reaches), under names that no
 other attempt uses; the index (file, offset, length, url, digest, ...) is a Parquet table beside them and names
 only records of tasks that ended well, so lost executors leave unused files at worst. The reader takes any
-selection of index rows, deals them by file and stretch, sorts them by offset, and reads neighbours in one go.
+selection of index rows, deals them by file and stretch over as many tasks as their bytes need, sorts them by offset, and reads neighbours in one go.
 Digests of all payloads read are checked.
 
 Edge cases: a null payload is empty; a null url leaves the header out; a null id is no one's response unless all
@@ -23,6 +23,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import closing
 from urllib.parse import quote
 
 import pandas as pd
@@ -38,6 +39,8 @@ DATE = "2000-01-01T00:00:00Z"
 ARCHIVE_BYTES = 1 << 30
 #: Bytes read at once at most, and bytes between two records that are read over rather than skipped.
 STRETCH, GAP = 8 << 20, 64 << 10
+#: Archive bytes that one reading task is given, about.
+TASK_BYTES = 128 << 20
 
 INDEX = "file string, offset bigint, length bigint, url string, digest string, record_id string, record_type string"
 READ = "record_id string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, payload binary"
@@ -118,24 +121,27 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     archives = f"{folder}/archives"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = Archive(archives)
-        for rows in batches:
-            index = []
-            for r in rows.itertuples(index=False):
-                digest = base64.b32encode(bytes.fromhex(r.sha1)).decode()
-                name, link, leader = (None if x is None or x != x else x for x in (r.id, r.url, r.leader))
-                revisit = leader is not None and leader != name
-                data = record(name, link, r.payload.encode(), r.size, digest, leader, revisit)
-                index.append((*out.add(data), link, digest, record_name(name), "revisit" if revisit else "response"))
-            yield pd.DataFrame(index, columns=[c.split()[0] for c in INDEX.split(", ")])
-        out.close()
+        with closing(Archive(archives)) as out:
+            for rows in batches:
+                index = []
+                for r in rows.itertuples(index=False):
+                    digest = base64.b32encode(bytes.fromhex(r.sha1)).decode()
+                    name, link, leader = (None if x is None or x != x else x for x in (r.id, r.url, r.leader))
+                    revisit = leader is not None and leader != name
+                    data = record(name, link, r.payload.encode(), r.size, digest, leader, revisit)
+                    index.append((*out.add(data), link, digest, record_name(name), "revisit" if revisit else "response"))
+                yield pd.DataFrame(index, columns=[c.split()[0] for c in INDEX.split(", ")])
 
     with_leader(pages, key, url, payload, least_bytes).mapInPandas(run, INDEX).write.parquet(f"{folder}/index")
     return pages.sparkSession.read.parquet(f"{folder}/index")
 
 
 def read(selected: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
-    """The records of the selected index rows, as READ (payload null for revisits, or where not wanted)."""
+    """The records of the selected index rows, as READ (payload null for revisits, or where not wanted).
+
+    The index rows are slim and would be merged into few tasks, so the number of tasks follows the archive bytes
+    that they name: one for every ``TASK_BYTES``, and two for every core at least, each with stretches of its own.
+    """
     archives = f"{folder}/archives"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,9 +153,11 @@ def read(selected: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
                 out = [_checked(zlib.decompress(data[o - begin : o - begin + n], 31), payloads) for o, n in members]
                 yield pd.DataFrame(out, columns=[c.split()[0] for c in READ.split(", ")])
 
-    stretch = F.floor(F.col("offset") / STRETCH)
     wanted = selected.select("file", "offset", "length")
-    return wanted.repartition("file", stretch).sortWithinPartitions("file", "offset").mapInPandas(run, READ)
+    total = wanted.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(-(-total // TASK_BYTES), 2 * selected.sparkSession.sparkContext.defaultParallelism)
+    stretch = F.floor(F.col("offset") / min(STRETCH, max(total // (4 * tasks), GAP)))
+    return wanted.repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset").mapInPandas(run, READ)
 
 
 def _stretches(rows: pd.DataFrame) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
