@@ -1,18 +1,21 @@
 """Quality by weak supervision: rules vote good or bad or abstain, and their accuracies are estimated without labels.
 
-Only column expressions and one grouped count are used. The base figures come from whole texts. Each rule then
-votes +1 (good), -1 (bad) or 0 (abstains). All documents are counted by their vote pattern: at most 3^rules rows,
-whatever the data. On those counts expectation-maximisation runs inside one expression. The model is the share of
-good documents and, for each rule, how often it votes each way on good and on bad ones; an abstention tells nothing.
-Documents with a bad vote are the first guess of the bad class. A rule is taken to be wrong on at most ``WRONG`` of a
-class: kinds of bad text exclude each other, and without that bound the bad class would shrink to the kind whose rules
-vote together. A document's posterior follows from its own votes; it is kept at ``KEEP`` or more.
+Only column expressions and one grouped count are used. The base figures come from whole texts. Each rule looks at one
+figure and votes both ways on it: +1 (good) on its usual side, -1 (bad) far from it, 0 (abstains) between. The base
+rule has settled the documents that fail it, so the model is that of the others: they are counted by their vote
+pattern, at most 3^rules rows whatever the data. On those counts expectation-maximisation runs inside one expression.
+The model is the share of good documents and, for each rule and class, how often it votes good when it votes; an
+abstention tells nothing. The first guess doubts documents with a bad vote. No accuracy is bounded: a rule whose bad
+votes stand alone is found to be wrong and loses its say, rules that confirm each other gain it. A document's
+posterior follows from its own votes; it is kept at ``KEEP`` or more.
 
 The figures are written once to the shared folder, as the counts and the verdicts both read them. Windows of three
 words are compared by a 64-bit hash inside one text.
 
 Edge cases: a null, empty or blank text has no word, zero figures, and fails the base rule; an empty table gives
-an empty result; repeated rows are each judged and each counted; a rule that never votes tells nothing.
+an empty result; repeated rows are each judged and each counted; a rule that never votes tells nothing; where every
+document fails the base rule the posterior is that of no evidence; columns of ``docs`` named like the added ones stay,
+the added ones take another name. Patterns run in time linear in the text, however long a word is.
 """
 
 from __future__ import annotations
@@ -29,10 +32,13 @@ ROUNDS = 25
 DOUBTED, TRUSTED = 0.1, 0.95
 #: Added to each count, as if so many more documents had voted that way.
 SMOOTH = 1.0
-WRONG = 0.002
-_SPACE = r"[\x20\x09-\x0D]+"
+_BLANK = r"\x20\x09-\x0D"
+_SPACE = f"[{_BLANK}]+"
+#: A word with a letter and none of SYMBOLS, and a mark that ends a sentence.
+_PLAIN = rf"(?<![^{_BLANK}])(?=[^{_BLANK}\p{{L}}]*+\p{{L}})[^{_BLANK}{SYMBOLS}]++(?![^{_BLANK}])"
+_END = rf"[.!?…](?![^{_BLANK}])"
 
-FIGURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals", "n_exclaims"]
+FIGURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals", "n_exclaims", "n_plain", "n_ends"]
 
 
 def figures(docs: DataFrame, text: str = "text", name: str = "figures") -> tuple[DataFrame, str]:
@@ -54,6 +60,7 @@ def figures(docs: DataFrame, text: str = "text", name: str = "figures") -> tuple
         "n_lines": F.size(F.col(lines)), "n_dup_lines": F.size(F.col(lines)) - F.size(F.array_distinct(F.col(lines))),
         "n_repeat_words": covered, "n_capitals": F.regexp_count(F.col(body), F.lit("[A-Z]")),
         "n_exclaims": length - F.length(F.replace(F.col(body), F.lit("!"), F.lit(""))),
+        "n_plain": F.regexp_count(F.col(body), F.lit(_PLAIN)), "n_ends": F.regexp_count(F.col(body), F.lit(_END)),
     }
     struct = F.struct(*[counted[c].cast("bigint").alias(c) for c in FIGURES])
     return out.select(*[column(docs, c) for c in docs.columns], struct.alias(name)), name
@@ -90,22 +97,25 @@ def _covered(places: Column) -> Column:
 
 def votes(f: Column) -> dict[str, Column]:
     """The rules' votes on a struct of FIGURES. A text without words is only called too short."""
-    words, chars, lines = (F.greatest(f[c], F.lit(1)) for c in ("n_words", "word_chars", "n_lines"))
-    some, mean = f["n_words"] > 0, f["word_chars"] / words
-    bad = lambda condition: F.when(condition, -1).otherwise(0)
-    prose = (
-        (f["n_words"] >= 50) & mean.between(3, 9) & (f["n_symbols"] / words < 0.05) & (f["n_dup_lines"] / lines < 0.15)
-        & (f["n_repeat_words"] / words < 0.15) & (f["n_capitals"] / chars < 0.15) & (f["n_exclaims"] / words < 0.1)
-    )
+    words, chars, lines, ends = (F.greatest(f[c], F.lit(1)) for c in ("n_words", "word_chars", "n_lines", "n_ends"))
+    mean, sentence = f["word_chars"] / words, f["n_words"] / ends
+
+    def vote(bad: Column, good: Column) -> Column:
+        return F.when(f["n_words"] == 0, 0).when(bad, -1).when(good, 1).otherwise(0)
+
+    def little(share: Column, good: float, bad: float) -> Column:
+        return vote(share > bad, share <= good)
+
     return {
-        "prose": F.when(prose, 1).otherwise(0),
-        "length": bad(f["n_words"] < 20),
-        "word_length": bad(some & ~mean.between(2, 14)),
-        "symbols": bad(f["n_symbols"] / words > 0.1),
-        "repeated_lines": bad((f["n_dup_lines"] > 1) & (f["n_dup_lines"] / lines > 0.3)),
-        "repeated_words": bad(f["n_repeat_words"] / words > 0.3),
-        "capitals": bad(f["n_capitals"] / chars > 0.3),
-        "exclaims": bad(f["n_exclaims"] / words > 0.2),
+        "length": F.when(f["n_words"] < 20, -1).when(f["n_words"] >= 100, 1).otherwise(0),
+        "word_length": vote(~mean.between(3, 10), mean.between(4, 7)),
+        "sentence_length": vote(~sentence.between(3, 40), sentence.between(5, 25)),
+        "plain_words": vote(f["n_plain"] / words < 0.8, f["n_plain"] / words >= 0.95),
+        "symbols": little(f["n_symbols"] / words, 0.02, 0.1),
+        "repeated_lines": little(f["n_dup_lines"] / lines, 0.1, 0.3),
+        "repeated_words": little(f["n_repeat_words"] / words, 0.05, 0.2),
+        "capitals": little(f["n_capitals"] / chars, 0.1, 0.3),
+        "exclaims": little(f["n_exclaims"] / words, 0.02, 0.1),
     }
 
 
@@ -133,10 +143,9 @@ def _estimate(rows: Column, rules: int) -> Column:
         def share(cell: Column) -> Column:
             rule, good, vote = F.floor(cell / 6).cast("int"), F.floor(cell / 3).cast("int") % 2, cell % 3 - 1
             own = lambda x: F.when(good == 1, x["good"]).otherwise(x["n"] - x["good"])
-            cast = counted(lambda x: F.when(F.get(x["v"], rule) == vote, own(x)).otherwise(0.0))
-            part = (cast + SMOOTH) / (F.when(good == 1, both["good"]).otherwise(both["bad"]) + 3 * SMOOTH)
-            part = F.when((good == 1) == (vote == -1), F.least(part, F.lit(WRONG))).otherwise(part)
-            return F.when(vote == 0, F.lit(0.0)).otherwise(F.log(part))
+            this = counted(lambda x: F.when(F.get(x["v"], rule) == vote, own(x)).otherwise(0.0))
+            other = counted(lambda x: F.when(F.get(x["v"], rule) == -vote, own(x)).otherwise(0.0))
+            return F.when(vote == 0, F.lit(0.0)).otherwise(F.log((this + SMOOTH) / (this + other + 2 * SMOOTH)))
 
         odds = F.log((both["good"] + SMOOTH) / (both["bad"] + SMOOTH))
         return F.struct(odds.alias("odds"), F.transform(F.sequence(F.lit(0), F.lit(6 * rules - 1)), share).alias("seen"))
@@ -166,8 +175,9 @@ def verdicts(measured: DataFrame, figures_of: str, name: str = "quality") -> tup
     fig = column(written, figures_of)
     cast = written.withColumn(v, F.array(*votes(fig).values()))
     rules = len(votes(fig))
-    good = posterior(F.col(v), fit(cast.groupBy(F.col(v).alias("votes")).agg(F.count("*").alias("n")), rules), rules)
     failed = (fig["n_words"] < 50) | (100 * fig["n_repeat_words"] > 50 * fig["n_words"])
+    patterns = cast.where(~failed).groupBy(F.col(v).alias("votes")).agg(F.count("*").alias("n"))
+    good = posterior(F.col(v), fit(patterns, rules), rules)
     rows = cast.withColumn(name, F.struct(*[fig[c].alias(c) for c in FIGURES], F.col(v).alias("votes"), failed.alias("base_failed"), good.alias("good")))
     q = F.col(name)
     return rows.withColumn(name, q.withField("kept", ~q["base_failed"] & (q["good"] >= KEEP))).drop(v, figures_of), name
