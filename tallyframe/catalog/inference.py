@@ -173,3 +173,23 @@ def st11_seasonal_decomposition(t):
         t.orders, "o_orderdate", "month", {"v": F.round(F.sum("o_totalprice"), 2)}, ["v"], by=["o_orderpriority"])
     out = timeline.decompose_monthly(months, "v", by=["o_orderpriority"])
     return rounded(out, 6, "trend", "seasonal", "residual")
+
+
+_CHOSEN = ", ".join(f"range(1, 26) AS {x}(i)" for x in "abcde")
+
+
+@query(f"""WITH v AS (SELECT n_name, n_regionkey = 2 AS asia, sum(c_acctbal) + n_nationkey / 1000 AS v FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, n_nationkey, n_regionkey),
+           r AS (SELECT *, row_number() OVER (ORDER BY v) AS rk FROM v),
+           s AS (SELECT sum(rk) FILTER (WHERE NOT asia) - 210 AS u, avg(v) FILTER (WHERE NOT asia) AS m0, avg(v) FILTER (WHERE asia) AS m1 FROM r),
+           x AS (SELECT *, greatest(u, 100 - u) AS far FROM s),
+           picks AS (SELECT a.i + b.i + c.i + d.i + e.i - 15 AS u FROM {_CHOSEN} WHERE a.i < b.i AND b.i < c.i AND c.i < d.i AND d.i < e.i),
+           p AS (SELECT least(1.0, 2 * count(*) FILTER (WHERE picks.u >= far) / count(*)) AS p FROM picks, x)
+           SELECT 'v' AS target, u::DOUBLE AS statistic, round((far - 50.5) / sqrt(100 / 12 * 26), 6) AS z, round(m0, 6) AS mean_event0, round(m1, 6) AS mean_event1,
+                  round(m1 - m0, 6) AS mean_diff, round(p, 9) AS p_value, p < 0.05 AS bonferroni_significant FROM x, p""")
+def st3_mann_whitney_exact(t):
+    """Account balances of five nations against those of the twenty others: small samples, so all arrangements are counted."""
+    nations = t.nation.select("n_nationkey", (F.col("n_regionkey") == 2).cast("int").alias("asia"))
+    sums = t.customer.groupBy("c_nationkey").agg(F.sum("c_acctbal").alias("balance"))
+    df = sums.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("asia", (F.col("balance") + F.col("n_nationkey") / 1000).alias("v"))
+    out = rounded(inference.mann_whitney(df, ["v"], "asia"), 6, "z", "mean_event0", "mean_event1", "mean_diff")
+    return rounded(out, 9, "p_value")

@@ -9,12 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import safe_ratio
-from ..functions.tails import chi_square_p, fisher_p, normal_p, student_p
+from ..functions.tails import chi_square_p, exact_u_p, fisher_p, normal_p, student_p
 from ..session import materialise
 from .ordering import known, ranked_counts
 from .profile import number_cells
 
 
+#: A U test without ties is exact where the smaller sample and the larger one have at most so many rows.
+EXACT_SMALLER, EXACT_LARGER = 8, 500
+
+
 def _ranked_groups(df: DataFrame, targets: Sequence[str], group: str) -> tuple[DataFrame, DataFrame]:
     """Per target: average ranks of the distinct values, and value counts per group.
 
@@ -57,7 +61,9 @@ def kruskal(df: DataFrame, targets: Sequence[str], group: str, alpha: float = 0.
 def mann_whitney(df: DataFrame, targets: Sequence[str], event: str, alpha: float = 0.05) -> DataFrame:
     """Two-sided U test of event=0 against event=1 per target, with the Bonferroni verdict.
 
-    Normal approximation with tie and continuity correction; the statistic is U of event=0.
+    The statistic is U of event=0. Without ties, and with at most ``EXACT_SMALLER`` and ``EXACT_LARGER`` rows in the
+    two samples, p is exact, from the counts of all arrangements; otherwise it is the normal approximation with tie
+    and continuity correction. z is that approximation's in both cases.
     """
     ranks, cells = _ranked_groups(df, targets, event)
     joined = cells.join(ranks, ["column", "number"])
@@ -75,13 +81,16 @@ def mann_whitney(df: DataFrame, targets: Sequence[str], event: str, alpha: float
     deviation = F.sqrt(n0 * n1 / 12 * ((n + 1) - F.col("tie_sum") / (n * (n - 1))))
     z = safe_ratio(F.greatest(u, n0 * n1 - u) - middle - 0.5, deviation)
     corrected = alpha / len(targets)
+    countable = (F.least(n0, n1) > 0) & (F.least(n0, n1) <= EXACT_SMALLER) & (F.greatest(n0, n1) <= EXACT_LARGER) & (F.col("tie_sum") == 0)
+    approximate = F.least(F.lit(1.0), normal_p(F.greatest(F.col("z"), F.lit(0.0))))
     return (
         sums.select(
             F.col("column").alias("target"), u.alias("statistic"), z.alias("z"),
             "mean_event0", "mean_event1", (F.col("mean_event1") - F.col("mean_event0")).alias("mean_diff"),
+            *[F.when(countable, n).alias(name) for name, n in (("_n0", n0), ("_n1", n1))],
         )
-        .withColumn("p_value", F.least(F.lit(1.0), normal_p(F.greatest(F.col("z"), F.lit(0.0)))))
-        .withColumn("bonferroni_significant", F.col("p_value") < corrected)
+        .withColumn("p_value", F.coalesce(exact_u_p("statistic", "_n0", "_n1"), approximate))
+        .withColumn("bonferroni_significant", F.col("p_value") < corrected).drop("_n0", "_n1")
     )
 
 

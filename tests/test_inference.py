@@ -1,6 +1,8 @@
 """Tests and models against brute force on small frames."""
 
 import math
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -51,6 +53,30 @@ def test_mann_whitney_counts_pairs(sample):
     assert 0 <= row["p_value"] <= 1
 
 
+@pytest.mark.parametrize("larger", [1, 2, 5, 8])
+def test_u_counts_against_full_enumeration(larger):
+    for smaller in range(1, 9):
+        want = Counter(sum(c) - smaller * (smaller - 1) // 2 for c in combinations(range(smaller + larger), smaller))
+        assert tails.u_counts(smaller, larger) == [want[u] for u in range(smaller * larger + 1)]
+
+
+def test_small_mann_whitney_is_exact(spark):
+    """Exact without ties and up to the stated sizes; with ties or beyond them the approximation."""
+    a, b = [1.0, 4.0, 5.0], [2.0, 3.0, 7.0, 8.0, 9.0]
+    df = spark.createDataFrame([(0, v, 1.0) for v in a] + [(1, v, 2.0) for v in b], "e int, x double, tied double")
+    rows = {r["target"]: r for r in inference.mann_whitney(df, ["x", "tied"], "e").collect()}
+    u = sum(x > y for x in a for y in b)
+    splits = [sum(x > y for x in c for y in set(a + b) - set(c)) for c in combinations(a + b, 3)]
+    far = sum(s >= max(u, 15 - u) for s in splits) / len(splits)
+    assert rows["x"]["statistic"] == u and rows["x"]["p_value"] == pytest.approx(min(1, 2 * far))
+    assert rows["tied"]["p_value"] == pytest.approx(math.erfc(rows["tied"]["z"] / math.sqrt(2)))
+    many = spark.range(9).unionByName(spark.range(9, 30)).select((F.col("id") < 9).cast("int").alias("e"), F.col("id").cast("double").alias("x"))
+    row = inference.mann_whitney(many, ["x"], "e").first()
+    assert row["p_value"] == pytest.approx(math.erfc(row["z"] / math.sqrt(2)))
+    alone = inference.mann_whitney(df.where("e = 0"), ["x"], "e").first()
+    assert alone["p_value"] is None or 0 <= alone["p_value"] <= 1 or math.isnan(alone["p_value"])
+
+
 @pytest.mark.parametrize("rows", [
     [("a", "x")] * 12 + [("a", "y")] * 5 + [("b", "x")] * 7 + [("b", "y")] * 11,
     [("a", "x")] * 12 + [("b", "y")] * 11,
