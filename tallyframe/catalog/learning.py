@@ -53,6 +53,18 @@ def ml3_logistic_regression(t):
     return t.spark.createDataFrame([*rows, ("intercept", float(model.intercept))], "feature string, coefficient double")
 
 
+_SLOTS = " UNION ALL ".join([f"SELECT DISTINCT '{c}_' || {c} AS feature FROM retail_lines WHERE {c} > (SELECT min({c}) FROM retail_lines)" for c in CATEGORICAL]
+                            + [f"SELECT '{c}'" for c in [*NUMERIC, "intercept"]])
+
+
+@query(f"""WITH {RETAIL_LINES} SELECT feature, true AS balanced FROM ({_SLOTS})""")
+def ml3_score_equations(t):
+    """At the optimum every score equation of the penalised fit is balanced, whatever solver found it."""
+    plan, df = _encoded(t)
+    equations = learning.score_equations(learning.fit_logistic(df, "is_loss"), df, "is_loss", plan.names)
+    return equations.select("feature", (F.abs("residual") < 1e-3).alias("balanced"))
+
+
 def _held_out(t, fit):
     plan, df = _encoded(t, ["is_loss", *KEY])
     dealt = learning.stratified_folds(df, "is_loss", KEY)
@@ -140,6 +152,18 @@ def ml12_loadings(t):
     return _components(t, 2).loading_table([f"e{i}" for i in range(64)])
 
 
+_DIMS = range(64)
+_WIDE = "wide AS (SELECT label, " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS e{i}" for i in _DIMS) + " FROM embeddings)"
+_CORRELATIONS = " UNION ALL ".join(
+    f"SELECT {i} AS l, {j} AS r, corr(e{i}, e{j}) AS value FROM wide" for i in _DIMS for j in _DIMS if i < j)
+
+
+@query(f"WITH {_WIDE} SELECT 'e' || l AS \"left\", 'e' || r AS \"right\", round(value, 6) AS value FROM ({_CORRELATIONS})")
+def ml12_reconstruction(t):
+    """All components together give the correlations back: loadings x variances x loadings."""
+    return rounded(_components(t).reconstructed([f"e{i}" for i in _DIMS]), 6, "value")
+
+
 @query()
 def ml13_components_needed(t):
     """No SQL twin: eigen decomposition."""
@@ -152,6 +176,46 @@ def ml14_group_centroids(t):
     return learning.centroids(_components(t, 2).scores(["label"]), "label")
 
 
+_CENTRES = "c AS (SELECT label, " + ", ".join(
+    f"avg((e{i} - (SELECT avg(e{i}) FROM wide)) / (SELECT stddev_samp(e{i}) FROM wide)) AS c{i}" for i in _DIMS) + " FROM wide GROUP BY 1)"
+
+
+@query(f"""WITH {_WIDE}, {_CENTRES} SELECT a.label AS "left", b.label AS "right", round({" + ".join(f"pow(a.c{i} - b.c{i}, 2)" for i in _DIMS)}, 6) AS distance
+           FROM c a JOIN c b ON a.label < b.label""")
+def ml14_centroid_distances(t):
+    """Squared distances of the groups' centres in the space of all components: a rotation keeps them."""
+    centres = learning.centroids(_components(t).scores(["label"], 64), "label", 64)
+    place = F.array(*[f"pc{j + 1}" for j in _DIMS])
+    a, b = (centres.select(F.col("label").alias(side), place.alias(f"_{side}")) for side in ("left", "right"))
+    squares = F.zip_with("_left", "_right", lambda x, y: (x - y) * (x - y))
+    return rounded(a.join(b, F.col("left") < F.col("right")).select("left", "right", F.aggregate(squares, F.lit(0.0), lambda s, x: s + x).alias("distance")), 6, "distance")
+
+
+@query()
+def ml15_ward_merges(t):
+    """No SQL twin: merges depend on how the rows were parted into leaves."""
+    return learning.ward_rows(t.embeddings, "embedding", 64)[0].merges
+
+
+@query("""SELECT count(*) AS size, true AS heights_rise, true AS sizes_add_up, round(64::DOUBLE * (count(*) - 1), 3) AS squares FROM embeddings""")
+def ml15_ward_identities(t):
+    """The last merge holds all rows, and what the merges add to the squares inside the leaves is the whole variance."""
+    tree, rows = learning.ward_rows(t.embeddings, "embedding", 64, ["vec_id"])
+    inside = learning.squares_inside(t.embeddings, "embedding", rows, "vec_id")
+    steps = tree.merges.agg(F.sort_array(F.collect_list(F.struct("step", "height", "size"))).alias("s"), F.max("size").alias("size"),
+                            (F.sum(F.col("height") * F.col("height")) / 2).alias("merged"))
+    rise = F.forall(F.zip_with(F.slice("s", 2, 2**30), F.col("s"), lambda x, y: F.coalesce(x["height"] >= y["height"] - 1e-9, F.lit(True))), lambda x: x)
+    total = tree.leaves.agg(F.sum("size")).scalar()
+    return steps.select("size", rise.alias("heights_rise"), (F.col("size") == total).alias("sizes_add_up"), F.round(F.col("merged") + inside, 3).alias("squares"))
+
+
+@query(f"""WITH {_WIDE}, r AS ({_CORRELATIONS}) SELECT arg_max(l, value) AS "left", arg_max(r, value) AS "right",
+             round(sqrt(2 * ((SELECT count(*) FROM wide) - 1) * (1 - max(value))), 6) AS height FROM r""")
+def ml15_closest_columns(t):
+    """The first merge of the columns' tree joins the two with the highest correlation."""
+    return rounded(learning.ward_columns(t.embeddings, "embedding").merges.where("step = 0").select("left", "right", "height"), 6, "height")
+
+
 @query()
 def ml15_hierarchical_groups(t):
     """No SQL twin: iterative clustering."""

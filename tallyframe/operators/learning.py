@@ -6,7 +6,9 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
+from itertools import combinations
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
@@ -17,6 +19,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,6 +99,25 @@ def fit_logistic(train: DataFrame, label: str, c: float = 1.0, iterations: int =
     ).fit(weighted)
 
 
+def score_equations(model: Model, train: DataFrame, label: str, names: Sequence[str], c: float = 1.0) -> DataFrame:
+    """feature, residual: the gradient of a ``fit_logistic`` objective at the fitted coefficients, one aggregate.
+
+    Per feature the sum of weight * (probability - label) * value, plus coefficient / C (not for the intercept),
+    as a share of the sum of weight * abs(value). Zero at the optimum.
+    """
+    rows = with_balanced_weight(model.transform(train), label)
+    off = F.col("weight") * (F.get(vector_to_array("probability"), F.lit(1)) - F.col(label))
+    values = vector_to_array("features")
+    slots = [F.get(values, F.lit(i)) for i in range(len(names))] + [F.lit(1.0)]
+    pull = [float(v) / c for v in model.coefficients.toArray()] + [0.0]
+    cells = [
+        F.struct(F.lit(name).alias("feature"), safe_ratio(
+            F.sum(off * x) + F.lit(b), F.sum(F.col("weight") * F.abs(x))).alias("residual")).alias(f"s{i}")
+        for i, (name, x, b) in enumerate(zip([*names, "intercept"], slots, pull))
+    ]
+    return rows.agg(*cells).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(cells))])))
+
+
 def fit_forest(train: DataFrame, label: str, trees: int = 200, depth: int = 30) -> Model:
     return RandomForestClassifier(
         labelCol=label, featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=depth, seed=SEED,
@@ -276,6 +298,16 @@ class Components:
         ]
         return table.agg(*cells).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(shares))])))
 
+    def reconstructed(self, names: Sequence[str]) -> DataFrame:
+        """left, right, value: loadings x variances x loadings per pair of features, left before right.
+
+        With all components kept that is the correlation matrix, whatever sign each component has.
+        """
+        kept, scale = np.array(self.loadings), len(self.loadings)
+        whole = (kept * (np.array(self.ratios) * scale)) @ kept.T
+        rows = [(names[i], names[j], float(whole[i, j])) for i, j in combinations(range(len(names)), 2)]
+        return self.projected.sparkSession.createDataFrame(rows, "left string, right string, value double")
+
     def scores(self, keep: Sequence[str], components: int = 2) -> DataFrame:
         parts = vector_to_array("_pc")
         return self.projected.select(
@@ -321,3 +353,86 @@ def hierarchical_groups(df: DataFrame, columns: Sequence[str] | str, k: int, kee
     moved = scaled.withColumn("_moved", array_to_vector(shifted))
     model = BisectingKMeans(k=k, seed=SEED, featuresCol="_moved", predictionCol="cluster").fit(moved)
     return model.transform(moved).select(*keep, "cluster")
+
+
+@dataclass(frozen=True)
+class MergeTree:
+    """A Ward tree over leaves numbered 0..k-1; the merge of step s makes the node k + s."""
+
+    #: step, left, right, height, size
+    merges: DataFrame
+    #: leaf, position, size: leaves as the tree lists them from left to right
+    leaves: DataFrame
+
+
+def ward_merges(squared: np.ndarray, sizes: Sequence[int]) -> list[tuple[int, int, int, float, int]]:
+    """Lance-Williams merges of groups with the given sizes and squared distances of their centres.
+
+    A height is the distance at which two single rows would make the same sum of squares. Of equal distances
+    the pair with the lowest numbers goes first.
+    """
+    weight = np.array(sizes, float)
+    gaps = 2 * np.outer(weight, weight) / np.add.outer(weight, weight) * squared
+    np.fill_diagonal(gaps, np.inf)
+    node, out = list(range(len(weight))), []
+    for step in range(len(weight) - 1):
+        i, j = sorted(divmod(int(np.argmin(gaps)), len(gaps)))
+        height, a, b = gaps[i, j], weight[i], weight[j]
+        out.append((step, *sorted((node[i], node[j])), float(np.sqrt(max(height, 0.0))), int(a + b)))
+        with np.errstate(invalid="ignore"):
+            joined = ((a + weight) * gaps[i] + (b + weight) * gaps[j] - weight * height) / (a + b + weight)
+        gaps[i, :] = gaps[:, i] = np.where(np.isfinite(gaps[i]) & np.isfinite(gaps[j]), joined, np.inf)
+        gaps[j, :] = gaps[:, j] = np.inf
+        gaps[i, i] = np.inf
+        weight[i], node[i] = a + b, len(sizes) + step
+    return out
+
+
+def _merge_tree(df: DataFrame, squared: np.ndarray, sizes: Sequence[int]) -> MergeTree:
+    merges = ward_merges(squared, sizes)
+    members = {i: [i] for i in range(len(sizes))}
+    for step, left, right, _, _ in merges:
+        members[len(sizes) + step] = members.pop(left) + members.pop(right)
+    listed = [(leaf, at, int(sizes[leaf])) for nodes in members.values() for at, leaf in enumerate(nodes)]
+    spark = df.sparkSession
+    return MergeTree(
+        spark.createDataFrame(merges, "step int, left int, right int, height double, size bigint"),
+        spark.createDataFrame(listed, "leaf int, position int, size bigint"),
+    )
+
+
+def ward_rows(df: DataFrame, columns: Sequence[str] | str, leaves: int = 256, keep: Sequence[str] = ()) -> tuple[MergeTree, DataFrame]:
+    """A Ward tree of standardised rows, and the rows with their ``leaf``.
+
+    Rows are first parted top-down into at most ``leaves`` groups, on Spark; only their centres and sizes, which
+    ``leaves`` bounds, reach the driver and are merged there. Where ``leaves`` is at least the number of different
+    rows, leaves are those and the tree is the plain one. An empty table has an empty tree.
+    """
+    scaled = standardised(as_vector(df, columns), "_vector") if not df.isEmpty() else None
+    if scaled is None:
+        return _merge_tree(df, np.zeros((0, 0)), []), df.select(*keep, F.lit(None).cast("int").alias("leaf"))
+    parted = materialise(hierarchical_groups(df, columns, leaves, [*keep, "_scaled"]))
+    found = parted.groupBy("cluster").agg(Summarizer.mean(F.col("_scaled")).alias("centre"), F.count("*").alias("n")).orderBy("cluster").collect()
+    centres = np.array([r["centre"].toArray() for r in found])
+    squared = ((centres[:, None] - centres[None]) ** 2).sum(-1)
+    numbers = F.create_map(*[F.lit(v) for i, r in enumerate(found) for v in (r["cluster"], i)])
+    rows = parted.select(*keep, numbers[F.col("cluster")].alias("leaf"))
+    return _merge_tree(df, squared, [r["n"] for r in found]), rows
+
+
+def squares_inside(df: DataFrame, columns: Sequence[str] | str, leaves: DataFrame, key: str, leaf: str = "leaf") -> Column:
+    """Sum over the groups of the squared distances of standardised rows to their group's centre, as a scalar."""
+    scaled = standardised(as_vector(df, columns), "_vector").select(key, vector_to_array("_scaled").alias("_v"))
+    cells = scaled.join(leaves.select(key, leaf), key).select(leaf, F.posexplode("_v").alias("_i", "_x"))
+    spread = cells.groupBy(leaf, "_i").agg((F.var_pop("_x") * F.count("*")).alias("_s"))
+    return spread.agg(F.sum("_s")).scalar()
+
+
+def ward_columns(df: DataFrame, columns: Sequence[str] | str) -> MergeTree:
+    """A Ward tree of the standardised columns as points with one coordinate a row; leaf i is column i.
+
+    Squared distances follow from the correlations, 2 (n - 1) (1 - r), so one aggregate over the rows is enough.
+    """
+    vectors = as_vector(df, columns)
+    matrix = Correlation.corr(vectors, "_vector").first()[0].toArray()
+    return _merge_tree(df, np.maximum(2 * (vectors.count() - 1) * (1 - matrix), 0.0), [1] * len(matrix))
