@@ -56,6 +56,65 @@ def split(df: DataFrame, reason: Column) -> Split:
     )
 
 
+@dataclass(frozen=True)
+class Tally:
+    """What was counted on a tagged table as it was written."""
+
+    rows: int
+    dirty: int
+    #: rows that fail each rule, in the order of the rules; a row may fail several
+    by_rule: list[int]
+
+    @property
+    def pass_rate_pct(self) -> float:
+        return round((1 - self.dirty / self.rows) * 100, 1) if self.rows else 100.0
+
+
+def unparsed(raw: str, parsed: str, key: str, shown: str | None = None) -> tuple[str, Column]:
+    """For ``write_split``: a text ``raw`` that has no value in ``parsed``, named by its row's key."""
+    return shown or raw, F.when(F.col(parsed).isNull(), F.struct(F.col(key).cast("string"), F.col(raw).cast("string")))
+
+
+def write_split(
+    df: DataFrame, rules: Sequence[Rule], reason: Column, folder: str, checks: Sequence[Rule] = (),
+    refuse: Sequence[tuple[str, Column]] = (), drop: Sequence[str] = (), label: str = "table",
+) -> tuple[Split, Tally]:
+    """Tag, check and write ``df`` in one scan; split and counts are read back from ``folder``, which must be new.
+
+    What each rule says is written beside the rows as flags, so the counts read a few bits a row of the written
+    files, and a lost task cannot count twice. (Observed metrics would save that too, but a session that has used
+    them cannot serialise Spark ML models any more.) ``refuse`` names texts that cannot be parsed (``unparsed``): the
+    least of them raises a ValueError. ``checks`` are what no clean row may break: an AssertionError tells how many
+    do. Both come after the write, whose folder is then left behind. A warning is given when nothing is dirty.
+    ``drop`` columns are not written. Rules that need figures of the whole table (a z-score) read it once more.
+    """
+    hits = {f"_hit{i}": r.hit() for i, r in enumerate(rules)}
+    broken = {f"_broken{i}": r.hit() for i, r in enumerate(checks)}
+    wrong = {f"_wrong{i}": c for i, (_, c) in enumerate(refuse)}
+    tagged = df.withColumn("reason", reason).withColumns({"_dirty": F.col("reason").isNotNull(), **hits, **broken, **wrong})
+    clean = ~F.col("_dirty")
+    written = tagged.drop(*drop)
+    written.write.partitionBy("_dirty").parquet(folder)
+    # the schema is given: an empty table has no file to take it from
+    back = df.sparkSession.read.schema(written.schema).parquet(folder)
+    got = back.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.count_if("_dirty"), F.lit(0)).alias("dirty"),
+        *[F.count_if(h).alias(h) for h in hits], *[F.count_if(F.col(b) & clean).alias(b) for b in broken],
+        *[F.min(w).alias(w) for w in wrong],
+    ).first()
+    for i, (raw, _) in enumerate(refuse):
+        if got[f"_wrong{i}"] is not None:
+            raise ValueError(f"cannot parse {raw} in row {got[f'_wrong{i}'][0]}: {got[f'_wrong{i}'][1]!r}")
+    failed = [f"{got[f'_broken{i}']} row(s): {r.reason}" for i, r in enumerate(checks) if got[f"_broken{i}"]]
+    if failed:
+        raise AssertionError("; ".join(failed))
+    if not got["dirty"]:
+        warnings.warn(f"{label}: no dirty row found, check the rules", stacklevel=2)
+    helpers = ["_dirty", *hits, *broken, *wrong]
+    parts = Split(back.where(clean).drop("reason", *helpers), back.where("_dirty").drop(*helpers))
+    return parts, Tally(got["rows"], got["dirty"], [got[h] for h in hits])
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 

@@ -10,7 +10,18 @@ from ..functions.dates import days_between, parse_utc, weekday_number
 from ..functions.numbers import flag
 from ..operators import distribution, grouping, inference, timeline, topk
 from ..operators.ordering import exact_quantiles, known, quantile_labels
-from ..operators.quality import Rule, Split, first_reason, require_parsed, split, warn_when_nothing_dirty
+from ..operators.quality import (
+    Rule,
+    Split,
+    Tally,
+    first_reason,
+    require_parsed,
+    split,
+    unparsed,
+    warn_when_nothing_dirty,
+    write_split,
+)
+from ..session import fresh_folder
 from ..sources.readers import read_csv
 from ..sources.writers import raw_then_derived, write_csv, write_parquet
 
@@ -37,14 +48,21 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, SCHEMA, expected=COLUMNS)
 
 
+TIMES = (("ScheduledDay", "scheduled_dt"), ("AppointmentDay", "appointment_dt"))
+
+
+def with_times(df: DataFrame) -> DataFrame:
+    """Both times in UTC and the days between them; a text that is no time becomes null."""
+    parsed = df.withColumns({moment: parse_utc(F.col(raw)) for raw, moment in TIMES})
+    return parsed.withColumn("lead_days", days_between(F.col("appointment_dt"), F.col("scheduled_dt")))
+
+
 def parse(df: DataFrame) -> DataFrame:
-    """Both times in UTC and the days between them; raises on the first text that is no time."""
-    parsed = df.withColumns({
-        "scheduled_dt": parse_utc(F.col("ScheduledDay")), "appointment_dt": parse_utc(F.col("AppointmentDay")),
-    })
-    for raw, moment in (("ScheduledDay", "scheduled_dt"), ("AppointmentDay", "appointment_dt")):
+    """``with_times``; raises on the first text that is no time."""
+    parsed = with_times(df)
+    for raw, moment in TIMES:
         require_parsed(parsed.where(F.col(raw).isNotNull()), raw, moment, "AppointmentID")
-    return parsed.withColumn("lead_days", days_between(F.col("appointment_dt"), F.col("scheduled_dt")))
+    return parsed
 
 
 def rules() -> list[Rule]:
@@ -61,6 +79,12 @@ def clean(df: DataFrame) -> Split:
     return parts
 
 
+def write_clean(df: DataFrame, folder: str) -> tuple[Split, Tally]:
+    """Times, rules and counts of the raw table in one scan of it; raises on a text that is no time."""
+    wrong = [(raw, F.when(F.col(raw).isNotNull(), bad)) for raw, bad in (unparsed(raw, moment, "AppointmentID") for raw, moment in TIMES)]
+    return write_split(with_times(df), rules(), first_reason(rules()), folder, refuse=wrong, label="appointments")
+
+
 def derive(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "noshow_flag": flag(F.col("No-show") == "Yes"),
@@ -202,8 +226,8 @@ def summary(df: DataFrame, min_visits: int = 50) -> DataFrame:
 
 
 def run(spark: SparkSession, path: str, out: str) -> dict[str, str]:
-    """CSV in; dirty rows, clean rows (also as Parquet, which the summary reads) and the summary out."""
-    parts = clean(parse(read(spark, path)))
+    """CSV in, scanned once; dirty rows, clean rows (also as Parquet, which the summary reads) and the summary out."""
+    parts, _ = write_clean(read(spark, path), fresh_folder(spark, "appointments"))
     typed = write_parquet(raw_then_derived(derive(parts.clean), COLUMNS, DERIVED), f"{out}/clean_parquet")
     kept = spark.read.parquet(typed)
     return {

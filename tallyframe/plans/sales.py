@@ -10,12 +10,16 @@ from ..operators import grouping, reshape, timeline, topk
 from ..operators.quality import (
     Rule,
     Split,
+    Tally,
     all_reasons,
     ensure_clean,
     require_parsed,
     split,
     total_mismatch,
+    unparsed,
+    write_split,
 )
+from ..session import fresh_folder
 from ..sources.readers import read_csv
 from ..sources.writers import write_csv, write_parquet
 
@@ -63,13 +67,25 @@ def derive(df: DataFrame) -> DataFrame:
     })
 
 
-def check(df: DataFrame, limit: int = QUANTITY_LIMIT) -> None:
-    """Post-clean checks; here a null price or quantity breaks the check as well."""
-    ensure_clean(df, [
+def checks(limit: int = QUANTITY_LIMIT) -> list[Rule]:
+    """What no clean row may break; here a null price or quantity breaks the check as well."""
+    return [
         Rule("negative unit_price", ~F.coalesce(F.col("unit_price") >= 0, F.lit(False))),
         Rule("quantity over the limit", ~F.coalesce(F.col("quantity") <= limit, F.lit(False))),
         *rules(limit)[2:], Rule("no date", F.col("date").isNull()),
-    ])
+    ]
+
+
+def check(df: DataFrame, limit: int = QUANTITY_LIMIT) -> None:
+    ensure_clean(df, checks(limit))
+
+
+def write_clean(df: DataFrame, folder: str, limit: int = QUANTITY_LIMIT) -> tuple[Split, Tally]:
+    """Dates, rules, counts and post-clean checks of the raw table in one scan of it."""
+    dated = df.withColumns({"_text": F.col("date"), "date": parse_mixed_date(F.col("date"))})
+    return write_split(
+        dated, rules(limit), all_reasons(rules(limit)), folder, checks(limit),
+        [unparsed("_text", "date", "order_id", "date")], ["_text"], "sales")
 
 
 def revenue_by(df: DataFrame, column: str) -> DataFrame:
@@ -180,11 +196,10 @@ def status_facts(df: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, path: str, out: str) -> dict[str, str]:
-    """CSV in; dirty rows, clean rows (also as Parquet, which the later tables read) and summary out."""
-    parts = clean(with_dates(read(spark, path)))
+    """CSV in, scanned once; dirty rows, clean rows (also as Parquet, which the later tables read) and summary out."""
+    parts, _ = write_clean(read(spark, path), fresh_folder(spark, "sales"))
     typed = write_parquet(derive(parts.clean), f"{out}/clean_parquet")
     kept = spark.read.parquet(typed)
-    check(kept)
     return {
         "dirty": write_csv(parts.dirty, f"{out}/dirty"), "clean": write_csv(kept, f"{out}/clean"),
         "typed": typed, "summary": write_csv(summary_stats(kept), f"{out}/summary_stats"),

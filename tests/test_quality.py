@@ -1,3 +1,5 @@
+import shutil
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +118,33 @@ def test_id_like_columns_are_left_out(spark):
 def test_pass_rate_rounds_half_to_even(spark):
     tagged = spark.range(16).selectExpr("if(id < 3, 'bad', null) AS reason")
     assert quality.pass_rate(tagged).first()["pass_rate_pct"] == 81.2
+
+
+def test_write_split_counts_in_one_scan(spark, tmp_path):
+    """The counts equal those of plain passes, and nothing reads the raw table after the write."""
+    raw = str(tmp_path / "raw")
+    frame = spark.range(1000).select("id", F.when(F.col("id") % 10 != 3, F.col("id") % 7).alias("v"), F.col("id").cast("string").alias("text"))
+    frame.repartition(4).write.parquet(raw)
+    rules = [Rule("small", F.col("v") < 2), Rule("odd", F.col("v") % 2 == 1)]
+    df = spark.read.parquet(raw).withColumn("number", F.expr("try_cast(text AS int)"))
+    parts, tally = quality.write_split(
+        df, rules, quality.all_reasons(rules), str(tmp_path / "split"), [Rule("two", F.col("v") == 1)], [quality.unparsed("text", "number", "id")], ["text"])
+    want = quality.split(df.drop("text"), quality.all_reasons(rules))
+    dirty, clean = want.dirty.collect(), want.clean.collect()
+    shutil.rmtree(raw)
+    assert sorted(parts.dirty.collect()) == sorted(dirty) and sorted(map(str, parts.clean.collect())) == sorted(map(str, clean))
+    assert (tally.rows, tally.dirty) == (1000, len(dirty)) and tally.pass_rate_pct == round(100 - len(dirty) / 10, 1)
+    assert tally.by_rule == [sum(r["v"] < 2 for r in dirty), sum(r["v"] % 2 == 1 for r in dirty)]
+
+
+def test_write_split_refuses(spark, tmp_path):
+    df = spark.createDataFrame([(1, "7", 7), (3, "x", None), (2, "y", None)], "id int, text string, number int")
+    none = [Rule("never", F.lit(False))]
+    with pytest.raises(ValueError, match="cannot parse text in row 2: 'y'"):
+        quality.write_split(df, none, quality.first_reason(none), str(tmp_path / "a"), refuse=[quality.unparsed("text", "number", "id")])
+    with pytest.raises(AssertionError, match=r"2 row\(s\): no number"):
+        quality.write_split(df, none, quality.first_reason(none), str(tmp_path / "b"), [Rule("no number", F.col("number").isNull())])
+    with pytest.warns(UserWarning, match="visits: no dirty row"):
+        parts, tally = quality.write_split(df.limit(0), none, quality.first_reason(none), str(tmp_path / "c"), label="visits")
+    assert parts.clean.collect() == parts.dirty.collect() == [] and parts.clean.columns == df.columns
+    assert (tally.rows, tally.by_rule, tally.pass_rate_pct) == (0, [0], 100.0)
