@@ -5,7 +5,7 @@ figure and votes both ways on it: +1 (good) on its usual side, -1 (bad) far from
 rule has settled the documents that fail it, so the model is that of the others: they are counted by their vote
 pattern, at most 3^rules rows whatever the data. On those counts expectation-maximisation runs inside one expression.
 The model is the share of good documents and, for each rule and class, how often it votes good when it votes; an
-abstention tells nothing. The first guess doubts documents with a bad vote. No accuracy is bounded: a rule whose bad
+abstention tells nothing. The first guess is the share of good among a document's votes. No accuracy is bounded: a rule whose bad
 votes stand alone is found to be wrong and loses its say, rules that confirm each other gain it. A document's
 posterior follows from its own votes; it is kept at ``KEEP`` or more.
 
@@ -28,8 +28,6 @@ from .common import column, cut, unused
 SYMBOLS = "#*$%&|<>"
 KEEP = 0.5
 ROUNDS = 25
-#: First posterior of a document with a bad vote, and of any other.
-DOUBTED, TRUSTED = 0.1, 0.95
 #: Added to each count, as if so many more documents had voted that way.
 SMOOTH = 1.0
 _BLANK = r"\x20\x09-\x0D"
@@ -163,7 +161,8 @@ def fit(patterns: DataFrame, rules: int, rounds: int = ROUNDS) -> Column:
         return _bind(_estimate(rows, rules), lambda m: F.transform(rows, lambda x: row(x, posterior(x["v"], m, rules))))
 
     counts = patterns.agg(F.sort_array(F.collect_list(F.struct(F.col("votes").alias("v"), F.col("n").cast("double").alias("n")))).alias("rows"))
-    first = F.transform("rows", lambda x: row(x, F.when(F.array_contains(x["v"], -1), F.lit(DOUBTED)).otherwise(F.lit(TRUSTED))))
+    cast = lambda v, vote: F.size(F.filter(v, lambda y: y == vote))
+    first = F.transform("rows", lambda x: row(x, (cast(x["v"], 1) + 1) / (cast(x["v"], 1) + cast(x["v"], -1) + 2)))
     started = counts.select(first.alias("rows"))
     return started.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.col("rows"), step, lambda rows: _estimate(rows, rules)).alias("model")).scalar()
 
