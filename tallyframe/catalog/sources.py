@@ -139,6 +139,21 @@ def io13_nested_messages(t):
     )
 
 
+@query("""SELECT conv_id, min(turn) AS start, CAST(count(*) AS INTEGER) AS n_messages,
+                 arg_min(text, turn) AS first_content, arg_max(text, turn) AS last_content
+          FROM conversations GROUP BY conv_id""")
+def io13_written_sessions(t):
+    """The same records, written message by message and read back."""
+    path = writers.write_sessions(t.conversations, "conv_id", "turn", "role", "text", fresh_folder(t.spark, "io13w"))
+    back = t.spark.read.schema(
+        "conv_id bigint, start bigint, messages array<struct<type: string, turn: bigint, content: string>>").json(path)
+    return back.select(
+        "conv_id", "start", F.size("messages").alias("n_messages"),
+        F.get("messages", F.lit(0))["content"].alias("first_content"),
+        F.element_at("messages", -1)["content"].alias("last_content"),
+    )
+
+
 @query("""SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS position
           FROM conversations""")
 def io13_session_messages(t):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import read_csv
-from ..sources.writers import sessions_as_messages
+from ..sources.writers import sessions_as_messages, write_sessions
 
 # fixed values: the columns of a session log, in file order
 LOG_COLUMNS = [
@@ -43,6 +43,11 @@ def conversations(logs: DataFrame) -> DataFrame:
     return nested.withColumnRenamed("start", "start_time")
 
 
+def write_conversations(logs: DataFrame, path: str) -> str:
+    """The records of ``conversations`` as JSON lines; a session of any length is written message by message."""
+    return write_sessions(user_messages(logs), "session_id", "timestamp", "role", "text", path, start="start_time")
+
+
 def session_totals(logs: DataFrame) -> DataFrame:
     return logs.groupBy("session_id").agg(
         F.count("*").alias("events"), F.count_if(F.col("event_type") == "USER_MESSAGE").alias("messages"),

@@ -74,6 +74,23 @@ def test_sessions_come_whole_or_in_pages(spark):
     assert flat.where("position = turn + 1").count() == 2000
 
 
+def test_written_sessions_equal_the_collected_ones(spark):
+    """Hot, null and one-message sessions, ties, nulls in every column, quotes and line breaks."""
+    turns = spark.range(3000).select(
+        F.when(F.col("id") < 1500, "hot").when(F.col("id") < 1600, None).otherwise((F.col("id") % 700).cast("string")).alias("s"),
+        F.when(F.col("id") % 11 > 0, F.col("id") % 97).alias("at"), F.when(F.col("id") % 5 > 0, "user").alias("role"),
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit('said "x",\n\\ é '), "id")).alias("text"), F.lit(1).alias("_order")).repartition(6)
+    turns = turns.unionByName(turns.where("s = '3'")).unionByName(
+        spark.createDataFrame([("lone", None, None, None, 1)], turns.schema))
+    want = writers.sessions_as_messages(turns, "s", "at", "role", "text")
+    path = writers.write_sessions(turns, "s", "at", "role", "text", fresh_folder(spark, "ws"))
+    back = spark.read.schema(want.schema).json(path)
+    assert back.count() == want.count()
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, want.collect()))
+    empty = writers.write_sessions(turns.limit(0), "s", "at", "role", "text", fresh_folder(spark, "ws"))
+    assert spark.read.schema(want.schema).json(empty).count() == 0
+
+
 def test_session_logs(spark, tmp_path):
     header = ",".join(sessions.LOG_COLUMNS)
     line = lambda **kw: ",".join(kw.get(c, "") for c in sessions.LOG_COLUMNS)
@@ -87,6 +104,8 @@ def test_session_logs(spark, tmp_path):
     assert [r["session_id"] for r in out] == ["s1", "s2"]
     assert [m["content"] for m in out[0]["messages"]] == ["first", "two\nlines"]
     assert out[0]["start_time"] == "2026-01-01T00:00:01"
+    path = sessions.write_conversations(logs, fresh_folder(spark, "logs"))
+    assert spark.read.schema(sessions.conversations(logs).schema).json(path).orderBy("session_id").collect() == out
     assert sessions.session_totals(logs).where("events = 3 and messages = 2").count() == 2
 
 
