@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import inference, timeline
-from ..plans import web
+from ..plans import retail, web
 from .frames import RETAIL_LINES, WEB_SESSIONS, retail_lines, rounded, web_sessions
 from .registry import query
 
@@ -50,6 +50,26 @@ def f6_significant_targets(t):
         inference.kruskal(t.lineitem.withColumn("size", F.expr(_SIZE)), _KW, "size"))
 
 
+_PROFIT_GROUPS = {"Category": _SIZE, "Region": "l_returnflag", "Segment": "concat('s', l_linenumber % 3)"}
+
+
+@query(f"""WITH {RETAIL_LINES}, g AS (SELECT profit AS v, unnest(['Category', 'Region', 'Segment']) AS target,
+             unnest([{', '.join(_PROFIT_GROUPS.values())}]) AS grp FROM retail_base),
+           ties AS (SELECT target, v, count(*) AS t FROM g GROUP BY 1, 2),
+           ranks AS (SELECT target, v, sum(t) OVER (PARTITION BY target ORDER BY v) - (t - 1) / 2 AS rk FROM ties),
+           tie_sums AS (SELECT target, sum(t) AS n, sum(pow(t, 3) - t) AS ts FROM ties GROUP BY 1),
+           s AS (SELECT target, grp, sum(rk) AS r, count(*) AS m FROM g JOIN ranks USING (target, v) GROUP BY 1, 2),
+           h AS (SELECT target, (12.0 / (n * (n + 1.0)) * sum(r * r / m) - 3 * (n + 1)) / (1 - ts / (pow(n, 3) - n)) AS h
+                 FROM s JOIN tie_sums USING (target) GROUP BY target, n, ts)
+           SELECT coalesce(string_agg(target, ', ' ORDER BY target) FILTER (WHERE exp(-h / 2) < 0.05), '') AS differs_by,
+                  coalesce(string_agg(target, ', ' ORDER BY target) FILTER (WHERE exp(-h / 2) >= 0.05), '') AS same_by FROM h""")
+def f5_profit_verdict(t):
+    """Three groupings of three groups each, so that the tail of the test statistic is exp(-h / 2)."""
+    lines = retail_lines(t, parts=False).withColumns({c: F.expr(e) for c, e in _PROFIT_GROUPS.items()})
+    results = retail.tests(lines.withColumns({"Profit": F.col("profit"), "Ship Mode": F.col("l_linestatus")}))
+    return retail.profit_verdict(results)
+
+
 def _chi(source: str, a: str, b: str, yates: str, dof: str, p: str) -> str:
     return f"""WITH o AS ({source}), c AS (SELECT {a} AS a, {b} AS b, count(*) AS o FROM o GROUP BY 1, 2),
       r AS (SELECT a, sum(o) AS ro FROM c GROUP BY 1), k AS (SELECT b, sum(o) AS co FROM c GROUP BY 1), n AS (SELECT sum(o) AS n FROM c),
@@ -175,6 +195,15 @@ def st11_seasonal_decomposition(t):
     return rounded(out, 6, "trend", "seasonal", "residual")
 
 
+@query()
+def st11_loess_decomposition(t):
+    """No SQL twin: fifteen rounds of local regression; held against plain loops in the tests."""
+    months = timeline.resample(
+        t.orders, "o_orderdate", "month", {"v": F.sum("o_totalprice")}, ["v"], by=["o_orderpriority", "o_orderstatus"])
+    out = timeline.decompose_loess(months, "v", by=["o_orderpriority", "o_orderstatus"])
+    return rounded(out, 2, "observed", "trend", "seasonal", "residual")
+
+
 _CHOSEN = ", ".join(f"range(1, 26) AS {x}(i)" for x in "abcde")
 
 

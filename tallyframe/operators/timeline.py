@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.bins import cut
 from ..functions.dates import month_key, week_ending_sunday
@@ -154,3 +157,84 @@ def decompose_monthly(series: DataFrame, value: str, by: Sequence[str] = (), cyc
         *by, "period", F.col(value).alias("observed"), "trend", seasonal.alias("seasonal"),
         (F.col("_detrended") - seasonal).alias("residual"),
     )
+
+
+def _local_lines(values: np.ndarray, span: int, at: np.ndarray, trust: np.ndarray) -> np.ndarray:
+    """Loess of degree one over evenly spaced values: a weighted line through the ``span`` nearest points of each place.
+
+    Tricube weights times ``trust``. Where no point has weight, the nearest value. A span longer than the series
+    takes all points with the bandwidth widened by half of what is missing.
+    """
+    n, near = len(values), min(span, len(values))
+    left = np.clip(np.floor(at).astype(int) - (span - 1) // 2, 0, n - near)
+    place = left[:, None] + np.arange(near)
+    reach = np.maximum(at - left, left + near - 1 - at) + max(0, span - n) // 2
+    gap = np.abs(place - at[:, None]) / np.maximum(reach, 1e-12)[:, None]
+    weight = np.where(gap < 1, (1 - gap**3) ** 3, 0.0) * trust[place]
+    mass = weight.sum(1)
+    share = weight / np.where(mass > 0, mass, 1.0)[:, None]
+    centre = (share * place).sum(1)
+    spread = (share * (place - centre[:, None]) ** 2).sum(1)
+    slope = np.where(spread > 1e-6 * max(n - 1, 1) ** 2, (at - centre) / np.where(spread > 0, spread, 1.0), 0.0)
+    fitted = (share * (1 + slope[:, None] * (place - centre[:, None])) * values[place]).sum(1)
+    return np.where(mass > 0, fitted, values[np.clip(np.rint(at).astype(int), 0, n - 1)])
+
+
+def _moving_mean(values: np.ndarray, width: int) -> np.ndarray:
+    return np.convolve(values, np.full(width, 1 / width), "valid")
+
+
+def _odd_from(x: float) -> int:
+    whole = int(np.ceil(x))
+    return whole + 1 - whole % 2
+
+
+def _seasonal_and_trend(values: np.ndarray, cycle: int, span: int, rounds: int, passes: int) -> tuple[np.ndarray, np.ndarray]:
+    n, places = len(values), np.arange(len(values), dtype=float)
+    trend_span, low_span = _odd_from(1.5 * cycle / (1 - 1.5 / span)), _odd_from(cycle + 1)
+    seasonal, trend, trust, even = np.zeros(n), np.zeros(n), np.ones(n), np.ones(n)
+    for turn in range(rounds + 1):
+        for _ in range(passes):
+            rest, phases = values - trend, np.zeros(n + 2 * cycle)
+            for phase in range(cycle):  # each smoothed on its own and carried one cycle beyond both ends
+                own = rest[phase::cycle]
+                phases[phase::cycle] = _local_lines(own, span, np.arange(-1.0, len(own) + 1), trust[phase::cycle])
+            low = _moving_mean(_moving_mean(_moving_mean(phases, cycle), cycle), 3)
+            seasonal = phases[cycle:-cycle] - _local_lines(low, low_span, places, even)
+            trend = _local_lines(values - seasonal, trend_span, places, trust)
+        if turn < rounds:
+            off = np.abs(values - seasonal - trend)
+            bound = 6 * np.median(off)
+            trust = np.clip(1 - (off / bound) ** 2, 0, None) ** 2 if bound > 0 else even
+    return seasonal, trend
+
+
+def decompose_loess(
+    series: DataFrame, value: str, by: Sequence[str] = (), cycle: int = 12, span: int = 7, robust: bool = True,
+    label: str = "period",
+) -> DataFrame:
+    """Seasonal and trend decomposition by local regression (STL) of gap-free series, one per key.
+
+    observed = trend + seasonal + residual. ``span`` (odd, 3 or more) is how many cycles a season is smoothed over. Robust
+    fits take 15 rounds of two passes, others one of five. Nulls and not-a-numbers count as zero; a series of
+    less than two cycles has null parts; equal labels keep the order of their values.
+
+    Rows are periods, not events: a task holds one key's calendar at a time, and keys are dealt over the tasks.
+    """
+    if span < 3 or span % 2 == 0 or cycle < 2:
+        raise ValueError("span is odd and 3 or more, cycle 2 or more")
+    by = list(by)
+    slim = series.select(*by, F.col(label).alias("period"), F.col(value).cast("double").alias("observed"))
+    rounds, passes = (15, 2) if robust else (0, 5)
+    out = T.StructType([*slim.schema.fields, *[T.StructField(c, T.DoubleType()) for c in ("trend", "seasonal", "residual")]])
+
+    def parts(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["period", "observed"], ignore_index=True)
+        values = np.nan_to_num(rows["observed"].to_numpy(float), posinf=0.0, neginf=0.0)
+        if len(values) < 2 * cycle:
+            return rows.assign(trend=np.nan, seasonal=np.nan, residual=np.nan)
+        seasonal, trend = _seasonal_and_trend(values, cycle, span, rounds, passes)
+        return rows.assign(observed=values, trend=trend, seasonal=seasonal, residual=values - seasonal - trend)
+
+    fitted = slim.groupBy(*by).applyInPandas(parts, out)
+    return fitted.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("trend", "seasonal", "residual")})

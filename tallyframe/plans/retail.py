@@ -21,6 +21,7 @@ from ..operators.quality import (
     split,
     warn_when_nothing_dirty,
 )
+from ..session import materialise
 from ..sources.readers import read_csv
 from ..sources.writers import write_csv, write_parquet
 
@@ -151,6 +152,14 @@ def tests(df: DataFrame) -> DataFrame:
     return reshape.stack_tables(*rows)
 
 
+def profit_verdict(results: DataFrame) -> DataFrame:
+    """differs_by, same_by: the groupings that the Kruskal-Wallis rows of ``tests`` find profit to differ by, and the others."""
+    named = results.where(F.col("test_name").startswith("Profit ~ ")).select(
+        F.substring_index("test_name", " ~ ", -1).alias("g"), (F.col("conclusion") == "significant").alias("hit"))
+    listed = lambda kind: F.array_join(F.sort_array(F.collect_list(F.when(F.col("hit") == kind, F.col("g")))), ", ")
+    return named.agg(listed(True).alias("differs_by"), listed(False).alias("same_by"))
+
+
 def breakeven(df: DataFrame) -> DataFrame:
     return distribution.breakeven_by_group(df, "Category", "Discount", "Profit")
 
@@ -176,8 +185,10 @@ def model_report(
 def findings(
     categories: DataFrame, breakevens: DataFrame, scores: DataFrame, group: str = "Category",
     item: str = "Sub-Category", focus: str = "Furniture", report: DataFrame | None = None,
+    results: DataFrame | None = None,
 ) -> DataFrame:
-    """Worst loss rate, the focus category's break-even, segment shares and, with a model report, its best model."""
+    """Worst loss rate, the focus category's break-even, segment shares; with a model report its best model, with test
+    results their verdict on profit."""
     worst = grouping.leader(categories, item, "pct_loss").select(F.struct(F.col(item).alias("item"), "pct_loss").alias("s")).scalar()
     bucket = breakevens.where(F.col(group) == focus).select("breakeven_bucket").scalar()
     out = scores.agg(
@@ -187,6 +198,9 @@ def findings(
         worst["item"].alias("worst_item"), worst["pct_loss"].alias("worst_pct_loss"),
         bucket.alias("focus_breakeven"), "champions_pct", "at_risk_pct",
     )
+    if results is not None:
+        verdict = profit_verdict(results).select(F.struct("differs_by", "same_by").alias("v")).scalar()
+        out = out.withColumns({"profit_differs_by": verdict["differs_by"], "profit_same_by": verdict["same_by"]})
     if report is None:
         return out
     best = learning.with_best(report).where("is_best").select(F.struct("model_name", "cv_auroc_mean").alias("b")).scalar()
@@ -223,11 +237,12 @@ def run(
     }
     df = spark.read.parquet(kept)
     report, categories, turns, scores = model_report(df, KEY, models, folds), category_table(df), breakeven(df), rfm(df)
+    results = materialise(tests(df))
     for label, table in {
-        "profit_by_category": categories, "statistical_tests": tests(df),
+        "profit_by_category": categories, "statistical_tests": results,
         "discount_breakeven": turns.toDF(*BREAKEVEN_HEADER), "rfm_scores": scores.toDF(*RFM_HEADER),
         "classification_report": report.select("model_name", *[F.bround(c, 4).alias(c) for c in REPORT_HEADER[1:]]),
-        "findings": findings(categories, turns, scores, report=report),
+        "findings": findings(categories, turns, scores, report=report, results=results),
     }.items():
         written[label] = write_csv(table, f"{out}/tables/{label}")
     return written
