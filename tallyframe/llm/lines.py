@@ -1,8 +1,9 @@
 """Line dedup by a deletion neighbourhood: lines equal or one edit apart are kept once, the earliest.
 
-Lines are cut at ``\\n`` and compared trimmed. Lines under ``min_chars`` characters are left alone: they are
-too short to tell apart from common ones. A line goes if an equal line, or one within ``max_edits`` (0 or 1)
+Lines are cut at ``\\n`` and compared trimmed. A line goes if an equal line, or one within ``max_edits`` (0 or 1)
 inserted, deleted or changed characters, stands earlier in the order (doc_id, text, line number), nulls last.
+Equal lines go at any length; blank ones are layout and stay. One edit counts only between lines of ``min_chars``
+characters or more, because in a shorter one it makes another word.
 
 Only DataFrame functions are used. The steps, each of them linear in the lines:
 
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import column, cut, unused
 
+#: Least length of lines that one edit may set apart; equal lines have no least length.
 MIN_CHARS = 20
 #: Rows of a few numbers that are broadcast at most, after counting them; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
@@ -44,13 +46,13 @@ def _if_few(df: DataFrame) -> DataFrame:
 
 
 def slim_lines(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """id, text_hash, line_no, digest (d1, d2) and half hashes of every line that counts."""
+    """id, text_hash, line_no, digest (d1, d2) of every line that is not blank, and half hashes from ``min_chars`` on."""
     rows = docs.select(column(docs, key).alias("id"), F.xxhash64(column(docs, text)).alias("text_hash"), F.split(column(docs, text), "\n", -1).alias("lines"))
     cut_up = rows.select("id", "text_hash", F.posexplode("lines").alias("line_no", "raw")).withColumn("line", F.btrim("raw", F.lit(_TRIM)))
-    sized = cut_up.withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
+    sized = cut_up.withColumn("n", F.length("line")).where("n > 0")
     return sized.select(
         "id", "text_hash", "line_no", F.xxhash64("line").alias("d1"), F.xxhash64(F.lit(1), F.col("line")).alias("d2"),
-        halves(F.col("line"), F.col("n")).alias("halves"),
+        F.when(F.col("n") >= min_chars, halves(F.col("line"), F.col("n"))).otherwise(F.array().cast("array<bigint>")).alias("halves"),
     )
 
 

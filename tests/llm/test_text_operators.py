@@ -165,19 +165,21 @@ def test_line_dedup(spark):
         for _ in range(rng.randint(1, 4)):
             t = rng.choice(base)
             at = rng.randrange(len(t))
-            own.append(rng.choice([t, t[:at] + t[at + 1 :], t[:at] + "z" + t[at + 1 :], t[:at] + "q" + t[at:], "short", "  " + t + " ", "a" * 30, "a" * 31, "ab" * 20]))
+            own.append(rng.choice([t, t[:at] + t[at + 1 :], t[:at] + "z" + t[at + 1 :], t[:at] + "q" + t[at:], "short", "shorn", "  " + t + " ", "a" * 30, "a" * 31, "ab" * 20]))
         rows.append((k, "\n".join(own)))
     rows += [(70, None), (71, ""), (72, "\n\n"), (None, base[0]), (73, prose(2000, rng)), (74, rows[0][1])]
     frame = spark.createDataFrame([(i, t, 1, "k") for i, t in rows], "doc_id long, text string, line_no int, first string")
     key = {t: xxhash.xxh64_intdigest(t.encode(), seed=42) for _, t in rows if t is not None}
     signed = lambda x: x - 2**64 if x >> 63 else x
     places = sorted(((i is None, i or 0, signed(key[t]), n), l.strip(" \t\r")) for i, t in rows if t is not None for n, l in enumerate(t.split("\n")))
-    places = [(p, l) for p, l in places if len(l) >= lines.MIN_CHARS]
+    places = [(p, l) for p, l in places if l]
     equal, near = defaultdict(list), defaultdict(list)
     first = {}
     for p, l in places:
         first.setdefault(l, p)
-    close = {l for l in first if any(first[m] < first[l] and l != m and one_edit(l, m) for m in first)}
+    long = [l for l in first if len(l) >= lines.MIN_CHARS]
+    close = {l for l in long if any(first[m] < first[l] and l != m and one_edit(l, m) for m in long)}
+    assert "short" in first and "shorn" in first  # equal short lines go, one edit does not join them
     for p, l in places:
         if l in close:
             near[p[:2]].append(p[3])
