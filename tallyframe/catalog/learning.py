@@ -170,6 +170,16 @@ def ml13_components_needed(t):
     return _components(t).needed()
 
 
+@query(f"""WITH {_WIDE}, r AS ({_CORRELATIONS}) SELECT 1.0::DOUBLE AS total, round((64 + 2 * sum(value * value)) / 4096, 9) AS squares, true AS least FROM r""")
+def ml13_share_identities(t):
+    """Shares add up to one, their squares to those of the correlations, and each count is the least that reaches its share."""
+    fitted = _components(t)
+    shares, ratio = fitted.variance(), F.col("explained_variance_ratio")
+    least = fitted.needed().join(shares, F.col("components") == F.col("position")).agg(F.bool_and(
+        (F.col("cumulative_variance") >= F.col("share")) & (F.col("cumulative_variance") - ratio < F.col("share")))).scalar()
+    return shares.agg(F.round(F.sum(ratio), 9).alias("total"), F.round(F.sum(ratio * ratio), 9).alias("squares")).withColumn("least", least)
+
+
 @query()
 def ml14_group_centroids(t):
     """No SQL twin: eigen decomposition."""
