@@ -173,6 +173,12 @@ def seasonality(df: DataFrame) -> DataFrame:
     return timeline.decompose_monthly(months, "sales")
 
 
+def robust_seasonality(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Monthly sales by robust local regression, per key where ``by`` names some."""
+    months = timeline.resample(df, "Order Date", "month", {"sales": F.sum("Sales")}, ["sales"], by)
+    return timeline.decompose_loess(months, "sales", by)
+
+
 def model_report(
     df: DataFrame, key: Sequence[str], models: Mapping[str, learning.Fitter] | None = None, folds: int = 5
 ) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tallyframe.operators import timeline
+from tallyframe.plans import retail
 
 
 def line_at(values, span, place, trust):
@@ -86,3 +87,12 @@ def test_season_of_a_wild_series_is_found_and_edges_are_defined(spark):
     assert alone.count() == 121
     with pytest.raises(ValueError):
         timeline.decompose_loess(frame, "v", ["k"], span=4)
+
+
+def test_monthly_sales_by_region(spark):
+    rows = [(r, dt.date(2000 + i // 12, 1 + i % 12, 1 + i % 27), 100.0 + i) for r in ("a", "b") for i in range(36) if (r, i) != ("a", 7)]
+    sales = spark.createDataFrame(rows, "Region string, `Order Date` date, Sales double")
+    got = retail.robust_seasonality(sales, ["Region"])
+    assert got.count() == 72 and got.where("observed = 0").count() == 1  # the month without sales
+    assert got.where("abs(observed - trend - seasonal - residual) > 1e-6").count() == 0
+    assert retail.robust_seasonality(sales).count() == 36
