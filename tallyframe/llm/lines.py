@@ -19,7 +19,8 @@ Only DataFrame functions are used. The steps, each of them linear in the lines:
 6. Removed line numbers are gathered per document and the text is put together from what stays.
 
 Edge cases: a null text stays null; a text whose lines all go becomes null (``dedup`` drops that row, but
-never a row that was empty before); rows equal in id and text are treated alike, as one document.
+never a row that was empty before); rows equal in id and text are treated alike, as one document. An empty table
+gives an empty one. Other columns are handed on, whatever their names.
 """
 
 from __future__ import annotations
@@ -143,7 +144,7 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars
     keys = cut(met(lines, near=max_edits > 0))
     often = _if_few(keys.where("not half").select(F.col("key").alias("d1")))
     repeated = occurrences(lines, often)
-    # equal digests are dealt by joins and counted before a shuffle, so a hot line is split
+    # the earliest place is found with map-side combine; rows of a hot line meet in one task only where ``firsts`` is too large to broadcast
     firsts = repeated.groupBy("d1", "d2").agg(F.min(_place()).alias("first"))
     equal = repeated.join(firsts, ["d1", "d2"]).where(_place() != F.col("first")).select("id", "text_hash", "line_no", F.lit(False).alias("near"))
     gone = equal

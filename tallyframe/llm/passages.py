@@ -6,11 +6,12 @@ dropped first; the others are grouped with their earliest place in the order (do
 last. A unit whose digest has an earlier place is repeated. Repeated units that follow each other make a passage,
 and a passage of at least ``min_words`` words is removed; its character range in the original text is kept.
 
-Equal digests are joined, never collected: a hot one is split by the join. Only a document's own repeated units
-meet in one window.
+Equal digests are joined, never collected. The rows of a hot digest stream through one task, unless adaptive
+execution finds its partition large enough to split. Only a document's own repeated units meet in one window.
 
 Edge cases: a null or blank text has no unit; punctuation alone is a unit; rows equal in id and text are one
-document (none of them is a repeat of the other); repeats inside one text count like others.
+document (none of them is a repeat of the other); repeats inside one text count like others. An empty table has no
+passage. A text of any length is cut whole, in one task. Other columns are never looked at, whatever their names.
 """
 
 from __future__ import annotations
