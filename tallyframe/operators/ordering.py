@@ -220,6 +220,14 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
 #: error that the sketch's authors give at 99 %, which a sub-Gaussian error passes once in 10^32 runs. The second
 #: sketch is read at CELLS even ranks.
 SKETCH, MARGIN, CELLS = 4096, 0.0028, 512
+#: So many groups' brackets at most are sent to every task, which then meets them without moving a row.
+SENT = 10_000
+
+
+def _meet(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``rows`` with the written row of their group. Spark does not know how few groups were written, so they are counted."""
+    few = groups.limit(SENT + 1).count() <= SENT
+    return join_null_safe(rows, F.broadcast(groups) if few else groups, by)
 
 
 def column_quantiles(
@@ -232,6 +240,7 @@ def column_quantiles(
     below and at those two, and sketches what lies between, which narrows the bracket again. The third counts, value
     by value, only what is then left: about n / 25,000 cells of a large group, so that ordering them is cheap. A hot
     value is one counted cell. Nulls and NaN do not count; a column without values has n = 0 and null quantiles.
+    The rows meet their brackets where they are read, up to ``SENT`` groups; beyond that they are dealt by group.
     A rank outside its bracket would raise an error, never give a wrong figure.
     """
     if not by:  # one group of all rows: its brackets are one row, met on a constant key
@@ -265,7 +274,7 @@ def column_quantiles(
         f"get(_s{j}, CASE WHEN _n{j} * {MARGIN} < 4 THEN {end} ELSE {2 + 2 * i + end} END) AS _{edge}{j}_{i}"
         for j in names for i in range(len(points)) for end, edge in enumerate(("lo", "hi"))
     ])))
-    bracketed = join_null_safe(slim, brackets, by)
+    bracketed = _meet(slim, brackets, by)
     counts = bracketed.groupBy(*keys).agg(*exprs(*[
         t for c, v, _, _ in cells for t in (
             f"count_if({v} < _lo{c}) AS _below{c}", f"count_if({v} <= _lo{c}) AS _upto{c}",
@@ -302,7 +311,7 @@ def column_quantiles(
         f"max(CASE WHEN _cell = '{c}' THEN {e} END) AS {e}{c}" for c, *_ in cells for e in ("_from", "_to")
     ])))
     # up to the narrow bracket a cell is counted without its value
-    bracketed = join_null_safe(bracketed, narrow, by)
+    bracketed = _meet(bracketed, narrow, by)
     left = strictly_inside(inner + " AND {v} <= _to{c}", "CASE WHEN {v} >= _from{c} THEN {v} END")
     left = left.groupBy(*keys, "_cell", "_value").agg(F.count("*").alias("_c"))
     upto = Window.partitionBy(*keys, "_cell").orderBy(F.asc_nulls_first("_value")).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordering import exact_quantiles
+from .ordering import column_quantiles
 from .quality import nan_as_missing, numeric_columns
 
 
@@ -25,6 +25,17 @@ def number_cells(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()
     return df.select(*keep, F.inline(F.array(*cells)))
 
 
+#: Columns whose quantiles are taken in one go, so that a very wide table makes no expression too large to compile.
+TOGETHER = 16
+
+
+def _quantiles(df: DataFrame, columns: Sequence[str], quantiles: dict[str, float]) -> DataFrame:
+    """column and its quantiles, from the columns side by side: no row is written out once a column."""
+    return reduce(DataFrame.unionByName, [
+        column_quantiles(df, columns[i : i + TOGETHER], quantiles).drop("n") for i in range(0, len(columns), TOGETHER)
+    ])
+
+
 def column_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, nulls and, for numeric columns, min/max/mean/sample deviation: one aggregate, one row each."""
     numeric = set(numeric_columns(df))
@@ -76,7 +87,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     out = column_moments(df, columns)
     details = distinct_counts(df, columns)
     if numeric:
-        details = exact_quantiles(number_cells(df, numeric), "number", quartiles, ["column"], distinct=False).drop("n").join(details, "column", "full")
+        details = _quantiles(df, numeric, quartiles).join(details, "column", "full")
     else:
         details = details.withColumns({p: F.lit(None).cast("double") for p in quartiles})
     share = F.try_divide(F.col("null_count"), F.col("total_count")) * 100
@@ -113,7 +124,7 @@ def analysis_columns(df: DataFrame) -> list[str]:
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """mean, median, deviation, min and max per column."""
-    middle = exact_quantiles(number_cells(df, columns), "number", {"median": 0.5}, ["column"], distinct=False).select("column", "median")
+    middle = _quantiles(df, columns, {"median": 0.5})
     return (
         column_moments(df, columns).select("column", "mean", "std", "min", "max")
         .join(middle, "column", "left")
