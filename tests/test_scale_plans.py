@@ -60,3 +60,42 @@ def test_summary_takes_its_columns_side_by_side(rows, monkeypatch):
     profiled = {r["column"]: r for r in profile.profile_columns(rows, columns).collect()}
     assert profiled["none"]["p50"] is None and profiled["none"]["unique_count"] == 0
     assert profiled["w"]["p25"] == pytest.approx(round(pdf["w"].quantile(0.25), 4))
+
+
+@pytest.fixture(scope="module")
+def small_tables(spark, tmp_path_factory):
+    """Lines and orders with null and repeated keys."""
+    from tallyframe.catalog import Tables
+
+    folder = str(tmp_path_factory.mktemp("tables"))
+    lines = [(None if i % 29 == 0 else i % 60, i % 7, i % 5, 1 + i % 7, float(1 + i % 50), 100.0 + i, (i % 11) / 100, "NRA"[i % 3], "FO"[i % 2], f"1995-{1 + i % 12:02d}-{1 + i % 28:02d}") for i in range(400)]
+    tables = {
+        "lineitem": ([*lines, *lines[:40]], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_returnflag string, l_linestatus string, d string"),
+        "orders": ([(i if i else None, i % 9, f"1995-01-{1 + i % 28:02d}") for i in range(60)], "o_orderkey bigint, o_custkey bigint, d string"),
+        "customer": ([(i, f"c{i}", i % 2) for i in range(9)], "c_custkey bigint, c_name string, c_nationkey int"),
+        "part": ([(i, f"b{i}", f"t{i % 3}") for i in range(7)], "p_partkey bigint, p_brand string, p_type string"),
+        "supplier": ([(i, f"Supplier#{i:09d}") for i in range(5)], "s_suppkey bigint, s_name string"),
+        "nation": ([(0, 0), (1, 1)], "n_nationkey int, n_regionkey int"),
+        "region": ([(0, "ASIA"), (1, None)], "r_regionkey int, r_name string"),
+    }
+    for name, (data, schema) in tables.items():
+        df = spark.createDataFrame(data, schema)
+        if "d" in df.columns:
+            df = df.withColumn({"lineitem": "l_shipdate", "orders": "o_orderdate"}[name], F.to_timestamp_ntz("d")).drop("d")
+        if name == "lineitem":
+            df = df.withColumn("l_tax", F.col("l_linenumber") / 100)
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return Tables(spark, folder)
+
+
+def test_appointments_are_joined_once(small_tables):
+    from tallyframe.catalog.facts import f4_noshow_summary
+
+    out = f4_noshow_summary(small_tables)
+    assert all("/appointments-" in f for f in out.inputFiles())
+    got = {r["metric"]: r["value"] for r in out.collect()}
+    lines, orders = small_tables.lineitem, small_tables.orders
+    visits = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).where("l_quantity * 3 - 5 between 0 and 115 and l_shipdate >= o_orderdate")
+    assert got["Total appointments (after cleaning)"] == str(visits.count())
+    assert got["Total unique patients"] == str(visits.select("o_custkey").distinct().count())
