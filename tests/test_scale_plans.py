@@ -99,3 +99,15 @@ def test_appointments_are_joined_once(small_tables):
     visits = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).where("l_quantity * 3 - 5 between 0 and 115 and l_shipdate >= o_orderdate")
     assert got["Total appointments (after cleaning)"] == str(visits.count())
     assert got["Total unique patients"] == str(visits.select("o_custkey").distinct().count())
+
+
+def test_sales_contract_is_joined_once(small_tables):
+    from tallyframe.catalog.facts import _sales_contract, f9_summary_stats
+
+    out = f9_summary_stats(small_tables)
+    assert all("/sales-" in f for f in out.inputFiles())
+    got = {(r["table"], r["metric_name"]): r["metric_number"] for r in out.collect()}
+    rows = _sales_contract(small_tables)
+    assert got["kpis", "order_count"] == rows.count()
+    assert got["kpis", "median_order_value"] == rows.toPandas()["revenue"].median()
+    assert got["revenue_by_region", "nan :: order_count"] == rows.where("region is null").count()
