@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import safe_ratio
 from ..functions.tails import chi_square_p, exact_u_p, fisher_p, normal_p, student_p
-from ..session import materialise
+from ..session import written
 from .ordering import known, ranked_counts
 from .profile import number_cells
 
@@ -22,13 +22,14 @@ EXACT_SMALLER, EXACT_LARGER = 8, 500
 def _ranked_groups(df: DataFrame, targets: Sequence[str], group: str) -> tuple[DataFrame, DataFrame]:
     """Per target: average ranks of the distinct values, and value counts per group.
 
-    The counts are written once, so that the raw table is read a single time.
+    The counts are written once, so that the raw table is read a single time, and so are the ranks, which the sums of
+    ranks and of ties both read.
     """
     raw = known(number_cells(known(df, group), targets, [group]), "number")
-    cells = materialise(raw.groupBy("column", group, "number").agg(F.count("*").alias("c")))
-    values = cells.groupBy("column", "number").agg(F.sum("c").alias("c"))
+    cells = written(raw.groupBy("column", group, "number").agg(F.count("*").alias("c")), "cells")
+    values = written(cells.groupBy("column", "number").agg(F.sum("c").alias("c")), "values")
     ranks = ranked_counts(values, "number", "c", ["column"])
-    return ranks.select("column", "number", F.col("n").alias("ties"), "avg_rank"), cells
+    return written(ranks.select("column", "number", F.col("n").alias("ties"), "avg_rank"), "ranks"), cells
 
 
 def _tie_sums(ranks: DataFrame) -> DataFrame:

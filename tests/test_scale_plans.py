@@ -111,3 +111,41 @@ def test_sales_contract_is_joined_once(small_tables):
     assert got["kpis", "order_count"] == rows.count()
     assert got["kpis", "median_order_value"] == rows.toPandas()["revenue"].median()
     assert got["revenue_by_region", "nan :: order_count"] == rows.where("region is null").count()
+
+
+def test_tests_on_ranks_read_written_counts(rows):
+    from tallyframe.operators import inference
+
+    out = inference.kruskal(rows, ["v"], "g")
+    assert {f.split("/")[-2].split("-")[0] for f in out.inputFiles()} == {"ranks", "cells"}
+    pdf = rows.select("g", "v").toPandas().dropna()
+    pdf["r"], n = pdf["v"].rank(), len(pdf)
+    sums = pdf.groupby("g")["r"].agg(["sum", "count"])
+    ties = pdf["v"].value_counts().astype(float)
+    h = (12 / (n * (n + 1)) * (sums["sum"] ** 2 / sums["count"]).sum() - 3 * (n + 1)) / (1 - (ties**3 - ties).sum() / (n**3 - n))
+    assert out.first()["h_stat"] == pytest.approx(h)
+
+
+def test_rows_are_dealt_to_folds_once(small_tables):
+    from tallyframe.catalog.learning import _held_out
+    from tallyframe.operators import learning
+
+    out = _held_out(small_tables, lambda train, label: learning.fit_logistic(train, label, iterations=3))
+    assert all("/folds-" in f for f in out.inputFiles())
+    known = small_tables.lineitem.join(small_tables.part, F.col("l_partkey") == F.col("p_partkey"))
+    loss = (F.col("l_extendedprice") * (1 - F.col("l_discount")) - F.col("l_quantity") * 800.0 < 0).cast("int")
+    want = {r["k"]: -(-r["n"] // 5) for r in known.groupBy(loss.alias("k")).agg(F.count("*").alias("n")).collect()}
+    assert {r["class"]: r["support"] for r in out.collect()} == {0: 0, 1: 0} | want
+
+
+def test_samples_outside_each_fold(rows):
+    from tallyframe.operators import learning
+
+    df = rows.withColumns({"id": F.monotonically_increasing_id(), "label": (F.col("k") > 1).cast("int")}).select("id", "label", "k")
+    dealt = learning.written_folds(df, "label", ["id"], 4)
+    sample = learning.fold_samples(dealt, ["id"], 150, 4)
+    for fold in range(4):
+        want = learning.labelled_sample(dealt.where(F.col("fold") != fold), ["id"], 150)
+        assert sorted(sample(fold).collect()) == sorted(want.collect())
+    again = learning.stratified_folds(df, "label", ["id"], 4)
+    assert sorted(dealt.collect()) == sorted(again.collect())
