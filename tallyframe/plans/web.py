@@ -118,8 +118,8 @@ def run(spark: SparkSession, path: str, out: str) -> dict[str, str]:
     typed = write_parquet(derive(parts.clean), f"{out}/clean_parquet")
     kept = spark.read.parquet(typed)
     results = tests(kept)
+    write_csv(significant_targets(results), f"{out}/significant_targets")
     return {
-        "significant": write_csv(significant_targets(results), f"{out}/significant_targets"),
         "audit": write_csv(audit(raw).orderBy("position").drop("position"), f"{out}/audit"),
         "dirty": write_csv(parts.dirty, f"{out}/dirty"), "clean": write_csv(kept, f"{out}/clean"), "typed": typed,
         "reasons": write_csv(reason_counts(parts.dirty), f"{out}/dirty_breakdown"),
