@@ -149,3 +149,31 @@ def test_samples_outside_each_fold(rows):
         assert sorted(sample(fold).collect()) == sorted(want.collect())
     again = learning.stratified_folds(df, "label", ["id"], 4)
     assert sorted(dealt.collect()) == sorted(again.collect())
+
+
+@pytest.fixture(scope="module")
+def many_lines(spark, tmp_path_factory):
+    """More lines than any bound on the rows of a fit there was (4,000)."""
+    from tallyframe.catalog import Tables
+
+    folder = str(tmp_path_factory.mktemp("many"))
+    lines = [(None if i % 97 == 0 else i, i % 7, i % 5, 1 + i % 7, float(1 + i % 50), 1000.0 * (1 + i % 50) * (1 + i % 13 / 20), (i % 11) / 100, "NRA"[i % 3], "FO"[i % 2], f"1995-{1 + i % 12:02d}-{1 + i % 28:02d}") for i in range(6000)]
+    schema = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string, d string"
+    df = spark.createDataFrame(lines, schema).withColumns({"l_tax": F.lit(0.01), "l_shipdate": F.to_timestamp_ntz("d")}).drop("d")
+    df.write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(i, f"b{i}", f"t{i % 3}") for i in range(7)], "p_partkey bigint, p_brand string, p_type string").write.parquet(f"{folder}/part.parquet")
+    return Tables(spark, folder)
+
+
+def test_held_out_models_are_fitted_on_every_row_outside_the_fold(many_lines):
+    from tallyframe.catalog.learning import _held_out
+    from tallyframe.operators import learning
+
+    seen = []
+
+    def fit(train, label):
+        seen.append(train.count())
+        return learning.fit_logistic(train, label, iterations=3)
+
+    held = sum(r["support"] for r in _held_out(many_lines, fit).collect())
+    assert seen == [6000 - held] and held in (1200, 1201, 1202)
