@@ -177,3 +177,18 @@ def test_held_out_models_are_fitted_on_every_row_outside_the_fold(many_lines):
 
     held = sum(r["support"] for r in _held_out(many_lines, fit).collect())
     assert seen == [6000 - held] and held in (1200, 1201, 1202)
+
+
+def test_cross_validation_fits_on_every_row_outside_each_fold(many_lines, monkeypatch):
+    from tallyframe.catalog.learning import ml7_cross_validation
+    from tallyframe.operators import learning
+
+    seen = []
+
+    def fit(train, label):
+        seen.append(train.count())
+        return learning.fit_logistic(train, label, iterations=3)
+
+    monkeypatch.setattr(learning, "DEFAULT_MODELS", {"light": fit})
+    out = ml7_cross_validation(many_lines).collect()
+    assert len(out) == 1 and len(seen) == 5 and sum(seen) == 4 * 6000
